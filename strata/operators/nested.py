@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import cut_lineage
+
 
 def struct_of(renames: dict[str, str]) -> Column:
     """A struct from (nested) columns under new member names."""
@@ -31,6 +33,7 @@ def element_where(array: str, key: str, wanted: int, value: str) -> Column:
 
 
 SPREAD = "__spread"
+BROADCAST_KEYS = 100_000  # two numbers per key: a few megabytes at most
 
 
 def with_spread(scan: DataFrame) -> DataFrame:
@@ -42,22 +45,39 @@ def with_spread(scan: DataFrame) -> DataFrame:
     return scan.withColumn(SPREAD, F.monotonically_increasing_id())
 
 
+def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows, and how many: ``key, __n``."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
+
+
 def nest_rows(
-    df: DataFrame, key: str, array: str, members: Sequence[Column], per_record: int = 1000
+    df: DataFrame,
+    key: str,
+    array: str,
+    members: Sequence[Column],
+    counted: DataFrame | None = None,
+    per_record: int = 1000,
 ) -> DataFrame:
     """Gather flat rows into ``key, part, array<struct>`` records of bounded size.
 
     A key with up to ``per_record`` rows gives one record (part 0). A bigger one is
     spread over as many records as needed, so that no array and no task has to hold
     a hot key whole. Readers that add up over the key see no difference. ``df``
-    carries the column of ``with_spread``.
+    carries the column of ``with_spread``; ``counted`` is a cheaper frame to count
+    the keys in, such as the scan before its joins.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > per_record)
-    parts = F.ceil(F.col("__n") / per_record)
-    flat = df.join(sizes, key, "left").withColumn(
-        "part",
-        F.when(F.col("__n").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(SPREAD), parts))
-        .cast("int"),
-    )
+    hot = cut_lineage(hot_keys(df if counted is None else counted, key, per_record), "hot-keys")
+    number = hot.count()
+    if number == 0:
+        flat = df.withColumn("part", F.lit(0))
+    else:
+        # Few hot keys travel to every task; many are joined by shuffle, which AQE
+        # splits where a key is hot.
+        side = F.broadcast(hot) if number <= BROADCAST_KEYS else hot
+        record = F.pmod(F.xxhash64(SPREAD), F.ceil(F.col("__n") / per_record)).cast("int")
+        flat = (
+            df.join(side, key, "left")
+            .withColumn("part", F.coalesce(record, F.lit(0)))
+            .repartition(F.col(key), F.col("part"))
+        )
     return flat.groupBy(key, "part").agg(F.collect_list(F.struct(*members)).alias(array))

@@ -13,13 +13,13 @@ from strata.session import scratch_path
 from strata.streaming.tables import drain
 
 
-def match_events(events):
+def match_events(events, event_time=None):
     """Signups are chat messages, purchases kills, clicks assists."""
     kind = F.col("event_type")
     chat = kind == "signup"
     return events.select(
         F.col("event_id").cast("string").alias("event_id"),
-        iso_text("ts").alias("event_time"),
+        (iso_text("ts") if event_time is None else event_time).alias("event_time"),
         F.concat(F.lit("match-"), F.dayofmonth("ts")).alias("match_id"),
         F.col("user_id").cast("string").alias("player_id"),
         F.when(chat, "chat").otherwise("gameplay").alias("event_type"),
@@ -45,9 +45,9 @@ def profiles(spark, sf):
 
 
 def enriched(spark, sf):
-    events = match_events(table(spark, sf, "events"))
-    timed = events.withColumn("event_time", F.to_timestamp("event_time"))
-    return enrich(timed, profiles(spark, sf), stamp=False)
+    """Enriched events with their time as stored, so that time filters stay simple."""
+    events = match_events(table(spark, sf, "events"), F.col("ts").cast("timestamp"))
+    return enrich(events, profiles(spark, sf), stamp=False)
 
 
 SQL_EVENTS = f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.operators.nested import nest_rows, with_spread
 from strata.plans import warehouse as plan
 from strata.registry.base import query, table
-from strata.session import scratch_path
+from strata.session import cut_lineage, scratch_path
 
 LINES = "items"
 
@@ -29,10 +29,9 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    lineitem = table(spark, sf, "lineitem")
     lines = with_spread(
-        table(spark, sf, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
-        )
+        lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     ).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     nested = nest_rows(
         lines,
@@ -45,6 +44,7 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_quantity").cast("bigint").alias("quantity"),
             F.col("l_extendedprice").alias("unit_price"),
         ],
+        counted=lineitem,
     )
     priority = F.col("o_orderpriority")
     channel = (
@@ -55,7 +55,8 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        # Inner, so that AQE may split either side; orders without lines are not staged.
+        .join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
@@ -70,6 +71,11 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return plan.stage_orders(raw_orders(spark, sf))
 
 
+def staged_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging table as written, for queries that read it more than once."""
+    return cut_lineage(staged(spark, sf), "stg-orders")
+
+
 SQL_BASE = """
 WITH o AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS order_date,
@@ -146,7 +152,7 @@ def dim_products(spark, sf):
 SELECT channel, product_id, count(*) AS sales, CAST(sum(quantity) AS BIGINT) AS units
 FROM s WHERE channel IN ('web', 'marketplace') GROUP BY channel, product_id""")
 def channel_items_union(spark, sf):
-    stage = staged(spark, sf)
+    stage = staged_table(spark, sf)
     branches = [
         plan.channel_items(stage, c).withColumn("channel", F.lit(c)) for c in plan.CHANNELS
     ]
@@ -156,7 +162,7 @@ def channel_items_union(spark, sf):
 
 
 def _facts(spark, sf):
-    stage = staged(spark, sf)
+    stage = staged_table(spark, sf)
     return stage, plan.fact_orders(stage, plan.dim_customers(stage))
 
 
@@ -167,7 +173,7 @@ def fact_orders(spark, sf):
 
 @query("fact_order_items", SQL_BASE + "SELECT * FROM fi")
 def fact_order_items(spark, sf):
-    stage = staged(spark, sf)
+    stage = staged_table(spark, sf)
     return plan.fact_order_items(stage, plan.dim_products(stage))
 
 
