@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 PAYLOAD = "payload"
 ERROR = "error"
-_KEYS = "__keys"
 _BODY = "__body"
+_UTF8 = "__utf8"
+_MISSING = "__missing"
 
 
 @dataclass(frozen=True)
@@ -42,13 +43,23 @@ class IsoTime:
     field: str
 
 
+@dataclass(frozen=True)
+class IntegerLike:
+    """``field`` must convert to an integer; number text and fractions do."""
+
+    field: str
+
+
+Check = Domain | NonNegativeInteger | IsoTime | IntegerLike
+
+
 @dataclass(frozen=True)
 class Contract:
     """Required keys, the typed checks after them, and the accepted columns."""
 
     required: tuple[str, ...]
     columns: str
-    checks: tuple[Domain | NonNegativeInteger | IsoTime, ...] = field(default=())
+    checks: tuple[Check, ...] = field(default=())
     missing_label: str = "Missing fields"
 
 
@@ -62,10 +73,11 @@ GAMEPLAY_KEYS = (
 
 
 def traffic_contract() -> Contract:
-    """Web traffic: keys only; ``bytes_sent`` may be text holding a number."""
+    """Web traffic: keys, and ``bytes_sent`` must convert to an integer."""
     return Contract(
         TRAFFIC_KEYS,
         "event_id string, event_time string, user_id string, path string, bytes_sent bigint",
+        (IntegerLike("bytes_sent"),),
         missing_label="Missing traffic fields",
     )
 
@@ -99,8 +111,11 @@ def key_list(keys: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def _failure(check: Domain | NonNegativeInteger | IsoTime) -> Column:
+def _failure(check: Check) -> Column:
     path = f"$.{check.field}"
+    if isinstance(check, IntegerLike):
+        number = F.try_variant_get(F.col(_BODY), path, "bigint")
+        return F.when(number.isNull(), F.lit(f"{check.field} is not an integer"))
     kind = F.schema_of_variant(F.try_variant_get(F.col(_BODY), path, "variant"))
     text = F.try_variant_get(F.col(_BODY), path, "string")
     if isinstance(check, Domain):
@@ -125,35 +140,46 @@ def _failure(check: Domain | NonNegativeInteger | IsoTime) -> Column:
 def check_messages(df: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
     """Replace the bytes or text column ``value`` by ``payload``, ``error`` and the
     contract's columns. The columns are NULL for refused rows; other columns stay.
+
+    The payload is parsed once, into a variant; a key that is present with a JSON
+    null is not missing.
     """
     raw = F.col(value).cast("string")
-    body = df.withColumn(PAYLOAD, F.make_valid_utf8(raw)).withColumn(
-        "__utf8", F.is_valid_utf8(raw)
+    kept = [c for c in df.columns if c != value]
+    parsed = df.select(
+        *kept, F.make_valid_utf8(raw).alias(PAYLOAD), F.is_valid_utf8(raw).alias(_UTF8)
+    ).withColumn(_BODY, F.try_parse_json(PAYLOAD))
+    keys = sorted(contract.required)
+    absent = [
+        F.when(F.try_variant_get(F.col(_BODY), f"$.{k}", "variant").isNull(), F.lit(k))
+        for k in keys
+    ]
+    listed = parsed.withColumn(_MISSING, F.array_compact(F.array(*absent)))
+    missing = F.col(_MISSING)
+    # Only a payload without any of the keys can be something else than an object.
+    no_object = (F.size(missing) == len(keys)) & ~F.schema_of_variant(F.col(_BODY)).startswith(
+        "OBJECT"
     )
-    typed = any(contract.checks)
-    body = body.withColumn(_KEYS, F.json_object_keys(PAYLOAD))
-    if typed:
-        body = body.withColumn(_BODY, F.try_parse_json(PAYLOAD))
-    required = F.array(*[F.lit(k) for k in sorted(contract.required)])
-    missing = F.array_except(required, F.col(_KEYS))
     error = F.coalesce(
-        F.when(~F.col("__utf8"), F.lit("payload is not valid UTF-8")),
-        F.when(F.col(PAYLOAD).isNull() | F.col(_KEYS).isNull(), F.lit("payload is not a JSON object")),
-        F.when(F.size(missing) > 0, F.concat(F.lit(f"{contract.missing_label}: "), key_list(missing))),
+        F.when(~F.col(_UTF8), F.lit("payload is not valid UTF-8")),
+        F.when(F.col(_BODY).isNull() | no_object, F.lit("payload is not a JSON object")),
+        F.when(
+            F.size(missing) > 0,
+            F.concat(F.lit(f"{contract.missing_label}: "), key_list(missing)),
+        ),
         *[_failure(check) for check in contract.checks],
         F.lit(None).cast("string"),
     )
-    kept = [c for c in df.columns if c != value]
-    checked = body.withColumn(ERROR, error).withColumn(
-        "__row", F.from_json(PAYLOAD, contract.columns, {"mode": "PERMISSIVE"})
-    )
-    names = [part.strip().split(" ")[0] for part in contract.columns.split(",")]
-    accepted = F.col(ERROR).isNull()
-    return checked.select(
+    fields = [part.split() for part in contract.columns.split(",")]
+    accepted_row = F.col(ERROR).isNull()
+    return listed.withColumn(ERROR, error).select(
         *kept,
         PAYLOAD,
         ERROR,
-        *[F.when(accepted, F.col(f"__row.{name}")).alias(name) for name in names],
+        *[
+            F.when(accepted_row, F.try_variant_get(F.col(_BODY), f"$.{name}", kind)).alias(name)
+            for name, kind in fields
+        ],
     )
 
 

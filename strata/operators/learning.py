@@ -15,6 +15,7 @@ from strata.operators.ordering import best_per_key, with_running_totals
 # Feature and label names, and the three date ranges.
 NUMERIC = ("bounces", "time_on_site", "pageviews")
 CATEGORICAL = ("traffic_source", "traffic_medium", "device_category", "country")
+NO_CATEGORY = "(none)"
 LABEL = "will_buy_on_return_visit"
 TRAIN_RANGE = ("20160801", "20170430")
 EVALUATION_RANGE = ("20170501", "20170630")
@@ -51,9 +52,16 @@ def with_class_weights(df: DataFrame, label: str = LABEL, weight: str = "weight"
     return df.withColumn(weight, totals["n"].cast("double") / (F.lit(2.0) * own))
 
 
+def _named_categories(df: DataFrame) -> DataFrame:
+    """Categories without NULL and empty text, which the encoder cannot name."""
+    return df.withColumns({
+        c: F.when(F.col(c) != "", F.col(c)).otherwise(NO_CATEGORY) for c in CATEGORICAL
+    })
+
+
 def train(features: DataFrame, label: str = LABEL, rounds: int = 50) -> PipelineModel:
     """Weighted logistic regression over scaled numbers and one-hot categories."""
-    weighted = with_class_weights(features, label).fillna("", list(CATEGORICAL))
+    weighted = _named_categories(with_class_weights(features, label))
     indexed = [f"{c}_index" for c in CATEGORICAL]
     encoded = [f"{c}_onehot" for c in CATEGORICAL]
     stages = [
@@ -71,7 +79,7 @@ def train(features: DataFrame, label: str = LABEL, rounds: int = 50) -> Pipeline
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Features plus ``predicted_label`` and ``probs array<struct<label, prob>>``."""
-    scored = model.transform(features.fillna("", list(CATEGORICAL)))
+    scored = model.transform(_named_categories(features))
     both = vector_to_array("probability")
     probs = F.array(*[
         F.struct(F.lit(i).alias("label"), F.get(both, F.lit(i)).alias("prob")) for i in (1, 0)

@@ -75,9 +75,7 @@ def nest_rows(
         # splits where a key is hot.
         side = F.broadcast(hot) if number <= BROADCAST_KEYS else hot
         record = F.pmod(F.xxhash64(SPREAD), F.ceil(F.col("__n") / per_record)).cast("int")
-        flat = (
-            df.join(side, key, "left")
-            .withColumn("part", F.coalesce(record, F.lit(0)))
-            .repartition(F.col(key), F.col("part"))
-        )
+        flat = df.join(side, key, "left").withColumn("part", F.coalesce(record, F.lit(0)))
+    # Plain rows are shuffled, not half-filled arrays: a task rarely has two rows of a key.
+    flat = flat.repartition(F.col(key), F.col("part"))
     return flat.groupBy(key, "part").agg(F.collect_list(F.struct(*members)).alias(array))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from strata.functions.texts import document_content, words
+from strata.functions.texts import document_content, is_blank, words
 from strata.functions.vectors import dot
 from strata.operators.ordering import top_rows
 
@@ -41,7 +41,7 @@ def embed_texts(
     """
     tokens = F.coalesce(words(F.lower(F.col(text))), F.array().cast("array<string>"))
     tokenised = df.withColumn("__words", tokens)
-    status = F.when(F.size("__words") == 0, "empty content").otherwise(OK_STATUS)
+    status = F.when(is_blank(F.col(text)), "empty content").otherwise(OK_STATUS)
     if embedder is not None:
         model = F.pandas_udf(embedder, "array<float>")
         return tokenised.withColumn("embedding", model(F.coalesce(F.col(text), F.lit("")))) \

@@ -24,9 +24,12 @@ METRIC_GATE = {
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
-    metrics: DataFrame
+    judged: DataFrame
     predictions: DataFrame
 
+    def metrics(self) -> DataFrame:
+        return binary_metrics(self.judged, LABEL, "score")
+
 
 def run(
     sessions: DataFrame,
@@ -44,19 +47,18 @@ def run(
     judged = predict(model, in_range(features, evaluation_range)).withColumn(
         "score", positive_probability()
     )
-    metrics = binary_metrics(judged, LABEL, "score")
     scored = predict(model, in_range(features, scoring_range))
     best = best_prediction(scored, "visitor_id", "suffix").select(
         "visitor_id",
         F.col("predicted_label").alias("predicted_transaction"),
         "transaction_probability",
     )
-    return Trained(model, metrics, best)
+    return Trained(model, judged, best)
 
 
 def verify(trained: Trained) -> DataFrame:
     """Gate rows for the metrics, and that there are predictions."""
     some = trained.predictions.agg(F.count(F.lit(1)).alias("predictions"))
-    return gate(trained.metrics, METRIC_GATE).unionByName(
+    return gate(trained.metrics(), METRIC_GATE).unionByName(
         gate(some, {"predictions": Expect(at_least=1)})
     )

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A key twice in a JSON message: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
