@@ -172,8 +172,7 @@ def check_messages(df: DataFrame, contract: Contract, value: str = "value") -> D
     )
     fields = [part.split() for part in contract.columns.split(",")]
     accepted_row = F.col(ERROR).isNull()
-    return listed.withColumn(ERROR, error).select(
-        *kept,
+    outcome = F.struct(
         PAYLOAD,
         ERROR,
         *[
@@ -181,6 +180,9 @@ def check_messages(df: DataFrame, contract: Contract, value: str = "value") -> D
             for name, kind in fields
         ],
     )
+    # Filters on the outcome stay above a generator. Pushed below the parse, every
+    # mention of the variant in them would parse the payload again.
+    return listed.withColumn(ERROR, error).select(*kept, F.inline(F.array(outcome)))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -6,6 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of a double column to six decimals, as ``decimal(38,6)``.
+
+    Whole units and millionths add up as integers, so the result does not depend on
+    the order of the rows and stays exact for groups of any size, at the speed of
+    integer sums (decimal buffers are several times slower).
+    """
+    whole = F.floor(amount)
+    millionths = F.round((amount - whole) * 1_000_000).cast("bigint")
+    return (
+        F.sum(whole).cast("decimal(38,6)")
+        + (F.sum(millionths).cast("decimal(24,0)") / F.lit(1_000_000)).cast("decimal(30,6)")
+    ).cast("decimal(38,6)")
+
+
+def as_money(total: Column, digits: int = 2) -> Column:
+    """A decimal total as a rounded double."""
+    return F.round(total, digits).cast("double")
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part / whole * 100`` rounded; a zero or missing denominator gives NULL."""
     return F.round(F.try_divide(part, whole) * 100, digits)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.numbers import percent
+from strata.functions.numbers import as_money, exact_sum, percent
 from strata.operators.ordering import with_row_ids
 from strata.operators.quality import Expect, gate
 from strata.sources.external import read_open_table
@@ -70,7 +70,7 @@ def summary(df: DataFrame, amount: str = "total_bill", size: str = "party_size",
     """One row: rows, total, largest size, distinct groups."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.round(F.sum(amount), 2).alias(amount),
+        as_money(exact_sum(F.col(amount))).alias(amount),
         F.max(size).alias(f"max_{size}"),
         F.count_distinct(group).alias("service_days"),
     )
@@ -80,7 +80,7 @@ def ratio_summary(df: DataFrame) -> DataFrame:
     """One row: rows, total bill, average tip percentage."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.round(F.sum("total_bill"), 2).alias("total_bill"),
+        as_money(exact_sum(F.col("total_bill"))).alias("total_bill"),
         F.round(F.avg("tip_percentage"), 2).alias("average_tip_percentage"),
     )
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.numbers import as_money, exact_sum
 from strata.operators.nested import reshape_elements, struct_of, unnest
 from strata.operators.quality import counts_row
 from strata.sources.files import read_ndjson
@@ -94,12 +95,12 @@ def fact_orders(staged: DataFrame, customers: DataFrame) -> DataFrame:
         )
         .agg(
             F.sum(item["quantity"]).alias("total_units"),
-            F.sum(item["quantity"] * item["unit_price"]).alias("__amount"),
+            exact_sum(item["quantity"] * item["unit_price"]).alias("__amount"),
         )
     )
     return per_order.join(customers.select("customer_id"), "customer_id").select(
         "order_id", "order_date", "channel", "customer_id", "total_units",
-        F.round("__amount", 2).alias("order_amount"),
+        as_money(F.col("__amount")).alias("order_amount"),
     )
 
 
@@ -128,7 +129,7 @@ def daily_sales(
     order and nothing can be hot. One grouping replaces a union per channel.
     """
     per_order = items.groupBy("order_id").agg(
-        F.sum("quantity").alias("__units"), F.sum("line_amount").alias("__revenue")
+        F.sum("quantity").alias("__units"), exact_sum(F.col("line_amount")).alias("__revenue")
     )
     sold = orders.filter(F.col("channel").isin(*channels)).select(
         "order_id", F.col("order_date").alias("sales_date"), "channel"
@@ -136,7 +137,7 @@ def daily_sales(
     return sold.join(per_order, "order_id").groupBy("sales_date", "channel").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.sum("__units").alias("units_sold"),
-        F.round(F.sum("__revenue"), 2).alias("gross_revenue"),
+        as_money(F.sum("__revenue")).alias("gross_revenue"),
     )
 
 
@@ -144,14 +145,14 @@ def customer_sales_summary(customers: DataFrame, orders: DataFrame) -> DataFrame
     """Lifetime orders and revenue of every customer, NULL revenue for none."""
     per_customer = orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("__orders"),
-        F.sum("order_amount").alias("__revenue"),
+        exact_sum(F.col("order_amount")).alias("__revenue"),
     )
     return customers.join(per_customer, "customer_id", "left").select(
         "customer_id",
         "customer_name",
         "segment",
         F.coalesce("__orders", F.lit(0)).alias("lifetime_orders"),
-        F.round("__revenue", 2).alias("lifetime_revenue"),
+        as_money(F.col("__revenue")).alias("lifetime_revenue"),
     )
 
 

@@ -204,7 +204,8 @@ def stable_row_ids(spark, sf):
 
 
 @query("open_table_roundtrip", """
-SELECT count(*) AS row_count, round(sum(p_retailprice), 2) AS p_retailprice,
+SELECT count(*) AS row_count,
+       round(sum(CAST(p_retailprice AS DECIMAL(20,6))), 2)::DOUBLE AS p_retailprice,
        max(p_size) AS max_p_size, count(DISTINCT p_type) AS service_days FROM part""")
 def open_table_roundtrip(spark, sf):
     part = table(spark, sf, "part")

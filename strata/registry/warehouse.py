@@ -105,7 +105,7 @@ WITH o AS (
 ), fo AS (
   SELECT order_id, order_date, channel, customer_id,
          CAST(sum(quantity) AS BIGINT) AS total_units,
-         round(sum(quantity * unit_price), 2) AS order_amount
+         round(sum(CAST(quantity * unit_price AS DECIMAL(20,6))), 2)::DOUBLE AS order_amount
   FROM s GROUP BY order_id, order_date, channel, customer_id
 ), fi AS (
   SELECT s.order_id, s.order_date, s.customer_id, s.product_id, p.category, s.quantity,
@@ -114,7 +114,7 @@ WITH o AS (
 ), d AS (
   SELECT fo.order_date AS sales_date, fo.channel, count(DISTINCT fo.order_id) AS order_count,
          CAST(sum(fi.quantity) AS BIGINT) AS units_sold,
-         round(sum(fi.line_amount), 2) AS gross_revenue
+         round(sum(CAST(fi.line_amount AS DECIMAL(20,6))), 2)::DOUBLE AS gross_revenue
   FROM fo JOIN fi USING (order_id) WHERE fo.channel IN ('web', 'marketplace')
   GROUP BY fo.order_date, fo.channel
 )
@@ -186,7 +186,7 @@ def daily_sales(spark, sf):
 @query("customer_sales_summary", SQL_BASE + """
 SELECT c.customer_id, c.customer_name, c.segment,
        count(DISTINCT fo.order_id) AS lifetime_orders,
-       round(sum(fo.order_amount), 2) AS lifetime_revenue
+       round(sum(CAST(fo.order_amount AS DECIMAL(20,6))), 2)::DOUBLE AS lifetime_revenue
 FROM (SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
              c_mktsegment AS segment FROM customer) c
 LEFT JOIN fo USING (customer_id) GROUP BY ALL""")

@@ -49,14 +49,14 @@ def latest_per_key(spark, sf):
 
 @query("minute_trends", SQL_OBSERVED + """
 SELECT date_trunc('minute', observed_at) AS observation_minute, city, any_value(country) AS country,
-       round(avg(temperature_c), 6) AS avg_temperature_c,
-       round(avg(relative_humidity), 6) AS avg_relative_humidity,
-       round(avg(wind_speed_kmh), 6) AS avg_wind_speed_kmh
+       round(avg(temperature_c), 9) AS avg_temperature_c,
+       round(avg(relative_humidity), 9) AS avg_relative_humidity,
+       round(avg(wind_speed_kmh), 9) AS avg_wind_speed_kmh
 FROM w WHERE observed_at >= (SELECT max(observed_at) FROM w) - INTERVAL 7 DAY GROUP BY 1, 2""")
 def minute_trends(spark, sf):
     trends = ops.observation_trends(observations(table(spark, sf, "events")), "7 DAYS")
     rounded = trends.withColumns(
-        {c: F.round(c, 6) for c in trends.columns if c.startswith("avg_")}
+        {c: F.round(c, 9) for c in trends.columns if c.startswith("avg_")}
     )
     return rounded.withColumn("observation_minute", plain(F.col("observation_minute")))
 

@@ -18,6 +18,15 @@ def test_half_even_rounds_like_python(spark):
         assert rounded == round(value, 2), value
 
 
+def test_exact_sum_does_not_drift(spark):
+    frame = spark.range(200_000).select(F.lit(1_000_000.1).alias("x"), F.lit(-0.35).alias("y"))
+    row = frame.select("x", "y").agg(
+        numbers.as_money(numbers.exact_sum(F.col("x"))), numbers.exact_sum(F.col("y"))).first()
+    assert row[0] == 200_000_020_000.0 and float(row[1]) == -70000.0
+    nothing = frame.limit(0).agg(numbers.exact_sum(F.col("x"))).first()
+    assert nothing[0] is None
+
+
 def test_percent_of_zero_and_null_is_null(spark):
     frame = spark.createDataFrame([(1.0, 4.0), (1.0, 0.0), (None, 2.0)], "a double, b double")
     assert [r[0] for r in frame.select(numbers.percent(F.col("a"), F.col("b"))).collect()] == [
