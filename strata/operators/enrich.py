@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.ordering import best_per_key
+from strata.sources.sinks import overwrite
 
 # Profile attributes and what stands in for a missing one.
 PROFILE_COLUMNS = ("display_name", "team", "region", "rank")
@@ -19,6 +20,16 @@ def seed_profiles(versions: DataFrame, key: str, version: str) -> DataFrame:
     return best_per_key(versions, [key], [F.col(version).desc()]).drop(version)
 
 
+def store_profiles(versions: DataFrame, key: str, version: str, path: str) -> int:
+    """Write the newest profiles and return their number; fail when one got lost."""
+    expected = versions.agg(F.count_distinct(key)).first()[0]
+    overwrite(seed_profiles(versions, key, version), path)
+    stored = versions.sparkSession.read.parquet(path).filter(F.col(key).isNotNull()).count()
+    if stored != expected:
+        raise RuntimeError(f"Stored {stored} of {expected} profiles.")
+    return stored
+
+
 def enrich(
     events: DataFrame,
     profiles: DataFrame,

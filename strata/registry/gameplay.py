@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from strata.functions.times import plain
 from strata.operators import views as ops
-from strata.operators.enrich import enrich, seed_profiles
+from strata.operators.enrich import enrich, store_profiles
 from strata.plans import gameplay
 from strata.registry.base import SQL_K, iso_text, prop_k, query, stream, table
 from strata.session import scratch_path
+from strata.sources.sinks import create_view
 from strata.streaming.tables import drain
 
 
@@ -140,11 +141,27 @@ def stream_health(spark, sf):
 SELECT CAST(user_id AS VARCHAR) AS player_id, event_type AS team, props AS rank FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def profile_seed(spark, sf):
-    """Many versions per key; the newest one is the profile."""
+    """Many versions per key; the newest one is stored as the profile."""
     versions = table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("player_id"),
         F.col("event_type").alias("team"),
         F.col("props").alias("rank"),
         "event_id",
     )
-    return seed_profiles(versions, "player_id", "event_id")
+    path = scratch_path(spark, "profiles")
+    store_profiles(versions, "player_id", "event_id", path)
+    return spark.read.parquet(path)
+
+
+@query("stored_views", SQL_EVENTS + """
+SELECT team, count(*) AS players, CAST(sum(score) AS BIGINT) AS score, (SELECT count(*) FROM recent
+  WHERE event_type = 'chat') AS messages FROM board GROUP BY team""")
+def stored_views(spark, sf):
+    """Leaderboard and chat stored as views and queried by name."""
+    events = enriched(spark, sf)
+    create_view(ops.leaderboard(events, "24 HOURS"), "live_leaderboard")
+    create_view(ops.chat_messages(events, "24 HOURS"), "live_chat")
+    return spark.sql(
+        "SELECT team, count(*) AS players, sum(score) AS score, "
+        "(SELECT count(*) FROM live_chat) AS messages FROM live_leaderboard GROUP BY team"
+    )

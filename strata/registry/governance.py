@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators.governance import GovernedView
-from strata.plans import data_products
+from strata.plans import data_products, governed_files
 from strata.registry.base import query, table
+from strata.registry.ingest import write_csv
 
 TAGS = {"c_acctbal": "finance", "c_name": "personal"}
 
@@ -33,6 +34,23 @@ def governed_aggregate(spark, sf):
     )
 
 
+@query("governed_external_files", """
+SELECT c_custkey AS customer_id, CAST(NULL AS VARCHAR) AS phone, c_mktsegment AS city
+FROM customer""")
+def governed_external_files(spark, sf):
+    """CSV files queried in place through the column policy."""
+    files = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("phone"),
+        F.col("c_mktsegment").alias("city"),
+    )
+    path = write_csv(files, "customers")
+    name = f"customers_{path.rsplit('-', 1)[1]}"
+    schema = "customer_id bigint, phone string, city string"
+    external = governed_files.external_table(spark, name, path, schema)
+    return governed_files.customers(external, mode="mask").select("*")
+
+
 @query("catalog_contract", """
 SELECT domain, quality_slo,
   concat_ws(',', CASE WHEN aspect_domain IS NULL THEN 'aspect_present' END,

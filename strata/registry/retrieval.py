@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.functions.vectors import cosine_distance
 from strata.operators import search as ops
 from strata.plans import retrieval as plan
 from strata.registry.base import query, table
@@ -76,6 +77,23 @@ def vector_mean(spark, sf):
     )
 
 
+@query("vector_own_label_distance", """
+WITH q AS (
+  SELECT label, list(m ORDER BY i) AS centre FROM (
+    SELECT label, i, avg(x::DOUBLE) AS m FROM (
+      SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    GROUP BY label, i) GROUP BY label
+)
+SELECT vec_id, label, round(list_cosine_distance(embedding::DOUBLE[], centre), 6) AS distance
+FROM embeddings JOIN q USING (label)""")
+def vector_own_label_distance(spark, sf):
+    """Cosine distance as a column expression: every vector to the mean of its label."""
+    centres = label_queries(spark, sf).withColumnRenamed("embedding", "centre")
+    joined = table(spark, sf, "embeddings").join(centres, "label")
+    distance = F.round(cosine_distance(F.col("embedding"), F.col("centre")), 6)
+    return joined.select("vec_id", "label", distance.alias("distance"))
+
+
 @query("vector_topk_indexed_exhaustive", SQL_NEAREST + """
 SELECT query_label, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) AS distance
 FROM r WHERE rank <= 5""")

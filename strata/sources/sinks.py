@@ -50,6 +50,12 @@ def overwrite_clustered(df: DataFrame, path: str, cluster: Sequence[str]) -> str
     return path
 
 
+def create_view(df: DataFrame, name: str) -> str:
+    """Store a query under a name; readers run it anew."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def append(df: DataFrame, path: str) -> str:
     """Append to a table that must exist and have exactly these columns."""
     target = df.sparkSession.read.parquet(path)

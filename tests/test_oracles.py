@@ -17,7 +17,11 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
-    assert compare(spark, duck, SF_DIR, name) is None
+    frame = contract.queries()[name](spark, SF_DIR)
+    assert compare(spark, duck, SF_DIR, name, frame) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan  # no row-at-a-time Python
 
 
 def test_every_oracle_has_its_query():
