@@ -14,7 +14,7 @@ def exact_sum(amount: Column) -> Column:
     integer sums (decimal buffers are several times slower).
     """
     whole = F.floor(amount)
-    millionths = F.round((amount - whole) * 1_000_000).cast("bigint")
+    millionths = F.floor((amount - whole) * 1_000_000 + 0.5)
     return (
         F.sum(whole).cast("decimal(38,6)")
         + (F.sum(millionths).cast("decimal(24,0)") / F.lit(1_000_000)).cast("decimal(30,6)")

@@ -17,6 +17,12 @@ from strata.sources.sinks import overwrite, overwrite_clustered, overwrite_parti
 # Sales channels that reach products and marts, and column names.
 CHANNELS = ("web", "marketplace")
 MONTH = "month"
+RAW_SCHEMA = (
+    "order_id string, order_date string, channel string, "
+    "customer struct<customer_id:string,name:string,city:string,segment:string>, "
+    "items array<struct<product_id:string,name:string,category:string,quantity:bigint,"
+    "unit_price:double>>"
+)
 CUSTOMER_MEMBERS = {
     "customer.customer_id": "customer_id",
     "customer.name": "customer_name",
@@ -210,10 +216,13 @@ def build(raw: DataFrame, folder: str, grain: str = "day") -> Warehouse:
 
 
 def build_from_ndjson(
-    spark: SparkSession, path: str, folder: str, grain: str = "day"
+    spark: SparkSession, path: str, folder: str, grain: str = "day", schema: str | None = None
 ) -> Warehouse:
-    """Load nested JSON lines and build the warehouse."""
-    return build(read_ndjson(spark, path), folder, grain)
+    """Load nested JSON lines and build the warehouse.
+
+    Without a schema Spark detects it in a pass over all files; ``RAW_SCHEMA`` saves it.
+    """
+    return build(read_ndjson(spark, path, schema), folder, grain)
 
 
 def partition_values(table: DataFrame, column: str) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from strata.operators.nested import nest_rows, with_spread
 from strata.plans import warehouse as plan
 from strata.registry.base import query, table
+from strata.registry.ingest import write_month_shards
 from strata.session import cut_lineage, scratch_path
+from strata.sources.files import read_text_partitions
 
 LINES = "items"
 
@@ -209,7 +211,8 @@ def warehouse_verification(spark, sf):
     """The whole job: nested JSON lines in, written tables out, counts verified."""
     source = scratch_path(spark, "raw-orders")
     raw_orders(spark, sf).write.json(source)
-    house = plan.build_from_ndjson(spark, source, scratch_path(spark, "warehouse"), "month")
+    target = scratch_path(spark, "warehouse")
+    house = plan.build_from_ndjson(spark, source, target, "month", plan.RAW_SCHEMA)
     return plan.verification(house)
 
 
@@ -217,9 +220,5 @@ def warehouse_verification(spark, sf):
 SELECT strftime(l_shipdate, '%Y%m') AS suffix FROM lineitem GROUP BY 1""")
 def partition_metadata(spark, sf):
     """Partitions a written table has, from its folder names."""
-    from strata.registry.ingest import write_month_shards
-
-    shards = spark.read.parquet(write_month_shards(spark, sf))
-    return plan.partition_values(
-        shards.withColumn("suffix", F.col("suffix").cast("string")), "suffix"
-    )
+    shards = read_text_partitions(spark, write_month_shards(spark, sf), "suffix")
+    return plan.partition_values(shards, "suffix")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.contracts import Contract, check_messages, demand_accepted
 
@@ -101,13 +101,17 @@ def read_jsonl_shards(spark: SparkSession, folder: str, schema: Schema | None =
     )
 
 
+def read_text_partitions(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """A partitioned table whose partition column stays text, leading zeros included."""
+    found = spark.read.parquet(path).schema
+    typed = StructType(
+        [StructField(f.name, StringType()) if f.name == column else f for f in found]
+    )
+    return spark.read.schema(typed).parquet(path)
+
+
 def read_suffix_range(
     spark: SparkSession, path: str, first: str, last: str, suffix: str = "suffix"
 ) -> DataFrame:
-    """Date shards with an inclusive suffix range. The suffix is a partition column
-    read as text, so only the folders of the range are listed in the scan.
-    """
-    shards = spark.read.option("basePath", path).parquet(path)
-    return shards.withColumn(suffix, F.col(suffix).cast("string")).filter(
-        F.col(suffix).between(first, last)
-    )
+    """Date shards with an inclusive suffix range; the other folders are not read."""
+    return read_text_partitions(spark, path, suffix).filter(F.col(suffix).between(first, last))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from strata.sources.files import read_text_partitions
 from strata.sources.sinks import overwrite
 from strata.streaming.tables import each_batch
 
@@ -56,7 +57,9 @@ def load_drops(spark: SparkSession, landing: str, schema: str, target: str) -> D
 
 
 def last_drop(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the newest drop; the other drops' folders are not read."""
-    stored = spark.read.option("basePath", target).parquet(target)
-    newest = stored.agg(F.max(F.col("drop").cast("string"))).scalar()
-    return stored.filter(F.col("drop").cast("string") == newest).drop("drop")
+    """Rows of the newest drop by the text order of drop ids (dates, padded numbers);
+    the other drops' folders are not read.
+    """
+    stored = read_text_partitions(spark, target, "drop")
+    newest = stored.agg(F.max("drop")).scalar()
+    return stored.filter(F.col("drop") == newest).drop("drop")
