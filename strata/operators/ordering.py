@@ -47,14 +47,20 @@ def top_structs(
     )
 
 
+ROW_BITS = 33  # low bits of monotonically_increasing_id: the row's number in its task
+
+
 def _ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows range-sorted into stable numbered pieces.
 
     The pieces are written out first: sampling the range bounds twice could cut
-    them at different places. ``__piece`` is the range, ascending along ``order``.
+    them at different places. ``__piece`` is the range, ascending along ``order``,
+    and ``__rn`` the row's number in it, from 0.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order])
-    return cut_lineage(ranged.withColumn("__piece", F.spark_partition_id()), "ranges")
+    sorted_ranges = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    numbered = sorted_ranges.withColumns({"__piece": F.spark_partition_id(), "__rn": in_task})
+    return cut_lineage(numbered, "ranges")
 
 
 def _before(pieces: DataFrame, totals: Sequence[Column], names: Sequence[str]) -> DataFrame:
@@ -77,11 +83,9 @@ def with_row_ids(df: DataFrame, order: Sequence[str], name: str = "row_id") -> D
     """
     pieces = _ranges(df, order)
     shift = _before(pieces, [F.count(F.lit(1))], ["__shift"])
-    inside = Window.partitionBy("__piece").orderBy(*order)
-    numbered = pieces.withColumn("__rn", F.row_number().over(inside))
     return (
-        numbered.join(F.broadcast(shift), "__piece")  # as many rows as ranges
-        .withColumn(name, (F.col("__shift") + F.col("__rn")).cast("bigint"))
+        pieces.join(F.broadcast(shift), "__piece")  # as many rows as ranges
+        .withColumn(name, F.col("__shift") + F.col("__rn") + 1)
         .select(name, *df.columns)
     )
 
@@ -97,7 +101,7 @@ def with_running_totals(
     names = list(sums.values())
     earlier = _before(pieces, [F.sum(c) for c in sums], [f"__{n}" for n in names])
     inside = (
-        Window.partitionBy("__piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("__piece").orderBy("__rn").rowsBetween(Window.unboundedPreceding, -1)
     )
     local = pieces.select(
         "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(n) for c, n in sums.items()]

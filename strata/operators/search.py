@@ -12,13 +12,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from strata.functions.texts import document_content, is_blank, words
 from strata.functions.vectors import dot
 from strata.operators.ordering import top_rows
+from strata.sources.sinks import overwrite, overwrite_partitioned
 
 DIMENSIONS = 768  # fixed value: size of a text embedding
 OK_STATUS = ""
@@ -224,6 +225,25 @@ def build_cluster_index(
     return ClusterIndex(rows, _unit_rows(np.array(model.clusterCenters(), dtype="float64")))
 
 
+def store_index(index: ClusterIndex, path: str) -> str:
+    """Write the rows in one folder per cluster, and the centres beside them. A big
+    cluster is spread over several files.
+    """
+    overwrite_partitioned(index.rows, f"{path}/rows", ["cluster_id"])
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(index.centres)]
+    spark = index.rows.sparkSession
+    frame = spark.createDataFrame(centres, "cluster_id int, centre array<double>")
+    overwrite(frame, f"{path}/centres")
+    return path
+
+
+def load_index(spark: SparkSession, path: str) -> ClusterIndex:
+    """A stored index; searches read only the folders of the clusters they probe."""
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cluster_id").collect()
+    rows = spark.read.parquet(f"{path}/rows")
+    return ClusterIndex(rows, np.array([r.centre for r in centres], dtype="float64"))
+
+
 def nearest_indexed(
     index: ClusterIndex,
     queries: DataFrame,
@@ -237,8 +257,6 @@ def nearest_indexed(
 ) -> DataFrame:
     """Approximate search: only the ``probes`` clusters nearest to each query are
     compared, and compared exactly. With as many probes as clusters it is exact.
-
-    On an index written partitioned by ``cluster_id`` the filter prunes folders.
     """
     kept = [base_id, *[c for c in columns if c != base_id]]
     rows = index.rows.select(vector, "cluster_id", *kept)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 from strata.operators.quality import Expect, gate
 from strata.operators.search import (
-    ClusterIndex, build_cluster_index, embed_texts, embedded_rows, nearest_exact,
-    nearest_indexed, search_contract,
+    ClusterIndex, build_cluster_index, embed_texts, embedded_rows, load_index, nearest_exact,
+    nearest_indexed, search_contract, store_index,
 )
 
 TOP_K = 5
@@ -23,8 +23,9 @@ def query_embeddings(queries: DataFrame, text: str = "content") -> DataFrame:
     return embedded_rows(embed_texts(queries, text))
 
 
-def index(embedded: DataFrame, clusters: int) -> ClusterIndex:
-    return build_cluster_index(embedded, clusters)
+def index(embedded: DataFrame, clusters: int, path: str) -> ClusterIndex:
+    """Build the index once and store it; ``load_index`` opens it for later searches."""
+    return load_index(embedded.sparkSession, store_index(build_cluster_index(embedded, clusters), path))
 
 
 def search(

@@ -59,7 +59,7 @@ def test_exact_search_equals_brute_force(spark, base, block):
     assert few.count() == 30  # fewer vectors than neighbours asked for
 
 
-def test_index_probed_whole_is_exact_and_in_part_mostly(spark, base):
+def test_index_probed_whole_is_exact_and_in_part_mostly(spark, base, folder):
     _, frame = base
     queries = spark.createDataFrame(vectors(8, 8, 3), "q int, embedding array<double>")
     index = search.build_cluster_index(frame, 6)
@@ -68,6 +68,11 @@ def test_index_probed_whole_is_exact_and_in_part_mostly(spark, base):
     whole = search.nearest_indexed(index, queries, 5, "id", "q", probes=6)
     assert rows(whole) == rows(exact)
     part = search.nearest_indexed(index, queries, 5, "id", "q", probes=3)
+    stored = search.load_index(spark, search.store_index(index, f"{folder}/index"))
+    pruned = search.nearest_indexed(stored, queries.filter("q = 0"), 5, "id", "q", probes=1)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cluster_id" in plan
+    assert rows(search.nearest_indexed(stored, queries, 5, "id", "q", probes=3)) == rows(part)
     recall = search.recall(part, exact, "q", "id").agg(F.avg("recall")).first()[0]
     assert recall >= 0.5
 
@@ -78,7 +83,7 @@ def test_mean_vectors(spark):
     assert rows(search.mean_vectors(frame, "k")) == [(1, [2.0, 3.0]), (2, [5.0, 6.0])]
 
 
-def test_text_search_end_to_end(spark):
+def test_text_search_end_to_end(spark, folder):
     posts = spark.createDataFrame(
         [(1, "Beam windows", "<p>apache beam window trigger</p>", "Dataflow|python", 9),
          (2, "Load tables", "<p>load csv files into tables</p>", "bigquery", 5),
@@ -94,7 +99,7 @@ def test_text_search_end_to_end(spark):
     results = retrieval.search(embedded, question, 2)
     assert [r.document_id for r in results.orderBy("rank").collect()] == ["1", "2"]
     assert all(r.ok for r in retrieval.verify(results).collect())
-    indexed = retrieval.search(retrieval.index(embedded, 2), question, 2, probes=2)
+    indexed = retrieval.search(retrieval.index(embedded, 2, f"{folder}/index"), question, 2, probes=2)
     assert rows(indexed) == rows(results)
     none = retrieval.verify(results.limit(0))
     assert not all(r.ok for r in none.collect())
