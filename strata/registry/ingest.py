@@ -173,7 +173,8 @@ def external_table_summary(spark, sf):
     return summary.withColumn("total", F.col("total").cast("double"))
 
 
-@query("csv_export", "SELECT c_custkey AS customer_id, c_name AS full_name, c_mktsegment AS segment FROM customer")
+@query("csv_export", """
+SELECT c_custkey AS customer_id, c_name AS full_name, c_mktsegment AS segment FROM customer""")
 def csv_export(spark, sf):
     header = {"c_custkey": "customer_id", "c_name": "full_name", "c_mktsegment": "segment"}
     path = sinks.export_csv(

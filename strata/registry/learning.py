@@ -134,9 +134,25 @@ def ml_train_score(spark, sf):
     return trained.predictions
 
 
-@query("ml_evaluation")
+@query("ml_scored_visitors", SQL_FEATURES + """
+SELECT visitor_id, 1::BIGINT AS predictions, true AS is_probability FROM f
+WHERE suffix BETWEEN '20010101' AND '20011231' GROUP BY visitor_id""")
+def ml_scored_visitors(spark, sf):
+    """Every visitor of the scoring range has one prediction, and it is a probability."""
+    trained = purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE)
+    probability = F.col("transaction_probability").between(0, 1)
+    return trained.predictions.groupBy("visitor_id").agg(
+        F.count(F.lit(1)).alias("predictions"), F.bool_and(probability).alias("is_probability")
+    )
+
+
+@query("ml_evaluation", """
+SELECT * FROM (VALUES ('precision', true), ('recall', true), ('roc_auc', true),
+  ('predictions', true)) AS t(metric, ok)""")
 def ml_evaluation(spark, sf):
-    return purchases.verify(purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE))
+    """The gate on the trained model's metrics: ranges, AUC above chance, predictions."""
+    trained = purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE)
+    return purchases.verify(trained).select("metric", "ok")
 
 
 @query("best_per_key_from_array", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.vectors import cosine_distance
+from strata.functions.vectors import cosine_distance, norm
 from strata.operators import search as ops
 from strata.plans import retrieval as plan
 from strata.registry.base import query, table
@@ -158,6 +158,20 @@ def embedding_status(spark, sf):
     return embedded.groupBy("status").agg(F.count(F.lit(1)).alias("documents"))
 
 
+@query("embedding_lengths", """
+SELECT doc_id AS document_id, 768 AS dimensions,
+       CASE WHEN replace(text, ' ', '') = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS length
+FROM documents""")
+def embedding_lengths(spark, sf):
+    """Every text with a word has a unit vector, every other a zero vector."""
+    embedded = ops.embed_texts(embedded_documents(spark, sf))
+    return embedded.select(
+        "document_id",
+        F.size("embedding").alias("dimensions"),
+        F.round(norm(F.col("embedding")), 4).alias("length"),
+    )
+
+
 @query("semantic_search")
 def semantic_search(spark, sf):
     """One question against all documents."""

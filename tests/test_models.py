@@ -85,17 +85,17 @@ def test_mean_vectors(spark):
 
 def test_text_search_end_to_end(spark, folder):
     posts = spark.createDataFrame(
-        [(1, "Beam windows", "<p>apache beam window trigger</p>", "Dataflow|python", 9),
-         (2, "Load tables", "<p>load csv files into tables</p>", "bigquery", 5),
+        [(1, "Open windows", "<p>stream window trigger</p>", "Streaming|python", 9),
+         (2, "Load tables", "<p>load csv files into tables</p>", "warehouse", 5),
          (3, "Paint", "walls", "diy", 99), (4, None, "x", "etl", 7), (5, "T", None, "etl", 7)],
         "id bigint, title string, body string, tags string, score bigint")
-    documents = search.top_documents(posts, "(bigquery|dataflow|apache-beam|etl)")
+    documents = search.top_documents(posts, "(warehouse|streaming|etl)")
     assert [r.document_id for r in documents.collect()] == ["1", "2"]
-    assert search.top_documents(posts, "etl|bigquery|dataflow", limit=1).count() == 1
+    assert search.top_documents(posts, "etl|warehouse|streaming", limit=1).count() == 1
     embedded = retrieval.document_embeddings(documents)
     assert len(embedded.first().embedding) == search.DIMENSIONS
     question = retrieval.query_embeddings(
-        spark.createDataFrame([(0, "window trigger in beam")], "query_id int, content string"))
+        spark.createDataFrame([(0, "window trigger in a stream")], "query_id int, content string"))
     results = retrieval.search(embedded, question, 2)
     assert [r.document_id for r in results.orderBy("rank").collect()] == ["1", "2"]
     assert all(r.ok for r in retrieval.verify(results).collect())
