@@ -146,6 +146,10 @@ def check_messages(df: DataFrame, contract: Contract, value: str = "value") -> D
     """
     raw = F.col(value).cast("string")
     kept = [c for c in df.columns if c != value]
+    fields = [part.split() for part in contract.columns.split(",")]
+    clash = {PAYLOAD, ERROR, *(name for name, _ in fields)} & set(kept)
+    if clash:
+        raise ValueError(f"Rename the message columns {sorted(clash)} first")
     parsed = df.select(
         *kept, F.make_valid_utf8(raw).alias(PAYLOAD), F.is_valid_utf8(raw).alias(_UTF8)
     ).withColumn(_BODY, F.try_parse_json(PAYLOAD))
@@ -170,7 +174,6 @@ def check_messages(df: DataFrame, contract: Contract, value: str = "value") -> D
         *[_failure(check) for check in contract.checks],
         F.lit(None).cast("string"),
     )
-    fields = [part.split() for part in contract.columns.split(",")]
     accepted_row = F.col(ERROR).isNull()
     outcome = F.struct(
         PAYLOAD,

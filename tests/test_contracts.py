@@ -94,6 +94,12 @@ def test_encode_sorts_keys_and_keeps_nulls(spark):
     assert c.encode(frame).first().value == '{"b":1,"a":null,"c":"é"}'
 
 
+def test_columns_of_equal_name_are_refused(spark):
+    frame = spark.createDataFrame([("e", GOOD)], "event_id string, value string")
+    with pytest.raises(ValueError, match="event_id"):
+        c.check_messages(frame, c.corridor_contract())
+
+
 def test_contract_of_empty_frame(spark):
     frame = spark.createDataFrame([], "value string")
     checked = c.check_messages(frame, c.traffic_contract())
