@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing
+from strata.llm import decontaminate, mixing, sharding
 from strata.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,46 @@ FROM placed""")
 def op7(spark, sf_dir):
     rows = mixing.copies_per_row(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def sql_shingles(table: str, key: str, size: int) -> str:
+    """Distinct shingles of a table: ``key, shingle``; shorter texts are one shingle."""
+    return f"""
+  SELECT DISTINCT {key}, array_to_string(w[i : i + {size} - 1], ' ') AS shingle
+  FROM (SELECT {key}, w, unnest(generate_series(1, greatest(len(w) - {size} + 1, 1))) AS i
+        FROM (SELECT {key}, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w
+              FROM {table}) WHERE len(w) > 0)"""
+
+
+@register("op3_benchmark_matches", f"""
+WITH items AS ({sql_shingles('benchmark', 'item_id', 5)}),
+docs AS ({sql_shingles('documents', 'doc_id', 5)}),
+sizes AS (SELECT item_id, COUNT(*) AS n_shingles FROM items GROUP BY item_id),
+found AS (SELECT doc_id, item_id, COUNT(*) AS n_found FROM docs JOIN items USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+FROM found JOIN sizes USING (item_id) WHERE 100 * n_found >= 80 * n_shingles""")
+def op3(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op10_hash_shards", """
+WITH hashed AS (
+  SELECT doc_id, CAST('0x' || substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h,
+         COALESCE(strlen(text), 0) AS bytes FROM documents),
+buckets AS (
+  SELECT bits, h >> (60 - bits) AS prefix, SUM(bytes) AS bytes, COUNT(*) AS n,
+         SUM(bytes) <= 1048576 OR MIN(h) = MAX(h) AS fits
+  FROM hashed, (SELECT unnest(generate_series(0, 60)) AS bits) GROUP BY ALL),
+shards AS (
+  SELECT b.* FROM buckets b LEFT JOIN buckets p ON p.bits = b.bits - 1 AND p.prefix = b.prefix >> 1
+  WHERE b.fits AND (b.bits = 0 OR NOT p.fits))
+SELECT doc_id, CASE WHEN bits = 0 THEN '' ELSE right(lpad(CAST(prefix::BIT AS VARCHAR), 64, '0'), bits::INT) END AS shard,
+       CAST(bits AS INT) AS shard_bits, CAST(s.bytes AS BIGINT) AS shard_bytes, n AS shard_rows,
+       s.bytes > 1048576 AS oversized
+FROM hashed d JOIN shards s ON d.h >> (60 - s.bits) = s.prefix""")
+def op10(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.with_shards(docs).drop("text")
