@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, sharding
+from strata.llm import decontaminate, mixing, secrets, sharding
 from strata.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,55 @@ FROM hashed d JOIN shards s ON d.h >> (60 - s.bits) = s.prefix""")
 def op10(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.with_shards(docs).drop("text")
+
+
+def _sql_secrets() -> str:
+    """The scan in DuckDB: positions from the pieces between matches, then a join in scope."""
+    parts, ok = [], {
+        "assign": "length(regexp_extract(m, '{p}', 2)) >= 6",
+        "key": "length(m) = 40 AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')"
+               " AND regexp_matches(m, '[0-9]')",
+    }
+    for kind, (pattern, _) in secrets.KINDS.items():
+        p = pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT rid, {secrets.ORDER[kind]} AS k, '{kind}' AS kind, i, gaps[i] AS gap, found[i] AS m,
+         {ok.get(kind, 'true').replace('{p}', p)} AS ok
+  FROM (SELECT rid, unnest(generate_series(1, len(found))) AS i, found, gaps, found[i] AS m
+        FROM (SELECT rid, regexp_extract_all(text, '{p}') AS found, string_split_regex(text, '{p}') AS gaps
+              FROM docs WHERE regexp_matches(text, '{p}')))""")
+    beside = " OR ".join(
+        f"(w.kind = '{weak}' AND o.kind IN ({', '.join(repr(x) for x in others)}))"
+        for weak, others in secrets.COMPLEMENTS.items())
+    base = ", ".join(repr(k) for k in secrets.BASE)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, COALESCE(text, '') AS text FROM documents),
+pieces AS ({" UNION ALL ".join(parts)}),
+placed AS (
+  SELECT *, SUM(length(gap) + length(m)) OVER (PARTITION BY rid, k ORDER BY i) AS stop FROM pieces),
+spans AS (
+  SELECT rid, k, kind, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop
+  FROM placed WHERE ok),
+reported AS (
+  SELECT * FROM spans WHERE kind IN ({base})
+  UNION ALL
+  SELECT * FROM spans w WHERE EXISTS (
+    SELECT 1 FROM spans o WHERE o.rid = w.rid AND ({beside})
+      AND o.start <= w.start + {secrets.SCOPE} AND o.stop >= w.start - {secrets.SCOPE})),
+lists AS (
+  SELECT rid, COUNT(*) FILTER (kind = 'assign') AS n_assign, COUNT(*) FILTER (kind = 'access') AS n_access,
+         COUNT(*) FILTER (kind = 'hex') AS n_hex, COUNT(*) FILTER (kind NOT IN ({base})) AS n_linked,
+         COALESCE(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k)
+                  FILTER (kind IN ({base})), '') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans
+  FROM reported GROUP BY rid)
+SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access,
+       COALESCE(n_hex, 0) AS n_hex, sha256(COALESCE(base, '')) AS base_sha256,
+       COALESCE(spans, '') AS spans, COALESCE(n_linked, 0) AS n_linked
+FROM docs LEFT JOIN lists USING (rid)"""
+
+
+@register("op4_linked_secrets", _sql_secrets())
+def op4(spark, sf_dir):
+    return secrets.scan(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked")
