@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, secrets, sharding
-from strata.session import tune
+from strata.llm import decontaminate, mixing, secrets, sharding, warc
+from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -158,3 +158,23 @@ FROM docs LEFT JOIN lists USING (rid)"""
 def op4(spark, sf_dir):
     return secrets.scan(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked")
+
+
+@register("op9_warc_captures", """
+WITH payloads AS (
+  SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes, sha1(COALESCE(html, '')) AS hex FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (CAST('0x' || substr(hex, CAST(i // 4 AS INT) * 5 + 1, 5) AS INT) >> (15 - 5 * (i % 4))::INT) % 32 + 1, 1)
+    FOR i IN range(32)], '') AS payload_digest
+  FROM payloads),
+firsts AS (SELECT payload_digest, payload_bytes, MIN(page_id) AS first FROM digests GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests JOIN firsts USING (payload_digest, payload_bytes)""")
+def op9(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), path)
+    return warc.page_index(spark, path)
