@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, secrets, sharding, warc
+from strata.llm import decontaminate, mixing, neardup, secrets, sharding, warc
 from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,20 @@ def op9(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(read(spark, sf_dir, "pages"), path)
     return warc.page_index(spark, path)
+
+
+@register("op5_near_duplicates", f"""
+WITH RECURSIVE sets AS MATERIALIZED ({sql_shingles('documents', 'doc_id', 4)}),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * COUNT(*) >= 80 * (ANY_VALUE(x.n) + ANY_VALUE(y.n) - COUNT(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT a AS doc_id, COALESCE(ANY_VALUE(n), 0) AS n_shingles, MIN(b) AS component_id, a = MIN(b) AS kept
+FROM reach LEFT JOIN sizes ON sizes.doc_id = a GROUP BY a""")
+def op5(spark, sf_dir):
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
