@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, neardup, secrets, sharding, warc
+from strata.llm import anomalies, decontaminate, mixing, neardup, secrets, sharding, warc
 from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,10 @@ SELECT a AS doc_id, COALESCE(ANY_VALUE(n), 0) AS n_shingles, MIN(b) AS component
 FROM reach LEFT JOIN sizes ON sizes.doc_id = a GROUP BY a""")
 def op5(spark, sf_dir):
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@register("op6_anomalous_documents")
+def op6(spark, sf_dir):
+    return anomalies.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "score", "anomalous")
