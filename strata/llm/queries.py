@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import anomalies, decontaminate, mixing, neardup, secrets, sharding, warc
+from strata.llm import anomalies, decontaminate, hmm, mixing, neardup, secrets, sharding, warc
 from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,9 @@ def op6(spark, sf_dir):
     return anomalies.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "score", "anomalous")
+
+
+@register("op8_hmm_scores")
+def op8(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", hmm.remainder(F.col("doc_id"), 7) == 2)
+    return hmm.scored(docs)
