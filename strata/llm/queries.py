@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import anomalies, decontaminate, hmm, mixing, neardup, secrets, sharding, warc
+from strata.llm import anomalies, decontaminate, hmm, language, mixing, neardup, secrets, sharding, warc
 from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,12 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").withColumn("held_out", hmm.remainder(F.col("doc_id"), 7) == 2)
     return hmm.scored(docs)
+
+
+@register("op2_word_languages")
+def op2(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = hmm.remainder(F.col("doc_id"), 3) == 1
+    labelled = docs.filter(~held_out & F.col("lang").isNotNull()).select(F.col("lang").alias("label"), "text")
+    texts = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language.identified(texts, language.fitted(labelled))
