@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import anomalies, decontaminate, hmm, language, mixing, neardup, secrets, sharding, warc
+from strata.llm import (
+    anomalies, decontaminate, hmm, language, mixing, neardup, secrets, sharding, surrogates, warc,
+)
 from strata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +219,9 @@ def op2(spark, sf_dir):
     labelled = docs.filter(~held_out & F.col("lang").isNotNull()).select(F.col("lang").alias("label"), "text")
     texts = docs.select("doc_id", held_out.alias("held_out"), "text")
     return language.identified(texts, language.fitted(labelled))
+
+
+@register("op1_surrogates")
+def op1(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs)
