@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strata.llm import (
     anomalies, decontaminate, hmm, language, mixing, neardup, secrets, sharding, surrogates, warc,
 )
@@ -225,3 +226,8 @@ def op2(spark, sf_dir):
 def op1(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.with_surrogates(docs)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
