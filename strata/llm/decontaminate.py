@@ -145,15 +145,13 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that hold an item; rows pass through their task unchanged."""
 
-    def keep(block):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in tokens.slices(batch):
-                    clean = np.ones(part.num_rows, dtype=bool)
-                    clean[[m[0] for m in block.value.matches(part.column("text"), size)]] = False
-                    yield part.filter(pa.array(clean))
-        return run
+    def clean(block):
+        def keep(part: pa.RecordBatch) -> np.ndarray:
+            out = np.ones(part.num_rows, dtype=bool)
+            out[[m[0] for m in block.value.matches(part.column("text"), size)]] = False
+            return out
+        return keep
 
     for block in _blocks(docs, items, size, percent):
-        docs = docs.mapInArrow(keep(block), docs.schema)
+        docs = tokens.filtered(docs, clean(block))
     return docs

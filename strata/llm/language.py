@@ -322,10 +322,13 @@ def _verdicts(field: Field, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarr
     return names, np.clip(score, 0, 1), letters, switches
 
 
+VERDICT = ("lang_pred", "score", "n_words", "n_switches")
+
+
 def identified(docs: DataFrame, field: Field) -> DataFrame:
-    """``docs`` (with ``text``) without the text, and ``lang_pred, score, n_words, n_switches``."""
+    """``docs`` (with ``text``) without the text, and the columns of ``VERDICT``, which replace others of the name."""
     model = docs.sparkSession.sparkContext.broadcast(field)  # buckets times labels, a few megabytes
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", *VERDICT)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,7 +337,7 @@ def identified(docs: DataFrame, field: Field) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in others], pa.array(names, pa.string()), pa.array(score),
                      pa.array(letters, pa.int64()), pa.array(switches, pa.int64())],
-                    [*others, "lang_pred", "score", "n_words", "n_switches"])
+                    [*others, *VERDICT])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema)
     return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double, n_words long, n_switches long")
@@ -344,11 +347,8 @@ def keep_identified(docs: DataFrame, field: Field, least: float = 0.35) -> DataF
     """The rows of ``docs`` with a language of at least that score, unchanged."""
     model = docs.sparkSession.sparkContext.broadcast(field)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tokens.slices(batch, limit=2 * tokens.SLICE_BYTES):
-                names, score, _, _ = _verdicts(model.value, part.column("text"))
-                sure = (np.array(names, object) != UNKNOWN) & (score >= least)
-                yield part.filter(pa.array(sure.astype(bool)))
+    def sure(part: pa.RecordBatch) -> np.ndarray:
+        names, score, _, _ = _verdicts(model.value, part.column("text"))
+        return np.array([n != UNKNOWN for n in names], dtype=bool) & (score >= least)
 
-    return docs.mapInArrow(run, docs.schema)
+    return tokens.filtered(docs, sure, 2 * tokens.SLICE_BYTES)

@@ -115,5 +115,6 @@ def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard; rows of a shard go to one writer, which its byte limit bounds."""
-    sharded.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    """One folder per shard, ``b`` and its bits; a shard goes to one writer, which its limit bounds."""
+    named = sharded.withColumn("shard", F.concat(F.lit("b"), F.col("shard")))
+    named.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -10,12 +10,15 @@ document is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 BLOCK = 1 << 20  # bytes hashed at once
 SLICE_BYTES = 4 << 20  # text of documents looked at together
@@ -126,6 +129,24 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         row = upto
 
 
+def filtered(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], limit: int = SLICE_BYTES) -> DataFrame:
+    """The rows of ``docs`` for which ``keep``, given batches with ``text``, is true, unchanged.
+
+    Rows travel as one column, whatever their own columns are called.
+    """
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            whole = pa.RecordBatch.from_arrays([row, row.field(place)], ["row", "text"])
+            for part in slices(whole, limit=limit):
+                yield part.filter(pa.array(keep(part), pa.bool_())).select(["row"])
+
+    schema = StructType([StructField("row", docs.schema)])
+    return docs.select(F.struct("*").alias("row")).mapInArrow(run, schema).select("row.*")
+
+
 def sequence_hash(h: np.ndarray, size: int) -> np.ndarray:
     """Fingerprints of all runs of ``size`` consecutive values."""
     n = len(h) - size + 1
