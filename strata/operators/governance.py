@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.quality import Rule
+
 
 class AccessDenied(PermissionError):
     """A protected column was read without its grant."""
@@ -53,13 +55,12 @@ CLASSIFICATIONS = ("PUBLIC", "INTERNAL", "CONFIDENTIAL")
 MINIMUM_SLO = 0.95
 
 
-def catalog_rules(minimum_slo: float = MINIMUM_SLO) -> dict[str, str]:
+def catalog_rules(minimum_slo: float = MINIMUM_SLO) -> tuple[Rule, ...]:
     """Row rules for a catalog: entry(domain, aspect struct, owners array)."""
-    kinds = ", ".join(f"'{c}'" for c in CLASSIFICATIONS)
-    return {
-        "aspect_present": "aspect IS NOT NULL",
-        "domain_matches": "aspect.domain = domain",
-        "slo_sufficient": f"aspect.quality_slo >= {minimum_slo}",
-        "classification_known": f"aspect.classification IN ({kinds})",
-        "owner_present": "size(owners) > 0",
-    }
+    return (
+        Rule("aspect_present", "aspect", "non_null"),
+        Rule("domain_matches", "aspect.domain", "equals_column", other="domain"),
+        Rule("slo_sufficient", "aspect.quality_slo", "range", minimum=minimum_slo),
+        Rule("classification_known", "aspect.classification", "in_set", values=CLASSIFICATIONS),
+        Rule("owner_present", "owners", "not_empty"),
+    )

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import cut_lineage
-
 
 def struct_of(renames: dict[str, str]) -> Column:
     """A struct from (nested) columns under new member names."""
@@ -32,50 +30,23 @@ def element_where(array: str, key: str, wanted: int, value: str) -> Column:
     return F.get(F.filter(array, lambda e: e[key] == wanted), F.lit(0))[value]
 
 
-SPREAD = "__spread"
-BROADCAST_KEYS = 100_000  # two numbers per key: a few megabytes at most
-
-
-def with_spread(scan: DataFrame) -> DataFrame:
-    """Tag rows of a file scan with a running number to split hot keys by.
-
-    Unlike a row hash it also separates exact copies. Put it directly on a scan,
-    where a repeated task sees the same rows in the same order.
-    """
-    return scan.withColumn(SPREAD, F.monotonically_increasing_id())
-
-
-def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows, and how many: ``key, __n``."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
-
-
 def nest_rows(
     df: DataFrame,
     key: str,
     array: str,
     members: Sequence[Column],
-    counted: DataFrame | None = None,
+    number: Column,
     per_record: int = 1000,
 ) -> DataFrame:
     """Gather flat rows into ``key, part, array<struct>`` records of bounded size.
 
-    A key with up to ``per_record`` rows gives one record (part 0). A bigger one is
-    spread over as many records as needed, so that no array and no task has to hold
-    a hot key whole. Readers that add up over the key see no difference. ``df``
-    carries the column of ``with_spread``; ``counted`` is a cheaper frame to count
-    the keys in, such as the scan before its joins.
+    ``(key, part)`` is the key of a record. ``number`` is the element's own number within
+    its key, from 1 (such as a line number); numbers 1 to ``per_record`` make part 0, the
+    next ones part 1, and so on, whatever else the key holds. So a hot key is neither
+    counted first nor held by one task, and a record's content does not depend on how many
+    elements its key has. A NULL number counts as 1.
     """
-    hot = cut_lineage(hot_keys(df if counted is None else counted, key, per_record), "hot-keys")
-    number = hot.count()
-    if number == 0:
-        flat = df.withColumn("part", F.lit(0))
-    else:
-        # Few hot keys travel to every task; many are joined by shuffle, which AQE
-        # splits where a key is hot.
-        side = F.broadcast(hot) if number <= BROADCAST_KEYS else hot
-        record = F.pmod(F.xxhash64(SPREAD), F.ceil(F.col("__n") / per_record)).cast("int")
-        flat = df.join(side, key, "left").withColumn("part", F.coalesce(record, F.lit(0)))
+    part = F.floor((F.coalesce(number, F.lit(1)) - 1) / per_record).cast("int")
     # Plain rows are shuffled, not half-filled arrays: a task rarely has two rows of a key.
-    flat = flat.repartition(F.col(key), F.col("part"))
+    flat = df.withColumn("part", part).repartition(F.col(key), F.col("part"))
     return flat.groupBy(key, "part").agg(F.collect_list(F.struct(*members)).alias(array))

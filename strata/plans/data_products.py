@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.governance import catalog_rules
 from strata.operators.quality import (
-    Expect, ScanRule, counts_row, demand_gate, diagnose, gate, scan, scan_score,
+    Expect, Rule, counts_row, demand_gate, diagnose, gate, scan, scan_score,
 )
 from strata.sources.files import read_ndjson_typed
 from strata.sources.sinks import overwrite
@@ -22,17 +22,17 @@ CUSTOMER_COLUMNS = {
     "consent": "boolean",
 }
 ORDER_RULES = (
-    ScanRule("order_id_complete", "order_id", "non_null", "COMPLETENESS"),
-    ScanRule("order_id_unique", "order_id", "unique", "UNIQUENESS"),
-    ScanRule("valid_status", "status", "in_set", "VALIDITY",
+    Rule("order_id_complete", "order_id", "non_null", "COMPLETENESS"),
+    Rule("order_id_unique", "order_id", "unique", "UNIQUENESS"),
+    Rule("valid_status", "status", "in_set", "VALIDITY",
              values=("PAID", "SHIPPED", "CANCELLED")),
-    ScanRule("positive_amount", "amount", "range", "VALIDITY", minimum=0, strict_minimum=True),
+    Rule("positive_amount", "amount", "range", "VALIDITY", minimum=0, strict_minimum=True),
 )
 CUSTOMER_RULES = (
-    ScanRule("customer_id_complete", "customer_id", "non_null", "COMPLETENESS"),
-    ScanRule("customer_id_unique", "customer_id", "unique", "UNIQUENESS"),
-    ScanRule("valid_email", "email", "regex", "VALIDITY", pattern="^[^@]+@[^@]+[.][^@]+$"),
-    ScanRule("consent_complete", "consent", "non_null", "COMPLETENESS"),
+    Rule("customer_id_complete", "customer_id", "non_null", "COMPLETENESS"),
+    Rule("customer_id_unique", "customer_id", "unique", "UNIQUENESS"),
+    Rule("valid_email", "email", "regex", "VALIDITY", pattern="^[^@]+@[^@]+[.][^@]+$"),
+    Rule("consent_complete", "consent", "non_null", "COMPLETENESS"),
 )
 
 
@@ -51,7 +51,7 @@ def row_counts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def scan_domain(df: DataFrame, rules: tuple[ScanRule, ...]) -> DataFrame:
+def scan_domain(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Scan rows; raises unless every rule passed with a score of 100."""
     result = scan(df, rules)
     demand_gate(

@@ -18,7 +18,7 @@ from strata.sources.sinks import overwrite, overwrite_clustered, overwrite_parti
 CHANNELS = ("web", "marketplace")
 MONTH = "month"
 RAW_SCHEMA = (
-    "order_id string, order_date string, channel string, "
+    "order_id string, part int, order_date string, channel string, "
     "customer struct<customer_id:string,name:string,city:string,segment:string>, "
     "items array<struct<product_id:string,name:string,category:string,quantity:bigint,"
     "unit_price:double>>"
@@ -39,9 +39,14 @@ ITEM_MEMBERS = {
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:
-    """Typed orders with renamed members; orders without id or items are left out."""
+    """Typed orders with renamed members; orders without id or items are left out.
+
+    The key is ``(order_id, part)``. Sources with one record per order need no ``part``.
+    """
+    part = F.coalesce("part", F.lit(0)) if "part" in raw.columns else F.lit(0)
     return raw.filter(F.col("order_id").isNotNull() & (F.size("items") > 0)).select(
         "order_id",
+        part.cast("int").alias("part"),
         F.to_date("order_date").alias("order_date"),
         "channel",
         struct_of(CUSTOMER_MEMBERS).alias("customer"),

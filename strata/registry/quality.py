@@ -165,14 +165,14 @@ def assertion_report(spark, sf):
 
 
 CUSTOMER_SCAN = (
-    ops.ScanRule("key_complete", "c_custkey", "non_null", "COMPLETENESS"),
-    ops.ScanRule("key_unique", "c_custkey", "unique", "UNIQUENESS"),
-    ops.ScanRule("nation_unique", "c_nationkey", "unique", "UNIQUENESS"),
-    ops.ScanRule("known_segment", "c_mktsegment", "in_set", "VALIDITY", threshold=0.3,
+    ops.Rule("key_complete", "c_custkey", "non_null", "COMPLETENESS"),
+    ops.Rule("key_unique", "c_custkey", "unique", "UNIQUENESS"),
+    ops.Rule("nation_unique", "c_nationkey", "unique", "UNIQUENESS"),
+    ops.Rule("known_segment", "c_mktsegment", "in_set", "VALIDITY", threshold=0.3,
                  values=("BUILDING", "MACHINERY")),
-    ops.ScanRule("positive_balance", "c_acctbal", "range", "VALIDITY", threshold=0.9,
+    ops.Rule("positive_balance", "c_acctbal", "range", "VALIDITY", threshold=0.9,
                  minimum=0, strict_minimum=True),
-    ops.ScanRule("name_shape", "c_name", "regex", "VALIDITY", pattern="^Customer#[0-9]{9}$"),
+    ops.Rule("name_shape", "c_name", "regex", "VALIDITY", pattern="^Customer#[0-9]{9}$"),
 )
 
 SQL_SCAN = """

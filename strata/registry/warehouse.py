@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.nested import nest_rows, with_spread
+from strata.operators.nested import nest_rows
 from strata.plans import warehouse as plan
 from strata.registry.base import query, table
 from strata.registry.ingest import write_month_shards
@@ -31,9 +31,8 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
-    lineitem = table(spark, sf, "lineitem")
-    lines = with_spread(
-        lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
     ).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     nested = nest_rows(
         lines,
@@ -46,7 +45,7 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_quantity").cast("bigint").alias("quantity"),
             F.col("l_extendedprice").alias("unit_price"),
         ],
-        counted=lineitem,
+        F.col("l_linenumber"),
     )
     priority = F.col("o_orderpriority")
     channel = (
@@ -61,6 +60,7 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
         .join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
             F.col("o_orderkey").cast("string").alias("order_id"),
+            "part",
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
             channel.alias("channel"),
             "customer",
@@ -89,11 +89,12 @@ WITH o AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ), i AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
+         CAST((l_linenumber - 1) // 1000 AS INTEGER) AS part,
          p_name AS product_name, p_type AS category, CAST(l_quantity AS BIGINT) AS quantity,
          l_extendedprice AS unit_price
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ), s AS (
-  SELECT o.*, i.product_id, i.product_name, i.category, i.quantity, i.unit_price
+  SELECT o.*, i.part, i.product_id, i.product_name, i.category, i.quantity, i.unit_price
   FROM o JOIN i USING (order_id)
 ), c AS (
   SELECT customer_id, any_value(customer_name) AS customer_name, any_value(city) AS city,
@@ -124,20 +125,15 @@ WITH o AS (
 
 
 @query("nested_staging", SQL_BASE + """
-SELECT order_id, order_date, channel, customer_id, customer_name, city, segment,
-       count(*) AS item_count, CAST(sum(quantity) AS BIGINT) AS units
+SELECT order_id, part, order_date, channel, customer_id, customer_name, city, segment,
+       CAST(count(*) AS INTEGER) AS item_count, CAST(sum(quantity) AS BIGINT) AS units
 FROM s GROUP BY ALL""")
 def nested_staging(spark, sf):
+    """Staged records; an order with very many lines has several, by ``part``."""
     units = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, e: n + e["quantity"])
-    # An order with very many items comes as several records; add them up.
-    return (
-        staged(spark, sf)
-        .select("order_id", "order_date", "channel", "customer.*",
-                F.size("items").alias("__n"), units.alias("__u"))
-        .groupBy("order_id", "order_date", "channel", "customer_id", "customer_name", "city",
-                 "segment")
-        .agg(F.sum("__n").alias("item_count"), F.sum("__u").alias("units"))
-    )
+    return staged(spark, sf).select(
+        "order_id", "part", "order_date", "channel", "customer.*",
+        F.size("items").alias("item_count"), units.alias("units"))
 
 
 @query("dim_customers", SQL_BASE + "SELECT * FROM c")

@@ -1,4 +1,5 @@
 import datetime
+import math
 import random
 
 import pytest
@@ -27,6 +28,17 @@ def test_exact_sum_does_not_drift(spark):
     assert nothing[0] is None
 
 
+def test_exact_sum_keeps_small_and_large_amounts(spark):
+    frame = spark.range(1000).select(F.lit(4e-7).alias("small"), F.lit(1e19).alias("large"), F.lit(-4e-7).alias("debt"),
+                                     F.when(F.col("id") % 2 == 0, 1e19).otherwise(-1e19).alias("none"))
+    row = frame.agg(*[numbers.exact_sum(F.col(c)).alias(c) for c in frame.columns]).first()
+    assert [str(v) for v in row] == ["0.000400", "10000000000000000000000.000000", "-0.000400", "0.000000"]
+    draw = random.Random(3)
+    values = [draw.uniform(-1, 1) * 10 ** draw.randint(-6, 12) for _ in range(3000)]
+    total = spark.createDataFrame([(v,) for v in values], "v double").repartition(5).agg(numbers.exact_sum(F.col("v"))).first()[0]
+    assert abs(float(total) - math.fsum(values)) <= 1e-3
+
+
 def test_percent_of_zero_and_null_is_null(spark):
     frame = spark.createDataFrame([(1.0, 4.0), (1.0, 0.0), (None, 2.0)], "a double, b double")
     assert [r[0] for r in frame.select(numbers.percent(F.col("a"), F.col("b"))).collect()] == [

@@ -54,18 +54,21 @@ def test_running_totals_equal_a_loop(spark):
         total += n
 
 
-@pytest.mark.parametrize("broadcast_keys", [nested.BROADCAST_KEYS, 0])
-def test_nested_records_stay_bounded_for_a_hot_key_of_copies(spark, monkeypatch, broadcast_keys):
-    monkeypatch.setattr(nested, "BROADCAST_KEYS", broadcast_keys)
-    data = [("hot", 1, 2)] * 5000 + [(f"k{i % 300}", i, 1) for i in range(900)]
-    frame = nested.with_spread(
-        spark.createDataFrame(data, "k string, i int, q int").repartition(4)
-    )
-    records = nested.nest_rows(frame, "k", "items", [F.col("i"), F.col("q")], per_record=100)
-    sizes = rows(records.select("k", "part", F.size("items").alias("n")))
-    hot = [n for k, _, n in sizes if k == "hot"]
-    assert sum(hot) == 5000 and len(hot) == 50 and max(hot) < 200
-    assert sorted(n for k, _, n in sizes if k != "hot") == [3] * 300
+@pytest.mark.parametrize("hot_lines", [10, 100_000])
+def test_records_have_one_grain_whatever_their_key_holds(spark, hot_lines):
+    """One key with a third of all lines or hardly any: parts follow the line's number."""
+    data = spark.range(hot_lines).select(F.lit("hot").alias("k"), (F.col("id") + 1).alias("i"), F.lit(1).alias("q"))
+    rest = spark.range(2 * hot_lines).select(
+        F.concat(F.lit("k"), F.col("id") % 300).alias("k"), F.floor(F.col("id") / 300 + 1).alias("i"), F.lit(1).alias("q"))
+    records = nested.nest_rows(
+        data.unionByName(rest).repartition(4), "k", "items", [F.col("i"), F.col("q")], F.col("i"), per_record=100)
+    spread = records.select("k", "part", F.explode("items.i").alias("i"))
+    assert spread.filter("part <> (i - 1) div 100").isEmpty() and spread.count() == 3 * hot_lines
+    assert records.groupBy("k", "part").count().filter("count > 1").isEmpty()
+    assert records.agg(F.max(F.size("items"))).first()[0] == min(100, hot_lines)
+    unnumbered = nested.nest_rows(
+        spark.createDataFrame([("a", None), ("a", 2)], "k string, i int"), "k", "items", [F.col("i")], F.col("i"))
+    assert rows(unnumbered.select("k", "part", F.size("items"))) == [("a", 0, 2)]
 
 
 def test_element_where_and_unnest(spark):

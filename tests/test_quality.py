@@ -32,7 +32,7 @@ def test_sample_job(spark, folder):
     ]
     assert "failed_rules" not in tables.valid.columns
     expected = {"total_records": ops.Expect(equals=10), "validity_rate": ops.Expect(equals=0.6)}
-    assert all(r.ok for r in plan.verify(tables, expected, set(plan.RULES)).collect())
+    assert all(r.ok for r in plan.verify(tables, expected, {r.name for r in plan.RULES}).collect())
     less = plan.verify(tables, expected, {"status_valid"})
     with pytest.raises(RuntimeError, match="failed_rules"):
         ops.demand_gate(less)
@@ -88,15 +88,15 @@ def test_scan_rule_kinds(spark):
         "id int, kind string, n double, mail string",
     )
     rules = [
-        ops.ScanRule("complete", "id", "non_null", "COMPLETENESS", threshold=0.75),
-        ops.ScanRule("unique", "id", "unique", "UNIQUENESS"),
-        ops.ScanRule("unique_known", "id", "unique", "UNIQUENESS", ignore_null=True),
-        ops.ScanRule("set", "kind", "in_set", "VALIDITY", values=("A", "B")),
-        ops.ScanRule("set_known", "kind", "in_set", "VALIDITY", values=("A", "B"), ignore_null=True),
-        ops.ScanRule("above", "n", "range", "VALIDITY", minimum=0, strict_minimum=True),
-        ops.ScanRule("within", "n", "range", "VALIDITY", minimum=0, maximum=5, ignore_null=True),
-        ops.ScanRule("below", "n", "range", "VALIDITY", maximum=5, strict_maximum=True),
-        ops.ScanRule("mail", "mail", "regex", "VALIDITY", pattern="^[^@]+@[^@]+[.][^@]+$"),
+        ops.Rule("complete", "id", "non_null", "COMPLETENESS", threshold=0.75),
+        ops.Rule("unique", "id", "unique", "UNIQUENESS"),
+        ops.Rule("unique_known", "id", "unique", "UNIQUENESS", ignore_null=True),
+        ops.Rule("set", "kind", "in_set", "VALIDITY", values=("A", "B")),
+        ops.Rule("set_known", "kind", "in_set", "VALIDITY", values=("A", "B"), ignore_null=True),
+        ops.Rule("above", "n", "range", "VALIDITY", minimum=0, strict_minimum=True),
+        ops.Rule("within", "n", "range", "VALIDITY", minimum=0, maximum=5, ignore_null=True),
+        ops.Rule("below", "n", "range", "VALIDITY", maximum=5, strict_maximum=True),
+        ops.Rule("mail", "mail", "regex", "VALIDITY", pattern="^[^@]+@[^@]+[.][^@]+$"),
     ]
     got = {r.rule: (r.evaluated, r.passed, r.ok) for r in ops.scan(frame, rules).collect()}
     assert got == {
@@ -107,7 +107,7 @@ def test_scan_rule_kinds(spark):
     nothing = {r.rule: r.ok for r in ops.scan(frame.limit(0), rules).collect()}
     assert all(nothing.values())
     with pytest.raises(ValueError):
-        ops.ScanRule("x", "n", "odd", "VALIDITY").predicate()
+        ops.Rule("x", "n", "odd", "VALIDITY").predicate()
 
 
 def test_domain_products(spark, folder):
