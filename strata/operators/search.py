@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -14,17 +13,20 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from strata.functions.texts import document_content, is_blank, words
 from strata.functions.vectors import dot
 from strata.operators.ordering import top_rows
+from strata.session import cut_lineage
 from strata.sources.sinks import overwrite, overwrite_partitioned
 
 DIMENSIONS = 768  # fixed value: size of a text embedding
 OK_STATUS = ""
-# Queries answered in one pass over the base; more run in further passes.
-QUERY_BLOCK = 1024
+# Rows of a group: some ten megabytes of vectors from each side.
+BASE_BLOCK = 1 << 16
+QUERY_BLOCK = 1 << 14
+QUERIES_AT_ONCE = 256  # of a matrix product
 DISTANCE_DIGITS = 12
 
 
@@ -71,91 +73,91 @@ def mean_vectors(df: DataFrame, key: str, vector: str = "embedding") -> DataFram
     return df.groupBy(key).agg(vector_to_array(Summarizer.mean(dense)).alias(vector))
 
 
-@dataclass
-class _Block:
-    """One block of queries: ids, unit vectors, and the clusters each may visit."""
-
-    ids: list
-    units: np.ndarray
-    probes: np.ndarray | None = None
-
-
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
 
 
-def _vectors(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    column = batch.column(name)
-    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
-
-
-def _best(table: pa.Table, id_name: str, k: int) -> pa.Table:
-    """The first k rows per query, by distance and then id."""
-    table = table.sort_by([("__q", "ascending"), ("distance", "ascending"), (id_name, "ascending")])
-    query = table.column("__q").to_numpy()
-    starts = np.searchsorted(query, query, side="left")
-    return table.filter(pa.array(np.arange(len(query)) - starts < k))
-
-
-def _search_block(base: DataFrame, block: _Block, k: int, base_id: str, query_id: str,
-                  vector: str, kept: Sequence[str]) -> DataFrame:
-    out = StructType(
-        [StructField("__q", LongType()), StructField("distance", DoubleType())]
-        + [base.schema[c] for c in kept]
-    )
-
-    def partial_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            unit = _unit_rows(_vectors(batch, vector))
-            distance = np.round(1.0 - block.units @ unit.T, DISTANCE_DIGITS)
+def _unit_vectors(column: pa.ChunkedArray, length: int | None = None) -> np.ndarray:
+    """Unit vectors as rows; all must have one length, that of the other side if given."""
+    column = column.combine_chunks()
+    sizes = np.unique(column.value_lengths().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1 or (length is not None and len(sizes) and sizes[0] != length):
+        raise ValueError(f"vectors of different lengths: {sizes.tolist()} and {length or sizes[0]}")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    return _unit_rows(flat.reshape(len(column), -1)) if len(column) else np.zeros((0, length or 0))
+
+
+def _nearest_in_group(k: int, vector: str, kept: Sequence[str]):
+    """The ``k`` nearest rows of one group of base rows for each query of the group."""
+
+    def search(base: pa.Table, queries: pa.Table) -> pa.Table:
+        units = _unit_vectors(queries["__vector"])
+        rows = _unit_vectors(base[vector], units.shape[1] if len(units) else None)
+        # Ids in order, so that a stable sort by distance breaks ties by id.
+        by_id = np.argsort(base[kept[0]].to_numpy(), kind="stable")
+        rows = rows[by_id]
+        found_query, found_row, found_distance = [], [], []
+        for at in range(0, len(units) if len(rows) else 0, QUERIES_AT_ONCE):
+            distance = np.round(1.0 - units[at: at + QUERIES_AT_ONCE] @ rows.T, DISTANCE_DIGITS)
             distance = np.clip(distance, 0.0, 2.0) + 0.0  # no negative zero
             distance[np.isnan(distance)] = np.inf
-            if block.probes is not None:
-                clusters = batch.column("cluster_id").to_numpy(zero_copy_only=False)
-                distance[~block.probes[:, clusters]] = np.inf
-            at = min(k, distance.shape[1]) - 1
-            limit = np.partition(distance, at, axis=1)[:, at:at + 1]
-            q, row = np.nonzero((distance <= limit) & np.isfinite(distance))
-            found = pa.table(
-                [pa.array(q.astype("int64")), pa.array(distance[q, row])]
-                + [batch.column(c).take(pa.array(row)) for c in kept],
-                names=["__q", "distance", *kept],
-            )
-            carried = found if carried is None else pa.concat_tables([carried, found])
-            carried = _best(carried, base_id, k)
-        if carried is not None:
-            yield from carried.combine_chunks().to_batches()
-
-    nearest = base.mapInArrow(partial_best, out)
-    # k rows per query and task are left; Spark limits them again before the shuffle.
-    window = Window.partitionBy("__q").orderBy("distance", base_id)
-    ranked = nearest.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-    ids = F.array(*[F.lit(i) for i in block.ids])
-    return ranked.withColumn(query_id, F.get(ids, F.col("__q").cast("int"))).select(
-        query_id, "rank", *kept, "distance"
-    )
-
+            count = min(k, distance.shape[1])
+            limit = np.partition(distance, count - 1, axis=1)[:, count - 1: count]
+            near = distance < limit
+            # Of the rows tied at the limit as many as are missing, the first by id.
+            tied = (distance == limit) & np.isfinite(distance)
+            near |= tied & (np.cumsum(tied, axis=1) <= count - near.sum(1, keepdims=True))
+            q, row = np.nonzero(near)
+            found_query.append(q + at)
+            found_row.append(by_id[row])
+            found_distance.append(distance[q, row])
+        if not found_query:
+            found_query, found_row, found_distance = ([np.zeros(0, t)] for t in ("int64", "int64", "float64"))
+        base_rows = pa.array(np.concatenate(found_row))
+        return pa.Table.from_arrays(
+            [queries["__query"].take(pa.array(np.concatenate(found_query))),
+             pa.array(np.concatenate(found_distance)), *[base[c].take(base_rows) for c in kept]],
+            names=["__query", "distance", *kept])
+
+    return search
+
+
+def _blocked(df: DataFrame, counts: DataFrame, mine: str, its: str, row_id: str) -> DataFrame:
+    """Rows with ``__mine``, their block in the cell, once for every block of the other side."""
+    return df.join(counts, "__cell").withColumns({
+        f"__{mine}": F.pmod(F.xxhash64(row_id), F.col(f"__n_{mine}")),
+        f"__{its}": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"__n_{its}") - 1)),
+    }).drop(f"__n_{mine}", f"__n_{its}")
+
+
+def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, query_id: str,
+                  vector: str, kept: Sequence[str]) -> DataFrame:
+    """Queries against the base rows of the same ``__cell``.
 
-def _blocks(queries: DataFrame, query_id: str, vector: str, size: int) -> Iterator[_Block]:
-    """Query sets of checked size: one block, or several drawn by id hash."""
-    first = queries.select(query_id, vector).limit(size + 1).collect()
-    if len(first) <= size:
-        groups = [first]
-    else:
-        passes = math.ceil(queries.count() / size)
-        bucket = F.pmod(F.xxhash64(query_id), F.lit(passes))
-        groups = (
-            queries.filter(bucket == n).select(query_id, vector).collect() for n in range(passes)
-        )
-    for rows in groups:
-        if rows:
-            rows = sorted(rows, key=lambda r: r[0])
-            matrix = np.array([r[1] for r in rows], dtype="float64")
-            yield _Block([r[0] for r in rows], _unit_rows(matrix))
+    Both sides of a cell are cut into blocks of bounded size by a hash of their id, and
+    every pair of blocks is one group: a matrix product in one task. A side is repeated
+    once per block of the other side, so a base is repeated only beyond ``QUERY_BLOCK``
+    queries of a cell. Two counts per cell are taken first.
+    """
+    def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
+        return df.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
+
+    counts = cut_lineage(
+        blocks(base, "__n_b", BASE_BLOCK).join(blocks(queries, "__n_q", QUERY_BLOCK), "__cell"), "blocks")
+    keys = ["__cell", "__b", "__q"]
+    left = _blocked(base.select("__cell", vector, *kept), counts, "b", "q", base_id).groupBy(*keys)
+    # New names throughout, as both sides may be one table.
+    asked = queries.select(F.col("__cell").alias("__cell"), F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
+    right = _blocked(asked, counts, "q", "b", "__query").groupBy(*keys)
+    out = StructType(
+        [StructField("__query", queries.schema[query_id].dataType), StructField("distance", DoubleType())]
+        + [base.schema[c] for c in kept])
+    nearest = left.cogroup(right).applyInArrow(_nearest_in_group(k, vector, kept), out)
+    # k rows per query and block are left; Spark limits them again before the shuffle.
+    window = Window.partitionBy("__query").orderBy("distance", base_id)
+    ranked = nearest.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    return ranked.select(F.col("__query").alias(query_id), "rank", *kept, "distance")
 
 
 def nearest_exact(
@@ -166,35 +168,19 @@ def nearest_exact(
     query_id: str,
     vector: str = "embedding",
     columns: Sequence[str] = (),
-    block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """Per query the ``k`` base rows of smallest cosine distance, ranked, ties by id.
 
-    Every task compares its rows with the block's query vectors in one matrix
-    product and keeps ``k`` per query, so pairs never become rows. Vectors of
-    length zero match nothing.
+    Pairs never become rows, and neither side passes through the driver. Vectors of
+    length zero and NULL vectors match nothing; vectors with unequal numbers of elements
+    raise an error. Ids are unique.
     """
     kept = [base_id, *[c for c in columns if c != base_id]]
-    scanned = base.filter(F.col(vector).isNotNull()).select(vector, *kept)
-    parts = [
-        _search_block(scanned, b, k, base_id, query_id, vector, kept)
-        for b in _blocks(queries, query_id, vector, block)
-    ]
-    return _union(parts, queries, query_id, scanned, kept)
-
-
-def _union(parts: list[DataFrame], queries: DataFrame, query_id: str, base: DataFrame,
-           kept: Sequence[str]) -> DataFrame:
-    if not parts:
-        empty = StructType(
-            [queries.schema[query_id], StructField("rank", IntegerType())]
-            + [base.schema[c] for c in kept] + [StructField("distance", DoubleType())]
-        )
-        return base.sparkSession.createDataFrame([], empty)
-    result = parts[0]
-    for other in parts[1:]:
-        result = result.unionByName(other)
-    return result
+    one = F.lit(0).alias("__cell")
+    return _search_cells(
+        base.filter(F.col(vector).isNotNull()).select(one, vector, *kept),
+        queries.filter(F.col(vector).isNotNull()).select(one, query_id, vector),
+        k, base_id, query_id, vector, kept)
 
 
 @dataclass
@@ -225,6 +211,13 @@ def build_cluster_index(
     return ClusterIndex(rows, _unit_rows(np.array(model.clusterCenters(), dtype="float64")))
 
 
+def cluster_by_centres(base: DataFrame, centres: np.ndarray, base_id: str, vector: str = "embedding") -> ClusterIndex:
+    """An index cut by given centres: every vector goes to the nearest one, ties to the first."""
+    units = _unit_rows(np.asarray(centres, dtype="float64"))
+    nearest = probed_clusters(base, units, 1, base_id, vector).select(base_id, F.col("__cell").alias("cluster_id"))
+    return ClusterIndex(base.join(nearest, base_id), units)
+
+
 def store_index(index: ClusterIndex, path: str) -> str:
     """Write the rows in one folder per cluster, and the centres beside them. A big
     cluster is spread over several files.
@@ -244,6 +237,27 @@ def load_index(spark: SparkSession, path: str) -> ClusterIndex:
     return ClusterIndex(rows, np.array([r.centre for r in centres], dtype="float64"))
 
 
+def probed_clusters(
+    queries: DataFrame, centres: np.ndarray, probes: int, query_id: str, vector: str = "embedding"
+) -> DataFrame:
+    """``query_id, vector, __cell``: every query once per cluster it visits, nearest centres first."""
+    shared = queries.sparkSession.sparkContext.broadcast(centres)  # one vector per cluster
+    schema = StructType([queries.schema[query_id], queries.schema[vector],
+                         StructField("__cells", ArrayType(IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = _unit_vectors(pa.chunked_array([batch.column(vector)]), shared.value.shape[1])
+            distance = np.round(1.0 - np.nan_to_num(units @ shared.value.T, nan=-2.0), DISTANCE_DIGITS)
+            chosen = np.argsort(distance, axis=1, kind="stable")[:, :probes].astype("int32")
+            cells = pa.array(list(chosen), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(query_id), batch.column(vector), cells], [query_id, vector, "__cells"])
+
+    known = queries.filter(F.col(vector).isNotNull()).select(query_id, vector)
+    return known.mapInArrow(run, schema).select(query_id, vector, F.explode("__cells").alias("__cell"))
+
+
 def nearest_indexed(
     index: ClusterIndex,
     queries: DataFrame,
@@ -253,27 +267,21 @@ def nearest_indexed(
     probes: int,
     vector: str = "embedding",
     columns: Sequence[str] = (),
-    block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """Approximate search: only the ``probes`` clusters nearest to each query are
     compared, and compared exactly. With as many probes as clusters it is exact.
+
+    Queries meet clusters in a join on the cluster; big clusters and clusters that many
+    queries visit are cut into blocks.
     """
     kept = [base_id, *[c for c in columns if c != base_id]]
-    rows = index.rows.select(vector, "cluster_id", *kept)
-    parts = []
-    for b in _blocks(queries, query_id, vector, block):
-        similarity = np.nan_to_num(b.units @ index.centres.T, nan=-2.0)
-        chosen = np.argsort(-similarity, axis=1, kind="stable")[:, :probes]
-        b.probes = np.zeros(similarity.shape, dtype=bool)
-        np.put_along_axis(b.probes, chosen, True, axis=1)
-        visited = [int(c) for c in np.flatnonzero(b.probes.any(axis=0))]
-        parts.append(
-            _search_block(
-                rows.filter(F.col("cluster_id").isin(visited)),
-                b, k, base_id, query_id, vector, kept,
-            )
-        )
-    return _union(parts, queries, query_id, rows, kept)
+    probed = cut_lineage(probed_clusters(queries, index.centres, probes, query_id, vector), "probes")
+    # At most one row per cluster; folders of clusters that no query visits are not read.
+    visited = [r["__cell"] for r in probed.select("__cell").distinct().collect()]
+    rows = index.rows.filter(F.col("cluster_id").isin(visited) & F.col(vector).isNotNull())
+    return _search_cells(
+        rows.select(F.col("cluster_id").alias("__cell"), vector, *kept),
+        probed, k, base_id, query_id, vector, kept)
 
 
 def recall(found: DataFrame, exact: DataFrame, query_id: str, base_id: str) -> DataFrame:

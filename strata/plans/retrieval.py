@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from strata.operators.quality import Expect, gate
@@ -14,13 +16,15 @@ TOP_K = 5
 COLUMNS = ("title", "tags", "score")
 
 
-def document_embeddings(documents: DataFrame) -> DataFrame:
+def document_embeddings(documents: DataFrame, embedder: Callable | None = None) -> DataFrame:
     """Documents with their embedding; rows that failed to embed are left out."""
-    return embedded_rows(embed_texts(documents, "content"))
+    return embedded_rows(embed_texts(documents, "content", embedder=embedder))
 
 
-def query_embeddings(queries: DataFrame, text: str = "content") -> DataFrame:
-    return embedded_rows(embed_texts(queries, text))
+def query_embeddings(
+    queries: DataFrame, text: str = "content", embedder: Callable | None = None
+) -> DataFrame:
+    return embedded_rows(embed_texts(queries, text, embedder=embedder))
 
 
 def index(embedded: DataFrame, clusters: int, path: str) -> ClusterIndex:

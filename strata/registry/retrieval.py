@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from strata.functions.vectors import cosine_distance, norm
@@ -111,21 +113,63 @@ def vector_topk_indexed_exhaustive(spark, sf):
     return found.withColumn("distance", F.round("distance", 6))
 
 
-@query("vector_topk_indexed")
+@query("vector_topk_every_query", """
+WITH d AS (
+  SELECT q.vec_id AS query_vec, e.vec_id,
+         round(list_cosine_distance(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 12) AS distance
+  FROM embeddings q, embeddings e
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_vec ORDER BY distance, vec_id) AS rank FROM d
+)
+SELECT query_vec, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) + 0.0 AS distance
+FROM r WHERE rank <= 3""")
+def vector_topk_every_query(spark, sf):
+    """Every vector as a query against all vectors."""
+    base = table(spark, sf, "embeddings")
+    queries = base.select(F.col("vec_id").alias("query_vec"), "embedding")
+    found = ops.nearest_exact(base, queries, 3, "vec_id", "query_vec")
+    return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+
+
+@query("vector_topk_indexed", SQL_NEAREST + """
+, cell AS (
+  SELECT vec_id, query_label AS cluster FROM d
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, query_label) = 1
+), probe AS (
+  SELECT a.label AS query_label, b.label AS cluster
+  FROM q a, q b
+  QUALIFY row_number() OVER (PARTITION BY a.label ORDER BY
+    round(list_cosine_distance(a.centre, b.centre), 12), b.label) <= 3
+), f AS (
+  SELECT d.query_label, d.vec_id, d.distance,
+         row_number() OVER (PARTITION BY d.query_label ORDER BY d.distance, d.vec_id) AS rank
+  FROM d JOIN cell USING (vec_id) JOIN probe USING (query_label, cluster)
+), hit AS (
+  SELECT r.query_label, avg(CASE WHEN f.vec_id IS NULL THEN 0 ELSE 1 END) AS recall
+  FROM r LEFT JOIN f ON f.query_label = r.query_label AND f.vec_id = r.vec_id AND f.rank <= 5
+  WHERE r.rank <= 5 GROUP BY r.query_label
+)
+SELECT query_label, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) AS distance, recall
+FROM f JOIN hit USING (query_label) WHERE rank <= 5""")
 def vector_topk_indexed(spark, sf):
-    """Four clusters probed per query, with the recall against the exact search."""
+    """Clusters around the labels' means, three probed per query, and the recall."""
     base = table(spark, sf, "embeddings")
+    means = label_queries(spark, sf).orderBy("label").collect()  # a vector per label
     queries = label_queries(spark, sf).withColumnRenamed("label", "query_label")
-    index = stored_index(spark, base)
-    found = ops.nearest_indexed(index, queries, 5, "vec_id", "query_label", probes=4)
+    index = ops.cluster_by_centres(base, np.array([r["embedding"] for r in means]), "vec_id")
+    path = ops.store_index(index, scratch_path(spark, "index"))
+    found = ops.nearest_indexed(ops.load_index(spark, path), queries, 5, "vec_id", "query_label", probes=3)
     exact = ops.nearest_exact(base, queries, 5, "vec_id", "query_label")
     recall = ops.recall(found, exact, "query_label", "vec_id")
-    return found.join(recall, "query_label")
+    return found.withColumn("distance", F.round("distance", 6)).join(recall, "query_label")
 
 
-@query("vector_search_contract", """
-SELECT CAST(5 * count(DISTINCT label) AS BIGINT) AS results, 0::BIGINT AS out_of_order,
-       0::BIGINT AS out_of_range FROM embeddings""")
+@query("vector_search_contract", SQL_NEAREST + """
+, t AS (
+  SELECT *, lag(distance) OVER (PARTITION BY query_label ORDER BY rank) AS before FROM r WHERE rank <= 5
+)
+SELECT count(*) AS results, count(*) FILTER (distance < before) AS out_of_order,
+       count(*) FILTER (distance < -1e-12 OR distance > 2 + 1e-12) AS out_of_range FROM t""")
 def vector_search_contract(spark, sf):
     queries = label_queries(spark, sf).withColumnRenamed("label", "query_label")
     found = ops.nearest_exact(table(spark, sf, "embeddings"), queries, 5, "vec_id", "query_label")
@@ -172,6 +216,28 @@ def embedding_lengths(spark, sf):
     )
 
 
+LETTERS = "aeioudnrst"
+
+
+def letter_counts(texts: pd.Series) -> pd.Series:
+    """An embedding any engine can repeat: how often some letters occur."""
+    return texts.map(lambda text: [float(text.count(c)) for c in LETTERS])
+
+
+SQL_LETTERS = "[" + ", ".join(
+    f"(length({{0}}) - length(replace({{0}}, '{c}', '')))::DOUBLE" for c in LETTERS) + "]"
+
+
+@query("text_embedding_plugged", f"""
+SELECT doc_id AS document_id, CASE WHEN replace(text, ' ', '') = '' THEN 'empty content' ELSE '' END AS status,
+       array_to_string([CAST(x AS BIGINT) FOR x IN {SQL_LETTERS.format('text')}], ',') AS embedding
+FROM documents""")
+def text_embedding_plugged(spark, sf):
+    embedded = ops.embed_texts(embedded_documents(spark, sf), embedder=letter_counts)
+    whole = F.transform("embedding", lambda x: x.cast("bigint").cast("string"))
+    return embedded.select("document_id", "status", F.array_join(whole, ",").alias("embedding"))
+
+
 @query("semantic_search")
 def semantic_search(spark, sf):
     """One question against all documents."""
@@ -179,3 +245,21 @@ def semantic_search(spark, sf):
     return plan.search(
         plan.document_embeddings(embedded_documents(spark, sf)), plan.query_embeddings(question)
     )
+
+
+@query("semantic_search_plugged", f"""
+WITH d AS (
+  SELECT doc_id AS document_id, source AS title, lang AS tags, n_chars AS score, list_cosine_distance(
+    {SQL_LETTERS.format('text')}, {SQL_LETTERS.format(f"'{QUERY}'")}) AS distance
+  FROM documents WHERE replace(text, ' ', '') <> ''
+)
+SELECT 0 AS query_id, CAST(rank AS INTEGER) AS rank, document_id, title, tags, score, round(distance, 6) AS distance
+FROM (SELECT *, row_number() OVER (ORDER BY round(distance, 12), document_id) AS rank FROM d
+      WHERE NOT isnan(distance) AND distance IS NOT NULL)
+WHERE rank <= 5""")
+def semantic_search_plugged(spark, sf):
+    question = spark.createDataFrame([(0, QUERY)], "query_id int, content string")
+    found = plan.search(
+        plan.document_embeddings(embedded_documents(spark, sf), letter_counts),
+        plan.query_embeddings(question, embedder=letter_counts))
+    return found.withColumn("distance", F.round("distance", 6))

@@ -42,12 +42,14 @@ def base(spark):
     return data, spark.createDataFrame(data, "id bigint, embedding array<float>").repartition(6)
 
 
-@pytest.mark.parametrize("block", [1024, 3])
-def test_exact_search_equals_brute_force(spark, base, block):
+@pytest.mark.parametrize("blocks", [(1 << 16, 1 << 14), (70, 3)])
+def test_exact_search_equals_brute_force(spark, base, blocks, monkeypatch):
+    monkeypatch.setattr(search, "BASE_BLOCK", blocks[0])
+    monkeypatch.setattr(search, "QUERY_BLOCK", blocks[1])
     data, frame = base
     asked = vectors(9, 8, 2) + [(9, [2.0] * 8)]
     queries = spark.createDataFrame(asked, "q int, embedding array<double>")
-    found = search.nearest_exact(frame, queries, 5, "id", "q", block=block)
+    found = search.nearest_exact(frame, queries, 5, "id", "q")
     got = sorted((r.q, r.rank, r.id, round(r.distance, 9)) for r in found.collect())
     assert [g[:3] for g in got] == [b[:3] for b in brute(data, asked, 5)]
     assert max(abs(g[3] - b[3]) for g, b in zip(got, brute(data, asked, 5))) < 1e-6
@@ -59,6 +61,28 @@ def test_exact_search_equals_brute_force(spark, base, block):
     assert few.count() == 30  # fewer vectors than neighbours asked for
 
 
+def test_vectors_of_unequal_length_are_refused(spark):
+    queries = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0])], "q int, embedding array<double>")
+    odd = spark.createDataFrame([(1, [1.0] * 3), (2, [1.0] * 5)], "id int, embedding array<double>")
+    for base in (odd, odd.filter("id = 1")):
+        with pytest.raises(Exception, match="vectors of different lengths"):
+            search.nearest_exact(base, queries, 1, "id", "q").collect()
+    null = spark.createDataFrame([(1, None), (2, [0.0, 1.0, 0.0, 0.0])], "id int, embedding array<double>")
+    assert rows(search.nearest_exact(null, queries, 2, "id", "q"), "id") == [(2,)]
+
+
+def test_given_centres_and_a_base_read_once(spark, base):
+    data, frame = base
+    centres = np.array([v for _, v in vectors(4, 8, 9)])
+    index = search.cluster_by_centres(frame, centres, "id")
+    nearest = {r.id: r.cluster_id for r in index.rows.collect()}
+    for i, v in data[:50]:
+        distances = [round(float(1 - np.dot(v, c) / np.linalg.norm(v) / np.linalg.norm(c)), 12) for c in centres]
+        assert nearest[i] == int(np.argmin(distances))
+    found = search.nearest_exact(frame, frame.select(F.col("id").alias("q"), "embedding"), 2, "id", "q")
+    assert found.count() == 2 * 600  # the zero vector finds nothing
+
+
 def test_index_probed_whole_is_exact_and_in_part_mostly(spark, base, folder):
     _, frame = base
     queries = spark.createDataFrame(vectors(8, 8, 3), "q int, embedding array<double>")
