@@ -13,10 +13,11 @@ parts' registers, and two documents agree in one with about their similarity.
    of larger, smaller and equal registers and both set sizes, and what may reach the
    threshold is verified on the full sets.
 4. Members that are not connected to their pivot by then are compared with all of their
-   bucket that they are not connected to, on sketches, in blocks of ``BLOCK`` rows and
-   within the tasks; only pairs that may link leave a task, once, in their first common
-   band. These are estimated, verified and added as links. So no link found by a band is
-   lost, while a large group of copies costs rows in proportion to its size.
+   bucket that they are not connected to, each pair in its first common band, in blocks of
+   ``BLOCK`` rows and within the tasks: first on sketches, then those members that may be
+   linked on their full sets. Only links that join components leave a task. So no link
+   found by a band is lost, while a large group of copies costs rows in proportion to its
+   size, and pairs never become rows.
 
 Links are confirmed on full sets only. A hot class or bucket meets others through joins
 whose partitions Spark splits, and counts and minima are combined in the map tasks.
@@ -182,21 +183,27 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").mapInArrow(run, "a long, b long")
 
 
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """The full shingle set of every text, ascending."""
+    found = tokens.words(texts)
+    values, at = tokens.shingles(found.fingerprints(lower=True), found.at, size)
+    return [np.unique(values[at[d]: at[d + 1]]) for d in range(len(at) - 1)]
+
+
+def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two full sets are linked."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs ``a, b`` whose full shingle sets are similar enough. ``texts``: ``node, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.slices(batch, "one"):
-                sets = []
-                for name in ("one", "other"):
-                    found = tokens.words(part.column(name))
-                    values, at = tokens.shingles(found.fingerprints(lower=True), found.at, size)
-                    sets.append([np.unique(values[at[d]: at[d + 1]]) for d in range(part.num_rows)])
-                linked = []
-                for x, y in zip(*sets):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                sets = zip(shingle_sets(part.column("one"), size), shingle_sets(part.column("other"), size))
+                linked = [similar(x, y, percent) for x, y in sets]
                 yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
@@ -204,11 +211,14 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
 
 
-def unsettled_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a bucket that no link connects yet and that may link.
+def unsettled_links(
+    members: DataFrame, classes: DataFrame, texts: DataFrame, labels: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links ``a, b`` between members of a bucket that no link connects yet, as many as join them.
 
     In each bucket the members apart from the pivot's component are compared with all
-    others, block by block; a group holds two blocks at most.
+    others, block by block; a group holds two blocks at most. Sketches alone tell which
+    members may be linked; only these meet again, with their texts.
     """
     cut = percent / 100 - ESTIMATE_SLACK
     of = labels.select(F.col("node").alias("__node"), "label")
@@ -238,37 +248,73 @@ def unsettled_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, p
     spread = spread.join(classes.select("node", "sketch"), "node").select(
         "key", "group.i", "group.j", "node", "n", "label", "block", "sketch")
 
-    def compare(table: pa.Table) -> pa.Table:
-        node, label = table["node"].to_numpy(), table["label"].to_numpy()
-        n, block_of = table["n"].to_numpy(), table["block"].to_numpy()
-        sketch = _sketches(table["sketch"])
-        first, second = table["i"][0].as_py(), table["j"][0].as_py()
-        band = int(np.flatnonzero(band_keys(sketch[:1])[0] == table["key"][0].as_py())[0])
-        found_a, found_b = [], []
-        left = np.flatnonzero(block_of == first)
-        right = np.flatnonzero(block_of == second)
-        for x in left:
-            others = right[label[right] != label[x]]
-            if first == second:
-                others = others[node[others] > node[x]]
-            small, large = np.minimum(n[others], n[x]), np.maximum(n[others], n[x])
-            others = others[100 * small >= percent * large]
-            if len(others) == 0:
-                continue
-            equal = sketch[others] == sketch[x]
-            shared = equal.reshape(len(others), BANDS, BAND).all(2)
-            once = shared.argmax(1) == band  # the pair's first common band
-            others, equal = others[once], equal[once]
-            if len(others) == 0:
-                continue
-            larger = (sketch[x] > sketch[others]).sum(1)
-            smaller = REGISTERS - equal.sum(1) - larger
-            likely = likelihood_similarity(larger, smaller, np.full(len(others), n[x]), n[others]) >= cut
-            found_a += [min(node[x], y) for y in node[others[likely]]]
-            found_b += [max(node[x], y) for y in node[others[likely]]]
-        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
-
-    return spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    meeting = "key long, i long, j long, node long, n long, label long, block long"
+
+    def may_link(table: pa.Table) -> pa.Table:
+        """The members with a partner in the group that they may be linked with."""
+        x, y, _ = _candidates(table, cut, percent)
+        return table.select(["key", "i", "j", "node", "n", "label", "block"]).take(pa.array(np.unique(np.append(x, y))))
+
+    met = cut_lineage(spread.groupBy("key", "i", "j").applyInArrow(may_link, meeting), "met")
+
+    def link(table: pa.Table) -> pa.Table:
+        """Links between components: likely pairs first, none within what is already linked."""
+        x, y, likely = _candidates(table, cut, percent)
+        node, sets = table["node"].to_numpy(), shingle_sets(table["text"].combine_chunks(), size)
+        parent = {label: label for label in table["label"].to_pylist()}
+
+        def root(label):
+            while parent[label] != label:
+                parent[label] = label = parent[parent[label]]
+            return label
+
+        label, found = table["label"].to_numpy(), []
+        for k in np.argsort(-likely, kind="stable"):
+            one, other = root(label[x[k]]), root(label[y[k]])
+            if one != other and similar(sets[x[k]], sets[y[k]], percent):
+                parent[max(one, other)] = min(one, other)
+                found.append(sorted((node[x[k]], node[y[k]])))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    whole = met.join(classes.select("node", "sketch"), "node").join(texts, "node")
+    return whole.groupBy("key", "i", "j").applyInArrow(link, "a long, b long")
+
+
+def _candidates(table: pa.Table, cut: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a group that may be linked and are not, one from each block, in the pair's first
+    common band, with their estimated similarity."""
+    node, label = table["node"].to_numpy(), table["label"].to_numpy()
+    n, block = table["n"].to_numpy(), table["block"].to_numpy()
+    sketch = _sketches(table["sketch"])
+    first, second = table["i"][0].as_py(), table["j"][0].as_py()
+    band = int(np.flatnonzero(band_keys(sketch[:1])[0] == table["key"][0].as_py())[0])
+    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    xs, ys, larger, smaller = [], [], [], []
+    for x in left:
+        apart = label[right] != label[x]
+        if first == second:
+            apart &= node[right] > node[x]
+        others = right[apart]
+        others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
+        if band:
+            before = sketch[others, : band * BAND] == sketch[x, : band * BAND]
+            others = others[~before.reshape(len(others), band, BAND).all(2).any(1)]
+        if len(others):
+            xs.append(np.full(len(others), x))
+            ys.append(others)
+            larger.append((sketch[x] > sketch[others]).sum(1))
+            smaller.append((sketch[x] < sketch[others]).sum(1))
+    if not xs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    x, y, larger, smaller = (np.concatenate(v) for v in (xs, ys, larger, smaller))
+    # With no more equal registers than chance gives at the cut, a pair is not worth the search.
+    near = REGISTERS - larger - smaller >= REGISTERS * (cut - 0.15)
+    x, y, larger, smaller = x[near], y[near], larger[near], smaller[near]
+    likely = np.concatenate([
+        likelihood_similarity(larger[k: k + 65536], smaller[k: k + 65536], n[x[k: k + 65536]], n[y[k: k + 65536]])
+        for k in range(0, len(x), 65536)] or [np.zeros(0)])
+    return x[likely >= cut], y[likely >= cut], likely[likely >= cut]
 
 
 def grouped(docs: DataFrame, size: int, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -296,8 +342,8 @@ def grouped(docs: DataFrame, size: int, percent: int = PERCENT) -> tuple[DataFra
     pairs = members.filter((F.col("node") != F.col("pivot")) & _sizes_allow("n", "pivot_n", percent)).select(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = cut_lineage(verified(estimated(pairs, classes, percent), texts, size, percent), "links")
-    more = unsettled_pairs(members, classes, components(links), percent)
-    links = links.unionByName(cut_lineage(verified(more, texts, size, percent), "links"))
+    more = unsettled_links(members, classes, texts, components(links), size, percent)
+    links = links.unionByName(cut_lineage(more, "links"))
     labels = components(links)
     of_row = rows.join(by_set, ["fp", "n"], "left").select(
         "__id", "doc_id", "n", F.coalesce("node", "__id").alias("node"))
