@@ -18,10 +18,6 @@ def iso_instant(ts: Column) -> Column:
     return F.date_format(ts, ISO_SECONDS)
 
 
-def clock_label(ts: Column) -> Column:
-    """``12:00:00 UTC`` display text."""
-    return F.date_format(ts, "HH:mm:ss 'UTC'")
-
 
 def minute_key(ts: Column) -> Column:
     """Start of the UTC minute as ISO text with offset."""

@@ -17,6 +17,7 @@ NUMERIC = ("bounces", "time_on_site", "pageviews")
 CATEGORICAL = ("traffic_source", "traffic_medium", "device_category", "country")
 NO_CATEGORY = "(none)"
 LABEL = "will_buy_on_return_visit"
+MONTH = "month"  # partition column of session tables kept by month
 TRAIN_RANGE = ("20160801", "20170430")
 EVALUATION_RANGE = ("20170501", "20170630")
 SCORING_RANGE = ("20170701", "20170731")
@@ -25,6 +26,7 @@ SCORING_RANGE = ("20170701", "20170731")
 def session_features(sessions: DataFrame) -> DataFrame:
     """Flat features of nested sessions; missing counts are 0, the label is binary."""
     return sessions.select(
+        *[c for c in sessions.columns if c == MONTH],
         F.col("fullVisitorId").alias("visitor_id"),
         "suffix",
         F.coalesce("totals.bounces", F.lit(0)).alias("bounces"),
@@ -39,8 +41,21 @@ def session_features(sessions: DataFrame) -> DataFrame:
 
 
 def in_range(df: DataFrame, bounds: tuple[str, str], suffix: str = "suffix") -> DataFrame:
-    """Rows of an inclusive suffix range."""
-    return df.filter(F.col(suffix).between(*bounds))
+    """Rows of an inclusive suffix range; of a table by month only these months are read."""
+    first, last = bounds
+    if MONTH in df.columns:
+        df = df.filter(F.col(MONTH).between(first[:6], last[:6]))
+    return df.filter(F.col(suffix).between(first, last))
+
+
+def labelled_ranges(
+    df: DataFrame, ranges: dict[str, tuple[str, str]], suffix: str = "suffix", name: str = "part"
+) -> DataFrame:
+    """Rows of disjoint suffix ranges with the name of theirs, in one pass; others are left out."""
+    part = F.lit(None).cast("string")
+    for label, bounds in ranges.items():
+        part = F.when(F.col(suffix).between(*bounds), F.lit(label)).otherwise(part)
+    return df.withColumn(name, part).filter(F.col(name).isNotNull())
 
 
 def with_class_weights(df: DataFrame, label: str = LABEL, weight: str = "weight") -> DataFrame:

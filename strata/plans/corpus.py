@@ -41,6 +41,7 @@ def frequent_words_assertions(minimum: int = MINIMUM_COUNT) -> Assertions:
 
 def corpus_summary(staged: DataFrame, top: int = TOP_WORDS) -> DataFrame:
     """Distinct words, occurrences and the most frequent words per corpus."""
+    staged = cut_lineage(staged.select("corpus", "word", "word_count"), "frequent-words")  # read twice below
     totals = staged.groupBy("corpus").agg(
         F.count_distinct("word").alias("distinct_words"),
         F.sum("word_count").alias("total_occurrences"),
@@ -62,12 +63,15 @@ class Workflow:
     report: DataFrame
 
 
-def run(counts: DataFrame, minimum: int = MINIMUM_COUNT, strict: bool = True) -> Workflow:
+def run(
+    counts: DataFrame, minimum: int = MINIMUM_COUNT, strict: bool = True, demanded: int | None = None
+) -> Workflow:
     """Build both models; with ``strict`` a violated assertion stops the workflow
-    before the next model reads the violating one.
+    before the next model reads the violating one. ``demanded`` is the count that is
+    asserted, ``minimum`` unless given.
     """
     staged = cut_lineage(frequent_words(counts, minimum), "stg-words")
-    first = assertion_report("stg_words", staged, frequent_words_assertions(minimum))
+    first = assertion_report("stg_words", staged, frequent_words_assertions(minimum if demanded is None else demanded))
     if strict:
         demand_clean(first)
     summary = cut_lineage(corpus_summary(staged), "corpus-summary")

@@ -11,7 +11,7 @@ from strata.functions.contracts import (
 )
 from strata.functions.times import since
 from strata.operators.quality import Expect, gate
-from strata.streaming.tables import append_batch, declare_table, each_batch, read_table
+from strata.streaming.tables import append_batch, declare_table, each_batch, read_table, table_rows
 from strata.streaming.windows import (
     LATENESS, WINDOW, corridor_metrics, latest_panes, with_event_time,
 )
@@ -55,16 +55,18 @@ def dead_letter_writer(
 
 
 def panes(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/corridor_metrics")
+    """All panes in the order they were written, also by several queries."""
+    stored = read_table(spark, f"{folder}/corridor_metrics")
+    return stored.select("*", F.struct("_metadata.file_modification_time", "batch_id").alias("pane"))
 
 
 def final_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """The current total of every window."""
-    return latest_panes(panes(spark, folder)).drop("batch_id")
+    return latest_panes(panes(spark, folder)).drop("pane", "writer", "batch_id")
 
 
 def refused(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/dead_letter_events").drop("batch_id")
+    return table_rows(spark, f"{folder}/dead_letter_events")
 
 
 def completeness(

@@ -51,9 +51,11 @@ def row_counts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def scan_domain(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """Scan rows; raises unless every rule passed with a score of 100."""
+def scan_domain(df: DataFrame, rules: tuple[Rule, ...], strict: bool = True) -> DataFrame:
+    """Scan rows; raises, if ``strict``, unless every rule passed with a score of 100."""
     result = scan(df, rules)
+    if not strict:
+        return result
     demand_gate(
         gate(
             scan_score(result),

@@ -16,7 +16,7 @@ from strata.functions.times import instant
 from strata.operators.enrich import enrich
 from strata.operators.quality import Expect, gate
 from strata.operators.views import stream_health
-from strata.streaming.tables import append_batch, declare_table, each_batch, read_table
+from strata.streaming.tables import append_batch, declare_table, each_batch, table_rows
 
 EVENT_SCHEMA = (
     "event_id string, event_time timestamp, match_id string, player_id string, "
@@ -36,7 +36,8 @@ def writer(
 ) -> DataStreamWriter:
     """Parse each micro-batch once; enrich the good rows, keep the bad ones.
 
-    ``profiles`` is called per micro-batch, so profile changes reach later events.
+    ``profiles`` is called per micro-batch, so profile changes reach later events. A
+    batch is held while it is written twice: bound it with ``files_per_batch``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -53,11 +54,11 @@ def writer(
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/enriched_events").drop("batch_id")
+    return table_rows(spark, f"{folder}/enriched_events")
 
 
 def refused(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/dead_letter_events").drop("batch_id")
+    return table_rows(spark, f"{folder}/dead_letter_events")
 
 
 def verify(events: DataFrame, at_least: int) -> DataFrame:

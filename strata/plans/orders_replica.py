@@ -24,10 +24,10 @@ def declare(spark: SparkSession, folder: str) -> str:
     return declare_table(spark, f"{folder}/changes", CHANGE_SCHEMA)
 
 
-def run(spark: SparkSession, snapshot: DataFrame, source: str, folder: str,
-        checkpoint: str) -> DataFrame:
+def run(spark: SparkSession, snapshot: replica.Snapshot, source: str, folder: str,
+        checkpoint: str, files_per_batch: int | None = None) -> DataFrame:
     """Collect the change messages that arrived and return the current replica."""
-    log = read_messages(spark, source, fmt="json", schema=CHANGE_SCHEMA)
+    log = read_messages(spark, source, fmt="json", schema=CHANGE_SCHEMA, files_per_batch=files_per_batch)
     drain(replica.collect_changes(log, KEYS, f"{folder}/changes"), checkpoint)
     return replica.replica(spark, snapshot, f"{folder}/changes", KEYS)
 

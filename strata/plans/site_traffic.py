@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.contracts import traffic_contract
 from strata.operators.quality import conservation
 from strata.operators.traffic import minute_traffic, user_traffic
+from strata.session import cut_lineage
 from strata.sources.files import read_json_lines, read_jsonl_shards
 from strata.sources.sinks import overwrite_json_lines
 
@@ -27,18 +27,12 @@ class TrafficOutputs:
 
 def run(spark: SparkSession, pattern: str, folder: str) -> TrafficOutputs:
     """Parse once, aggregate twice, write both, and check that nothing was lost."""
-    views = read_json_lines(spark, pattern, traffic_contract())
-    views.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        overwrite_json_lines(user_traffic(views), f"{folder}/by-user")
-        overwrite_json_lines(minute_traffic(views), f"{folder}/by-minute")
-        users = read_jsonl_shards(spark, f"{folder}/by-user", USER_SCHEMA)
-        minutes = read_jsonl_shards(spark, f"{folder}/by-minute", MINUTE_SCHEMA)
-        conserved = check(views, users, minutes)
-        rows = conserved.collect()  # one row per branch and metric
-    finally:
-        views.unpersist()
-    return TrafficOutputs(users, minutes, spark.createDataFrame(rows, conserved.schema))
+    views = cut_lineage(read_json_lines(spark, pattern, traffic_contract()), "views")
+    overwrite_json_lines(user_traffic(views), f"{folder}/by-user")
+    overwrite_json_lines(minute_traffic(views), f"{folder}/by-minute")
+    users = read_jsonl_shards(spark, f"{folder}/by-user", USER_SCHEMA)
+    minutes = read_jsonl_shards(spark, f"{folder}/by-minute", MINUTE_SCHEMA)
+    return TrafficOutputs(users, minutes, check(views, users, minutes))
 
 
 def check(views: DataFrame, users: DataFrame, minutes: DataFrame) -> DataFrame:

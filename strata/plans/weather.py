@@ -19,9 +19,9 @@ OBSERVATION_SCHEMA = (
 MESSAGE_SCHEMA = OBSERVATION_SCHEMA.replace("timestamp", "string")
 
 
-def observations(spark: SparkSession, path: str) -> DataFrame:
+def observations(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """JSON messages mapped to the raw columns by key."""
-    raw = read_messages(spark, path, fmt="json", schema=MESSAGE_SCHEMA)
+    raw = read_messages(spark, path, fmt="json", schema=MESSAGE_SCHEMA, files_per_batch=files_per_batch)
     return typed(raw)
 
 

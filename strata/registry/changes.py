@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import merge as ops
-from strata.registry.base import query, stream, table
+from strata.registry.base import query, table
 from strata.session import scratch_path
 from strata.streaming import replica
 from strata.streaming.tables import declare_table, drain
@@ -63,12 +63,19 @@ def cdc_apply(spark, sf):
 
 @query("cdc_replica_stream", SQL_REPLICA)
 def cdc_replica_stream(spark, sf):
-    """Changes collected by a stream, applied to the snapshot, and compacted."""
+    """Changes collected in several batches, out of order, and compacted in between: the
+    second snapshot is the first one and the batches after it.
+    """
     path = declare_table(spark, scratch_path(spark, "changes"), CHANGE_SCHEMA)
-    log = changes(stream(spark, sf, "events"))
-    drain(replica.collect_changes(log, KEYS, path), scratch_path(spark, "checkpoint"))
-    current = replica.replica(spark, snapshot(spark, sf), path, KEYS)
-    return spark.read.parquet(replica.compact(current, scratch_path(spark, "replica")))
+    source, checkpoint = scratch_path(spark, "change-log"), scratch_path(spark, "checkpoint")
+    log = changes(table(spark, sf, "events"))
+    current = replica.Snapshot(snapshot(spark, sf))
+    for arrived in (F.pmod("seq", F.lit(3)) == 1, F.pmod("seq", F.lit(3)) != 1):
+        log.filter(arrived).repartition(2).write.mode("append").parquet(source)
+        files = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        drain(replica.collect_changes(files, KEYS, path), checkpoint)
+        current = replica.compact(spark, current, path, KEYS, scratch_path(spark, "replica"))
+    return current.rows
 
 
 def incoming(spark, sf):

@@ -15,14 +15,16 @@ from strata.streaming.tables import drain
 
 
 def match_events(events, event_time=None):
-    """Signups are chat messages, purchases kills, clicks assists."""
+    """Signups are chat messages, purchases kills, clicks assists. Not every player, seven
+    times the user, has a profile.
+    """
     kind = F.col("event_type")
     chat = kind == "signup"
     return events.select(
         F.col("event_id").cast("string").alias("event_id"),
         (iso_text("ts") if event_time is None else event_time).alias("event_time"),
         F.concat(F.lit("match-"), F.dayofmonth("ts")).alias("match_id"),
-        F.col("user_id").cast("string").alias("player_id"),
+        (F.col("user_id") * 7).cast("string").alias("player_id"),
         F.when(chat, "chat").otherwise("gameplay").alias("event_type"),
         F.when(chat, "message").when(kind == "purchase", "kill").when(kind == "click", "assist")
         .otherwise("objective").alias("action"),
@@ -32,11 +34,9 @@ def match_events(events, event_time=None):
 
 
 def profiles(spark, sf):
-    """Customers as profiles; a negative balance leaves attributes missing, and one
-    below -500 the whole profile.
-    """
+    """Customers as profiles; a negative balance leaves attributes missing."""
     balance = F.col("c_acctbal")
-    return table(spark, sf, "customer").filter(balance >= -500).select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("player_id"),
         F.col("c_name").alias("display_name"),
         F.when(balance >= 0, F.col("c_mktsegment")).alias("team"),
@@ -51,10 +51,15 @@ def enriched(spark, sf):
     return enrich(events, profiles(spark, sf), stamp=False)
 
 
+def now(spark, sf):
+    """The newest event's time, from the events alone."""
+    return table(spark, sf, "events").agg(F.max(F.col("ts").cast("timestamp"))).scalar()
+
+
 SQL_EVENTS = f"""
 WITH e AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_time,
-    'match-' || day(ts) AS match_id, CAST(user_id AS VARCHAR) AS player_id,
+    'match-' || day(ts) AS match_id, CAST(user_id * 7 AS VARCHAR) AS player_id,
     CASE WHEN event_type = 'signup' THEN 'chat' ELSE 'gameplay' END AS event_type,
     CASE event_type WHEN 'signup' THEN 'message' WHEN 'purchase' THEN 'kill'
          WHEN 'click' THEN 'assist' ELSE 'objective' END AS action,
@@ -66,7 +71,7 @@ WITH e AS (
     CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS team,
     CAST(c_nationkey AS VARCHAR) AS region,
     CASE WHEN c_acctbal >= 2000 THEN 'Master' WHEN c_acctbal >= 0 THEN 'Diamond' END AS rank
-  FROM customer WHERE c_acctbal >= -500
+  FROM customer
 ), x AS (
   SELECT e.*, coalesce(display_name, 'unknown') AS display_name, coalesce(team, 'unknown') AS team,
     coalesce(region, 'unknown') AS region, coalesce(rank, 'unknown') AS rank
@@ -109,13 +114,13 @@ def stream_enrichment(spark, sf):
 
 @query("leaderboard", SQL_EVENTS + "SELECT * FROM board")
 def leaderboard(spark, sf):
-    board = ops.ordered_leaderboard(ops.leaderboard(enriched(spark, sf), "24 HOURS"))
+    board = ops.ordered_leaderboard(ops.leaderboard(enriched(spark, sf), "24 HOURS", now(spark, sf)))
     return board.withColumn("last_event", plain(F.col("last_event")))
 
 
 @query("recent_messages", SQL_EVENTS + "SELECT * FROM chat")
 def recent_messages(spark, sf):
-    messages = ops.recent_messages(ops.chat_messages(enriched(spark, sf), "24 HOURS"))
+    messages = ops.recent_messages(ops.chat_messages(enriched(spark, sf), "24 HOURS", now(spark, sf)))
     return messages.withColumn("event_time", plain(F.col("event_time")))
 
 
@@ -123,9 +128,9 @@ def recent_messages(spark, sf):
 SELECT count(*) AS active_players, CAST(coalesce(sum(score), 0) AS BIGINT) AS total_score,
        (SELECT count(*) FROM chat) AS recent_messages FROM board""")
 def dashboard_rollup(spark, sf):
-    events = enriched(spark, sf)
+    events, newest = enriched(spark, sf), now(spark, sf)
     return ops.dashboard_rollup(
-        ops.leaderboard(events, "24 HOURS"), ops.chat_messages(events, "24 HOURS")
+        ops.leaderboard(events, "24 HOURS", newest), ops.chat_messages(events, "24 HOURS", newest)
     )
 
 
@@ -158,10 +163,13 @@ SELECT team, count(*) AS players, CAST(sum(score) AS BIGINT) AS score, (SELECT c
   WHERE event_type = 'chat') AS messages FROM board GROUP BY team""")
 def stored_views(spark, sf):
     """Leaderboard and chat stored as views and queried by name."""
-    events = enriched(spark, sf)
-    create_view(ops.leaderboard(events, "24 HOURS"), "live_leaderboard")
-    create_view(ops.chat_messages(events, "24 HOURS"), "live_chat")
-    return spark.sql(
+    events, newest = enriched(spark, sf), now(spark, sf)
+    create_view(ops.leaderboard(events, "24 HOURS", newest), "live_leaderboard")
+    create_view(ops.chat_messages(events, "24 HOURS", newest), "live_chat")
+    by_team = spark.sql(
         "SELECT team, count(*) AS players, sum(score) AS score, "
         "(SELECT count(*) FROM live_chat) AS messages FROM live_leaderboard GROUP BY team"
     )
+    for name in ("live_leaderboard", "live_chat"):
+        spark.catalog.dropTempView(name)  # the frame is resolved already
+    return by_team

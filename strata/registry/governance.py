@@ -8,6 +8,7 @@ from strata.operators.governance import GovernedView
 from strata.plans import data_products, governed_files
 from strata.registry.base import query, table
 from strata.registry.ingest import write_csv
+from strata.sources.external import drop_external_table
 
 TAGS = {"c_acctbal": "finance", "c_name": "personal"}
 
@@ -48,6 +49,7 @@ def governed_external_files(spark, sf):
     name = f"customers_{path.rsplit('-', 1)[1]}"
     schema = "customer_id bigint, phone string, city string"
     external = governed_files.external_table(spark, name, path, schema)
+    drop_external_table(spark, name)  # the frame keeps its files
     return governed_files.customers(external, mode="mask").select("*")
 
 

@@ -9,6 +9,7 @@ from strata.operators.ordering import with_row_ids
 from strata.plans import governed_files, revenue, tips
 from strata.registry.base import SQL_ISO, SQL_K, iso_text, prop_k, query, table
 from strata.session import scratch_path
+from strata.sources.external import drop_external_table
 from strata.sources import files, sinks
 from strata.streaming import arrivals
 from strata.streaming.tables import drain
@@ -169,6 +170,7 @@ def external_table_summary(spark, sf):
     name = f"invoices_{path.rsplit('-', 1)[1]}"
     schema = "invoice_id int, customer_id int, total decimal(12,2)"
     invoices = governed_files.external_table(spark, name, path, schema)
+    drop_external_table(spark, name)  # the frame keeps its files
     summary = governed_files.invoice_summary(invoices)
     return summary.withColumn("total", F.col("total").cast("double"))
 

@@ -9,7 +9,9 @@ from strata.operators.nested import element_where
 from strata.operators.ordering import best_per_key
 from strata.plans import purchases
 from strata.registry.base import query, table
-from strata.session import cut_lineage
+from strata.session import scratch_path
+from strata.sources.files import read_text_partitions
+from strata.sources.sinks import overwrite_partitioned
 
 TRAIN, JUDGE, SCORE = ("19950101", "19991231"), ("20000101", "20001231"), ("20010101", "20011231")
 
@@ -44,8 +46,10 @@ def sessions(spark, sf):
 
 
 def session_table(spark, sf):
-    """The sessions as a written table, for jobs that read it several times."""
-    return cut_lineage(sessions(spark, sf), "sessions")
+    """The sessions as a table by month, so that a date range reads its months only."""
+    dated = sessions(spark, sf).withColumn(ops.MONTH, F.substring("suffix", 1, 6))
+    path = overwrite_partitioned(dated, scratch_path(spark, "sessions"), [ops.MONTH])
+    return read_text_partitions(spark, path, ops.MONTH)
 
 
 SQL_FEATURES = """
@@ -76,12 +80,10 @@ SELECT CASE WHEN suffix <= '19991231' THEN 'train' WHEN suffix <= '20001231' THE
        count(*) AS sessions, CAST(sum(will_buy_on_return_visit) AS BIGINT) AS buyers
 FROM f GROUP BY 1""")
 def temporal_split(spark, sf):
-    features = ops.session_features(sessions(spark, sf))
-    parts = [
-        ops.in_range(features, bounds).select(F.lit(name).alias("part"), ops.LABEL)
-        for name, bounds in (("train", TRAIN), ("evaluate", JUDGE), ("score", SCORE))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("part").agg(
+    """The three ranges counted in one pass."""
+    parts = {"train": TRAIN, "evaluate": JUDGE, "score": SCORE}
+    features = ops.labelled_ranges(ops.session_features(sessions(spark, sf)), parts)
+    return features.groupBy("part").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum(ops.LABEL).alias("buyers")
     )
 
@@ -135,24 +137,37 @@ def ml_train_score(spark, sf):
 
 
 @query("ml_scored_visitors", SQL_FEATURES + """
-SELECT visitor_id, 1::BIGINT AS predictions, true AS is_probability FROM f
+SELECT visitor_id, 1::BIGINT AS predictions, true AS is_probability, count(*) AS sessions,
+       max(suffix) AS last_session FROM f
 WHERE suffix BETWEEN '20010101' AND '20011231' GROUP BY visitor_id""")
 def ml_scored_visitors(spark, sf):
     """Every visitor of the scoring range has one prediction, and it is a probability."""
-    trained = purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE)
-    probability = F.col("transaction_probability").between(0, 1)
-    return trained.predictions.groupBy("visitor_id").agg(
-        F.count(F.lit(1)).alias("predictions"), F.bool_and(probability).alias("is_probability")
+    table_ = session_table(spark, sf)
+    trained = purchases.run(table_, TRAIN, JUDGE, SCORE)
+    probability = F.col("transaction_probability")
+    sound = probability.between(0, 1) & (F.col("predicted_transaction") == (probability > 0.5).cast("int"))
+    scored = trained.predictions.groupBy("visitor_id").agg(
+        F.count(F.lit(1)).alias("predictions"), F.bool_and(sound).alias("is_probability")
     )
+    visits = ops.in_range(ops.session_features(table_), SCORE).groupBy("visitor_id").agg(
+        F.count(F.lit(1)).alias("sessions"), F.max("suffix").alias("last_session"))
+    return scored.join(visits, "visitor_id")
 
 
-@query("ml_evaluation", """
-SELECT * FROM (VALUES ('precision', true), ('recall', true), ('roc_auc', true),
-  ('predictions', true)) AS t(metric, ok)""")
+@query("ml_evaluation", SQL_FEATURES + """
+SELECT metric, true AS ok, judged, positives, scored
+FROM (VALUES ('precision'), ('recall'), ('roc_auc'), ('predictions')) AS t(metric),
+  (SELECT count(*) AS judged, CAST(sum(will_buy_on_return_visit) AS BIGINT) AS positives
+   FROM f WHERE suffix BETWEEN '20000101' AND '20001231'),
+  (SELECT count(DISTINCT visitor_id) AS scored FROM f WHERE suffix BETWEEN '20010101' AND '20011231')""")
 def ml_evaluation(spark, sf):
-    """The gate on the trained model's metrics: ranges, AUC above chance, predictions."""
+    """The gate on the trained model's metrics, with the rows it was judged on."""
     trained = purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE)
-    return purchases.verify(trained).select("metric", "ok")
+    judged = trained.judged.agg(F.struct(
+        F.count(F.col("score")).alias("rows"), F.sum(ops.LABEL).alias("positives")).alias("j")).scalar()
+    scored = trained.predictions.agg(F.count(F.lit(1))).scalar()
+    return purchases.verify(trained).select(
+        "metric", "ok", judged["rows"].alias("judged"), judged["positives"].alias("positives"), scored.alias("scored"))
 
 
 @query("best_per_key_from_array", """

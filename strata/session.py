@@ -29,14 +29,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int = 8, memory: str = "16g", app: str = "strata") -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
+def local_session(
+    cpus: int = 8, memory: str = "16g", app: str = "strata", scratch: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and benchmarks, with a scratch folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", scratch or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -61,9 +64,27 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_MADE: list[str] = []  # scratch folders of this process
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused folder below the shared scratch folder."""
-    return os.path.join(scratch_root(spark), f"strata-{label}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_root(spark), f"strata-{label}-{uuid.uuid4().hex}")
+    _MADE.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process made, once no frame reads them; their number.
+
+    For the end of a job: frames that read an intermediate table can no longer be used.
+    """
+    jvm, count = spark.sparkContext._jvm, 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        count += bool(files.delete(path, True))
+    return count
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -9,23 +9,26 @@ from pyspark.sql.types import StructType
 def create_external_table(
     spark: SparkSession, name: str, path: str, schema: StructType, source: str = "csv"
 ) -> DataFrame:
-    """Register files in place under a table name; nothing is copied."""
+    """Register files in place under a table name, in place of an earlier one of that name;
+    nothing is copied. ``drop_external_table`` takes the name away again.
+    """
     options = {"header": "true", "quote": '"', "escape": '"'} if source == "csv" else {}
+    drop_external_table(spark, name)
     spark.catalog.createTable(name, path=path, source=source, schema=schema, **options)
     return spark.table(name)
 
 
+def drop_external_table(spark: SparkSession, name: str) -> None:
+    """Forget a table's name; its files stay, and so do frames already made from it."""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
 def open_table_format(spark: SparkSession) -> str:
-    """``iceberg`` when its source class is on the classpath, else ``parquet``."""
-    jvm = spark.sparkContext._jvm
+    """``iceberg`` where Spark finds that source, else ``parquet``."""
     try:
-        jvm.java.lang.Class.forName(
-            "org.apache.iceberg.spark.source.IcebergSource",
-            True,
-            jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-    except Exception:  # the gateway wraps ClassNotFoundException
-        return "parquet"
+        spark.read.format("iceberg").load("no_such_table").schema
+    except Exception as error:  # the classic client wraps the JVM's, Connect its own
+        return "parquet" if "DATA_SOURCE_NOT_FOUND" in str(error) else "iceberg"
     return "iceberg"
 
 

@@ -77,12 +77,9 @@ def read_ndjson_typed(
     raw = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).json(path)
     typed = raw.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
     for name in required:
-        typed = typed.withColumn(
-            name,
-            F.when(F.col(name).isNotNull(), F.col(name)).otherwise(
-                F.raise_error(F.lit(f"required column {name} is NULL")).cast(columns[name])
-            ),
-        )
+        # In a filter, which stays whatever columns are read later.
+        refused = F.raise_error(F.lit(f"required column {name} is NULL")).cast("boolean")
+        typed = typed.filter(F.when(F.col(name).isNotNull(), F.lit(True)).otherwise(refused))
     return typed
 
 

@@ -1,11 +1,8 @@
-"""Streams and message generators."""
+"""Message streams."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.times import iso_instant, with_zone
@@ -33,76 +30,6 @@ def read_messages(
     return reader.load() if fmt == "kafka" else reader.load(path)
 
 
-def _pick(values: Sequence, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
-
-
-def _at(start: datetime, seconds: Column) -> Column:
-    if start.tzinfo is None:
-        raise ValueError("start must include timezone information")
-    epoch = F.lit(int(start.timestamp()))
-    return F.concat(iso_instant(F.timestamp_seconds(epoch + seconds)), F.lit("+00:00"))
-
-
-# Fixed values of the demo traffic: users, paths, corridors.
-USERS = ("user-101", "user-102", "user-103", "user-104")
-PATHS = ("/", "/products", "/pricing", "/docs", "/checkout")
-
-
-def site_traffic(spark: SparkSession, count: int, start: datetime) -> DataFrame:
-    """Page views every five seconds, users, paths and sizes in turn."""
-    seq = F.col("id")
-    return spark.range(count).select(
-        F.format_string("view-%04d", seq + 1).alias("event_id"),
-        _at(start, seq * 5).alias("event_time"),
-        _pick(USERS, seq % len(USERS)).alias("user_id"),
-        _pick(PATHS, seq % len(PATHS)).alias("path"),
-        (500 + (seq % 10) * 100).alias("bytes_sent"),
-    )
-
-
-def corridor_readings(
-    spark: SparkSession, count: int, start: datetime, corridors: Sequence[str], seed: int = 42
-) -> DataFrame:
-    """One speed reading per second, corridors in turn, speeds from 28 to 92."""
-    if count <= 0:
-        raise ValueError("count must be positive")
-    seq = F.col("id")
-    return spark.range(count).select(
-        F.format_string("traffic-%04d", seq + 1).alias("event_id"),
-        _at(start, seq).alias("event_time"),
-        _pick(corridors, seq % len(corridors)).alias("corridor"),
-        (28 + F.pmod(F.xxhash64(seq, F.lit(seed)), F.lit(65))).alias("speed_kph"),
-    )
-
-
-def match_events(
-    spark: SparkSession,
-    count: int,
-    start: datetime,
-    players: Sequence[str],
-    messages: Sequence[str],
-    seed: int = 42,
-) -> DataFrame:
-    """Gameplay events; every third one is a chat message without score."""
-    seq = F.col("id") + 1
-    chat = seq % 3 == 0
-
-    def draw(values: Sequence, salt: int) -> Column:
-        return _pick(values, F.pmod(F.xxhash64(seq, F.lit(seed + salt)), F.lit(len(values))))
-
-    return spark.range(count).select(
-        F.format_string("event-%05d", seq).alias("event_id"),
-        _at(start, seq).alias("event_time"),
-        F.format_string("match-%03d", seq % 3 + 1).alias("match_id"),
-        draw(players, 0).alias("player_id"),
-        F.when(chat, "chat").otherwise("gameplay").alias("event_type"),
-        F.when(chat, "message").otherwise(draw(("kill", "assist", "objective"), 1)).alias("action"),
-        F.when(chat, 0).otherwise(draw((25, 50, 100), 2)).cast("bigint").alias("score_delta"),
-        F.when(chat, draw(messages, 3)).alias("message"),
-    )
-
-
 # Fixed value: how the weather service names the four measures.
 MEASURES = {
     "temperature_2m": "temperature_c",

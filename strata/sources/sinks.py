@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -90,12 +91,16 @@ def export_csv(df: DataFrame, path: str, header: dict[str, str], order: str) ->
 
 
 def overwrite_open_table(df: DataFrame, location: str, fmt: str | None = None) -> str:
-    """Replace an open-format table in one snapshot and return where to read it."""
+    """Replace an open-format table in one snapshot and return where to read it.
+
+    Without a table format the rows go to a new place below ``location`` that is never
+    used again, so readers of the former one keep their rows.
+    """
     fmt = fmt or open_table_format(df.sparkSession)
     if fmt == "iceberg":
         df.writeTo(location).using("iceberg").createOrReplace()
         return location
-    return overwrite(df, location, fmt)
+    return overwrite(df, f"{location}/{uuid.uuid4().hex}", fmt)
 
 
 def publish(df: DataFrame, path: str, attributes: Sequence[str] = ()) -> str:

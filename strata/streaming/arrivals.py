@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from strata.sources.files import read_text_partitions
 from strata.sources.sinks import overwrite
-from strata.streaming.tables import each_batch
+from strata.streaming.tables import batch_folder, each_batch
 
 CSV_FILES = "*.[cC][sS][vV]"
 
@@ -29,22 +29,43 @@ def arriving_csv(
     return reader.csv(landing)
 
 
-def load_each_file(
-    spark: SparkSession, landing: str, schema: str, target: str, mode: str = "overwrite"
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def load_newest_file(
+    spark: SparkSession, landing: str, schema: str, target: str, files_per_batch: int | None = None
 ) -> DataStreamWriter:
-    """One micro-batch per file, in order of modification time.
+    """The last finished file replaces the table, an empty one empties it.
 
-    ``overwrite`` keeps the last file only (an empty one empties the table);
-    ``append`` keeps all, each in a folder of its own.
+    The stream carries only names and times of files. Of a micro-batch the newest file is
+    loaded, the one with the greater name of equal times; the others would be replaced.
     """
+    reader = (
+        spark.readStream.format("binaryFile").schema(FILES)
+        .option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", True)
+    )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    arrived = reader.load(landing).select(F.struct("modificationTime", "path").alias("file"))
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max("file")).first()[0]
+        if newest is not None:
+            rows = batch.sparkSession.read.schema(schema).option("header", True).option("escape", '"')
+            overwrite(rows.csv(newest["path"]), target)
+
+    return each_batch(arrived, load)
+
+
+def load_every_file(
+    spark: SparkSession, landing: str, schema: str, target: str, files_per_batch: int | None = None
+) -> DataStreamWriter:
+    """Rows of all files, added in folders that each micro-batch owns."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if mode == "overwrite":
-            overwrite(batch, target)
-        else:
-            overwrite(batch, f"{target}/batch_id={batch_id}")
+        overwrite(batch, batch_folder(batch, batch_id, target))
 
-    return each_batch(arriving_csv(spark, landing, schema, files_per_batch=1), load)
+    return each_batch(arriving_csv(spark, landing, schema, files_per_batch), load)
 
 
 def load_drops(spark: SparkSession, landing: str, schema: str, target: str) -> DataStreamWriter:

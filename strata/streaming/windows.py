@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from strata.functions.numbers import half_even
 from strata.functions.times import instant, iso_instant
 from strata.operators.ordering import best_per_key
-from strata.streaming.tables import BATCH
 
 # Window length and how late a reading may come.
 WINDOW = "60 seconds"
 LATENESS = "120 seconds"
+PANE = "pane"  # what orders the panes of a window
 
 
 def with_event_time(df: DataFrame, column: str = "event_time") -> DataFrame:
@@ -50,13 +50,13 @@ def corridor_metrics(
 
 
 def latest_panes(
-    panes: DataFrame, keys: Sequence[str] = ("window_start", "corridor"), pane: str = BATCH
+    panes: DataFrame, keys: Sequence[str] = ("window_start", "corridor"), pane: str = PANE
 ) -> DataFrame:
     """Every window's last pane. Panes carry full totals, so the last one counts."""
     return best_per_key(panes, keys, [F.col(pane).desc()])
 
 
-def corridor_progress(panes: DataFrame, pane: str = BATCH) -> DataFrame:
+def corridor_progress(panes: DataFrame, pane: str = PANE) -> DataFrame:
     """Per corridor the windows seen and vehicles counted, from its last panes."""
     return latest_panes(panes, pane=pane).groupBy("corridor").agg(
         F.count(F.lit(1)).alias("windows"), F.sum("vehicle_count").alias("vehicle_count")

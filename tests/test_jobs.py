@@ -5,11 +5,12 @@ import pytest
 from strata import jobs
 from strata.functions.contracts import CORRIDORS
 from strata.plans import orders_replica
-from strata.sources import messages, sinks
+from strata.sources import sinks
+from tests import samples
 from tests.conftest import rows
 from tests.test_files import BILLS, put
 from tests.test_quality import SAMPLE
-from tests.test_streams import NOON, arrive, reading
+from tests.test_streams import arrive, reading
 from tests.test_warehouse import ORDERS, write
 
 
@@ -23,7 +24,8 @@ def test_batch_jobs(spark, folder):
     bills = put(f"{folder}/tips.csv", BILLS)
     for job in ("load-csv", "enrich-csv", "rename-csv"):
         assert jobs.main([job, "--input", bills, "--output", f"{folder}/{job}"]).count() > 0
-    views = sinks.overwrite_json_lines(messages.site_traffic(spark, 120, NOON), f"{folder}/views")
+    views = sinks.overwrite_json_lines(
+        spark.createDataFrame(samples.page_views(120), samples.VIEWS), f"{folder}/views")
     conserved = jobs.main(["site-traffic", "--input", views, "--output", f"{folder}/traffic"])
     assert conserved.filter("NOT ok").count() == 0
     counts = spark.createDataFrame([("the", "lear", 700)], "word string, corpus string, word_count bigint")
@@ -33,7 +35,7 @@ def test_batch_jobs(spark, folder):
 
 
 def test_stream_jobs(spark, folder):
-    lines = messages.corridor_readings(spark, 30, NOON, CORRIDORS).toJSON().collect()
+    lines = samples.lines(samples.road_readings(30, CORRIDORS))
     arrive(folder, 1, *lines, '{"event_id":"invalid-demo"}')
     common = ["--output", f"{folder}/out", "--checkpoint", f"{folder}/cp"]
     done = jobs.main(["corridors", "--input", f"{folder}/in", "--declare", *common])
