@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from strata.llm import tokens
 from strata.llm.hmm import _longest_first
@@ -328,19 +329,20 @@ VERDICT = ("lang_pred", "score", "n_words", "n_switches")
 def identified(docs: DataFrame, field: Field) -> DataFrame:
     """``docs`` (with ``text``) without the text, and the columns of ``VERDICT``, which replace others of the name."""
     model = docs.sparkSession.sparkContext.broadcast(field)  # buckets times labels, a few megabytes
-    others = [c for c in docs.columns if c not in ("text", *VERDICT)]
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", *VERDICT)])
+    packed = docs.select(others.alias("row"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.slices(batch, limit=2 * tokens.SLICE_BYTES):
                 names, score, letters, switches = _verdicts(model.value, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in others], pa.array(names, pa.string()), pa.array(score),
-                     pa.array(letters, pa.int64()), pa.array(switches, pa.int64())],
-                    [*others, *VERDICT])
+                    [part.column("row"), pa.array(names, pa.string()), pa.array(score),
+                     pa.array(letters, pa.int64()), pa.array(switches, pa.int64())], ["row", *VERDICT])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema)
-    return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double, n_words long, n_switches long")
+    schema = StructType([packed.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+                         StructField("n_words", LongType()), StructField("n_switches", LongType())])
+    return packed.mapInArrow(run, schema).select("row.*", *VERDICT)
 
 
 def keep_identified(docs: DataFrame, field: Field, least: float = 0.35) -> DataFrame:
