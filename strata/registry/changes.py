@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import merge as ops
+from strata.plans import orders_replica
 from strata.registry.base import query, table
 from strata.session import scratch_path
 from strata.streaming import replica
@@ -78,6 +79,19 @@ def cdc_replica_stream(spark, sf):
     return current.rows
 
 
+@query("replica_verify", SQL_CHANGES + """
+, r AS (SELECT * FROM l WHERE status <> 'error' UNION ALL SELECT * FROM s WHERE order_id NOT IN (SELECT order_id FROM l)),
+f AS (SELECT * FROM r WHERE order_id = (SELECT max(order_id) FROM l WHERE status = 'click'))
+SELECT 'orders' AS metric, 'equals 1' AS expected, CAST(count(*) AS VARCHAR) AS actual, count(*) = 1 AS ok FROM f
+UNION ALL SELECT 'status', 'equals purchase', max(status), max(status) = 'purchase' FROM f""")
+def replica_verify(spark, sf):
+    """One order looked up in the replica; its status is another one than demanded."""
+    log = changes(table(spark, sf, "events"))
+    current = ops.apply_changes(snapshot(spark, sf), log, KEYS)
+    clicked = ops.latest_changes(log, KEYS).filter("status = 'click'").agg(F.max("order_id")).first()[0]
+    return orders_replica.verify(current, clicked, "purchase")
+
+
 def incoming(spark, sf):
     """The last change per key as plain rows."""
     return ops.latest_changes(changes(table(spark, sf, "events")), KEYS).drop("op", "seq")

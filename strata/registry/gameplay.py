@@ -142,6 +142,15 @@ def stream_health(spark, sf):
     return ops.stream_health(enriched(spark, sf))
 
 
+@query("gameplay_verify", SQL_EVENTS + """
+SELECT 'event_count' AS metric, 'at least 100' AS expected, CAST(count(*) AS VARCHAR) AS actual, count(*) >= 100 AS ok
+FROM x
+UNION ALL SELECT 'unknown_profiles', 'equals 0', CAST(count(*) FILTER (display_name = 'unknown') AS VARCHAR),
+  count(*) FILTER (display_name = 'unknown') = 0 FROM x""")
+def gameplay_verify(spark, sf):
+    return gameplay.verify(enriched(spark, sf), 100)
+
+
 @query("profile_seed", """
 SELECT CAST(user_id AS VARCHAR) AS player_id, event_type AS team, props AS rank FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")

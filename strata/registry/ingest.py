@@ -260,6 +260,27 @@ def file_arrival_last_wins(spark, sf):
     return arrivals.last_drop(spark, target)
 
 
+@query("file_arrival_replaces", """
+SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey,
+       c_acctbal AS s_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def file_arrival_replaces(spark, sf):
+    """Files whose names and times of arrival disagree: the one that arrived last is the
+    table, of several in one micro-batch too.
+    """
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
+    checkpoint = scratch_path(spark, "checkpoint")
+    customer = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"),
+        F.col("c_nationkey").alias("s_nationkey"), F.col("c_acctbal").alias("s_acctbal"), "c_mktsegment")
+    for name, segments in (("9", ["HOUSEHOLD"]), ("5", ["MACHINERY", "AUTOMOBILE"]), ("1", ["FURNITURE", "BUILDING"])):
+        for number, segment in enumerate(segments):
+            # A delivery of this kind is one file.
+            rows = customer.filter(F.col("c_mktsegment") == segment).drop("c_mktsegment").coalesce(1)
+            rows.write.option("header", True).option("escape", '"').csv(f"{landing}/{name}{9 - number}")
+        drain(arrivals.load_newest_file(spark, landing, SUPPLIER, target), checkpoint)
+    return spark.read.schema(SUPPLIER).parquet(target)
+
+
 @query("federated_region_revenue", """
 WITH targets AS (
   SELECT 'R-' || r_regionkey AS region_code, any_value(r_name) AS region_name,

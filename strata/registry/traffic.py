@@ -154,6 +154,55 @@ def dead_letters_stream(spark, sf):
     )
 
 
+@query("corridor_completeness", SQL_ERRORS + """
+SELECT count(DISTINCT event_type) FILTER (error IS NULL) AS corridor_count,
+       count(*) FILTER (error IS NULL) AS vehicle_count,
+       count(*) FILTER (error IS NOT NULL) AS invalid_count FROM m""")
+def corridor_completeness(spark, sf):
+    """Everything sent is in the windows or among the dead letters."""
+    folder = scratch_path(spark, "corridors")
+    corridors.declare(spark, folder)
+    for writer in (corridors.metrics_writer, corridors.dead_letter_writer):
+        messages = sensor_messages(stream(spark, sf, "events")).select("value")
+        drain(writer(messages, folder, CORRIDORS), scratch_path(spark, "checkpoint"))
+    return corridors.completeness(spark, folder)
+
+
+@query("late_panes", SQL_ERRORS + f"""
+, b AS (
+  SELECT *, date_trunc('hour', ts) AS w, CASE WHEN event_id % 5 = 0 THEN 3 WHEN epoch_us(ts) < (
+    SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events) THEN 1 ELSE 2 END AS delivery
+  FROM m WHERE error IS NULL
+), k AS (
+  SELECT * FROM b WHERE delivery < 3 OR epoch_ms(w + INTERVAL 1 HOUR) > (
+    SELECT epoch_ms(max(ts)) - 120000 FROM b WHERE delivery < 3)
+)
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start, event_type AS corridor,
+       count(*) AS vehicle_count, max(k) AS max_speed_kph, count(DISTINCT delivery) AS panes
+FROM k GROUP BY w, event_type""")
+def late_panes(spark, sf):
+    """Three deliveries: the earlier half, the later half, and a fifth of the events that
+    comes after both, mostly too late. A window that several deliveries change has as many
+    panes; late events of closed windows are dropped.
+    """
+    events, folder = table(spark, sf, "events"), scratch_path(spark, "corridors")
+    corridors.declare(spark, folder)
+    source, checkpoint = scratch_path(spark, "deliveries"), scratch_path(spark, "checkpoint")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    late, early = F.pmod("event_id", F.lit(5)) == 0, micros < (low + high) // 2
+    for delivery in (~late & early, ~late & ~early, late):
+        sent = sensor_messages(events.filter(delivery)).select("value")
+        sent.write.mode("append").parquet(source)
+        messages = spark.readStream.schema(sent.schema).parquet(source)
+        drain(corridors.metrics_writer(messages, folder, CORRIDORS, window="1 hour"), checkpoint)
+    panes = corridors.panes(spark, folder).groupBy("window_start", "corridor").agg(
+        F.count(F.lit(1)).alias("panes"))
+    final = corridors.final_metrics(spark, folder)
+    return final.join(panes, ["window_start", "corridor"]).select(
+        "window_start", "corridor", "vehicle_count", "max_speed_kph", "panes")
+
+
 def panes(spark, sf):
     """Every event as a pane of its hour and type; later events are later panes."""
     return table(spark, sf, "events").select(
