@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from strata.operators.ordering import best_per_key, with_running_totals
 NUMERIC = ("bounces", "time_on_site", "pageviews")
 CATEGORICAL = ("traffic_source", "traffic_medium", "device_category", "country")
 NO_CATEGORY = "(none)"
+HASHED = 1 << 12  # positions for category values
 LABEL = "will_buy_on_return_visit"
 MONTH = "month"  # partition column of session tables kept by month
 TRAIN_RANGE = ("20160801", "20170430")
@@ -75,16 +76,17 @@ def _named_categories(df: DataFrame) -> DataFrame:
 
 
 def train(features: DataFrame, label: str = LABEL, rounds: int = 50) -> PipelineModel:
-    """Weighted logistic regression over scaled numbers and one-hot categories."""
+    """Weighted logistic regression over scaled numbers and hashed categories.
+
+    Each category value marks one of ``HASHED`` positions by its hash, so the model's size
+    does not depend on how many values there are, and no list of them passes the driver.
+    """
     weighted = _named_categories(with_class_weights(features, label))
-    indexed = [f"{c}_index" for c in CATEGORICAL]
-    encoded = [f"{c}_onehot" for c in CATEGORICAL]
     stages = [
-        StringIndexer(inputCols=list(CATEGORICAL), outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded),
+        FeatureHasher(inputCols=list(CATEGORICAL), outputCol="hashed", numFeatures=HASHED),
         VectorAssembler(inputCols=list(NUMERIC), outputCol="numbers"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        VectorAssembler(inputCols=["scaled", *encoded], outputCol="features"),
+        VectorAssembler(inputCols=["scaled", "hashed"], outputCol="features"),
         LogisticRegression(
             featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds
         ),

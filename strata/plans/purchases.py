@@ -13,6 +13,7 @@ from strata.operators.learning import (
     in_range, positive_probability, predict, session_features, train,
 )
 from strata.operators.quality import Expect, gate
+from strata.session import cut_lineage
 
 METRIC_GATE = {
     "precision": Expect(at_least=0.0, at_most=1.0),
@@ -39,11 +40,8 @@ def run(
 ) -> Trained:
     """Three disjoint date ranges: learn, judge, and predict the best per visitor."""
     features = session_features(sessions)
-    learning = in_range(features, train_range).persist()
-    try:
-        model = train(learning)
-    finally:
-        learning.unpersist()
+    # The optimiser reads its rows again and again: from the shared folder.
+    model = train(cut_lineage(in_range(features, train_range), "training-rows"))
     judged = predict(model, in_range(features, evaluation_range)).withColumn(
         "score", positive_probability()
     )

@@ -109,17 +109,17 @@ def test_mean_vectors(spark):
 
 def test_text_search_end_to_end(spark, folder):
     posts = spark.createDataFrame(
-        [(1, "Open windows", "<p>stream window trigger</p>", "Streaming|python", 9),
-         (2, "Load tables", "<p>load csv files into tables</p>", "warehouse", 5),
-         (3, "Paint", "walls", "diy", 99), (4, None, "x", "etl", 7), (5, "T", None, "etl", 7)],
+        [(1, "Rye bread", "<p>knead rye dough twice</p>", "Baking|grain", 9),
+         (2, "Pea soup", "<p>boil green peas until soft</p>", "soup", 5),
+         (3, "Clean a pan", "salt", "tools", 99), (4, None, "x", "stew", 7), (5, "T", None, "stew", 7)],
         "id bigint, title string, body string, tags string, score bigint")
-    documents = search.top_documents(posts, "(warehouse|streaming|etl)")
+    documents = search.top_documents(posts, "(soup|baking|stew)")
     assert [r.document_id for r in documents.collect()] == ["1", "2"]
-    assert search.top_documents(posts, "etl|warehouse|streaming", limit=1).count() == 1
+    assert search.top_documents(posts, "stew|soup|baking", limit=1).count() == 1
     embedded = retrieval.document_embeddings(documents)
     assert len(embedded.first().embedding) == search.DIMENSIONS
     question = retrieval.query_embeddings(
-        spark.createDataFrame([(0, "window trigger in a stream")], "query_id int, content string"))
+        spark.createDataFrame([(0, "dough that you knead")], "query_id int, content string"))
     results = retrieval.search(embedded, question, 2)
     assert [r.document_id for r in results.orderBy("rank").collect()] == ["1", "2"]
     assert all(r.ok for r in retrieval.verify(results).collect())
@@ -196,7 +196,7 @@ def test_purchase_prediction(spark):
 def test_metric_gate(spark, auc, ok):
     from strata.operators.quality import gate
 
-    frame = spark.createDataFrame([(0.45, 0.62, auc)], "precision double, recall double, roc_auc double")
+    frame = spark.createDataFrame([(0.31, 0.88, auc)], "precision double, recall double, roc_auc double")
     assert gate(frame, purchases.METRIC_GATE).filter("NOT ok").count() == (0 if ok else 1)
 
 
@@ -247,20 +247,19 @@ def test_corpus_workflow(spark):
 
 
 def test_region_revenue(spark):
-    amounts = [(1001, "BR-SE", "149.90"), (1002, "BR-S", "89.50"), (1003, "BR-NE", "215.00"),
-               (1004, "BR-SE", "320.75"), (1005, "BR-CO", "174.25"), (1006, "XX", "1.00")]
+    amounts = [(1, "NW", "10.25"), (2, "NW", "0.50"), (3, "IS", "99.99"), (4, "HL", "5.00"),
+               (5, "HL", "5.01"), (6, "HL", "5.02"), (7, "??", "7.00")]
     orders = spark.createDataFrame(
         [(i, c, decimal.Decimal(a)) for i, c, a in amounts],
         "order_id bigint, region_code string, amount decimal(10,2)")
     targets = spark.createDataFrame(
-        [("BR-SE", "Southeast", decimal.Decimal(400)), ("BR-S", "South", decimal.Decimal(100)),
-         ("BR-NE", "Northeast", decimal.Decimal(200)), ("BR-CO", "Central-West", decimal.Decimal(150))],
+        [("NW", "Northern Woods", decimal.Decimal(11)), ("IS", "Islands", decimal.Decimal(50)),
+         ("HL", "Highlands", decimal.Decimal(15))],
         "region_code string, region_name string, revenue_target decimal(38,9)")
     result = revenue.region_revenue(orders, targets)
     assert [(r.region_name, r.order_count, float(r.revenue), r.status) for r in result.collect()] == [
-        ("Southeast", 2, 470.65, "met"), ("Northeast", 1, 215.0, "met"),
-        ("Central-West", 1, 174.25, "met"), ("South", 1, 89.5, "below")]
-    assert all(r.ok for r in revenue.verify(result, 4, 5, 949.40).collect())
+        ("Islands", 1, 99.99, "met"), ("Highlands", 3, 15.03, "met"), ("Northern Woods", 2, 10.75, "below")]
+    assert all(r.ok for r in revenue.verify(result, 3, 6, 125.77).collect())
 
 
 # --- governed views -------------------------------------------------------------------
