@@ -7,9 +7,10 @@ every label in its context, so that words within a switch of language are labell
 and words without letters follow their neighbours. A document's language is the label with
 the largest mean probability over its words with letters; that mean is its score.
 
-Learning takes a bounded sample: per language the ``SAMPLE_ROWS`` labelled rows with the
-smallest hash of their text, of each up to ``STRETCHES`` stretches of ``LENGTH`` words
-anywhere in it. Half of the training sequences are spliced from several languages, from
+Learning takes a bounded sample: per language the ``SAMPLE_ROWS`` different labelled texts
+with the smallest hash, found below a bound on the hash that the number of texts sets, so
+that hardly more texts than these are shuffled; of each up to ``STRETCHES`` stretches of
+``LENGTH`` words anywhere in it. Half of the training sequences are spliced from several languages, from
 which the transitions learn to switch. ``SHARDS`` tasks learn on their share of the sample
 and their weights are averaged. Texts to be labelled are read whole, once, without shuffle.
 
@@ -74,8 +75,8 @@ class WordTable:
         fingerprint = tokens.fingerprints(data, begin, end)
         self.fingerprint, first, self.which = np.unique(fingerprint, return_index=True, return_inverse=True)
         self.data, self.begin, self.end = data, begin[first], end[first]
-        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
-        self.lettered = letters[self.end] > letters[self.begin]
+        letters = np.cumsum(_LETTER[data], dtype=np.int32)
+        self.lettered = letters[self.end - 1] - letters[self.begin] + _LETTER[data[self.begin]] > 0
 
     def features(self) -> np.ndarray:
         """Feature numbers, a row per distinct word; ``BUCKETS`` means none."""
@@ -258,13 +259,25 @@ def _stretches(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.mapInArrow(run, "label string, text string"), "stretches")
 
 
+def sampled(rows: DataFrame, number: int = SAMPLE_ROWS) -> DataFrame:
+    """Per label the ``number`` different texts with the smallest hash: ``label, text``."""
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    counts = hashed.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts"))
+    # Four times as many are expected below the bound; with few texts it lets all pass.
+    share = F.least(F.lit(1.0), F.lit(4.0 * number) / F.col("texts"))
+    bounds = {r["label"]: r["share"] for r in counts.select("label", share.alias("share")).collect()}  # a row per label
+    bound = F.lit(0.0)
+    for label, value in bounds.items():
+        bound = F.when(F.col("label") == label, F.lit(value)).otherwise(bound)
+    few = hashed.filter(F.pmod("hash", F.lit(1 << 30)) <= bound * (1 << 30)).dropDuplicates(["label", "hash"])
+    return best_per_key(few, ["label"], [F.pmod("hash", F.lit(1 << 30)), F.col("hash")], number).select("label", "text")
+
+
 def fitted(labelled: DataFrame) -> Field:
     """A field learned from a sample of ``text, label``; rows without either are left out."""
     rows = labelled.select(F.col("label").cast("string").alias("label"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("label").isNotNull() & F.col("text").rlike(r"\S"))
-    order = [F.xxhash64("text"), F.col("text")]
-    sample = _stretches(best_per_key(rows.withColumn("hash", order[0]), ["label"], [F.col("hash"), F.col("text")], SAMPLE_ROWS)
-                        .select("label", "text"))
+    sample = _stretches(sampled(rows))
     labels = sorted(r["label"] for r in sample.select("label").distinct().collect())
 
     # The lexicon: words of the sample that nearly always stand in one language.
@@ -312,7 +325,7 @@ def _verdicts(field: Field, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarr
     score = share[np.arange(count), best]
     names = [field.labels[b] for b in best]
     data, offsets = tokens.buffers(texts)
-    plain = np.diff(np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])[offsets])
+    plain = np.add.reduceat(np.append(_ASCII_LETTER[data], False), offsets[:-1], dtype=np.int64) * (np.diff(offsets) > 0)
     for d in np.flatnonzero((plain == 0) | (letters == 0)):
         text = texts[d].as_py()
         if letters[d] == 0 or not any(c.isalpha() for c in text or ""):
@@ -334,7 +347,7 @@ def identified(docs: DataFrame, field: Field) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tokens.slices(batch, limit=2 * tokens.SLICE_BYTES):
+            for part in tokens.slices(batch):
                 names, score, letters, switches = _verdicts(model.value, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(names, pa.string()), pa.array(score),
@@ -353,4 +366,4 @@ def keep_identified(docs: DataFrame, field: Field, least: float = 0.35) -> DataF
         names, score, _, _ = _verdicts(model.value, part.column("text"))
         return np.array([n != UNKNOWN for n in names], dtype=bool) & (score >= least)
 
-    return tokens.filtered(docs, sure, 2 * tokens.SLICE_BYTES)
+    return tokens.filtered(docs, sure)
