@@ -42,3 +42,13 @@ def test_cut_lineage_keeps_rows_and_types(spark):
 
 def test_tune_sets_utc(spark):
     assert session.tune(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_scratch_of_this_process_is_removed(spark, monkeypatch):
+    monkeypatch.setattr(session, "_MADE", [])
+    kept = session.cut_lineage(spark.range(3), "kept")
+    path = session._MADE[0]
+    assert kept.count() == 3 and path.startswith(session.scratch_root(spark))
+    session.scratch_path(spark, "never-written")
+    assert session.remove_scratch(spark) == 1 and session._MADE == []
+    assert session.remove_scratch(spark) == 0
