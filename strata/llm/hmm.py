@@ -12,7 +12,7 @@ words' shares.
 * Baum-Welch: every pass runs forward-backward over all training sequences, cut into
   stretches of ``STRETCH`` tokens; a task emits one row of expected counts and Spark adds
   the rows up.
-* Scoring: the ``FREQUENT`` most frequent words (two megabytes) travel to the tasks; all
+* Scoring: up to ``FREQUENT`` most frequent words (two megabytes) travel to the tasks; all
   other words of a document, each once with its number, meet the vocabulary in a join.
 
 Defined cases: a NULL or empty text is its end mark alone; a NULL id hashes as the empty
@@ -71,7 +71,7 @@ def vocabulary(training: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tokens.slices(batch, limit=16 << 20):
+            for part in tokens.slices(batch):
                 _, h, ending = _shape(part)
                 word, first, n = np.unique(h, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -87,7 +87,13 @@ class Lexicon:
     """What tasks need of the vocabulary: frequent words, totals of the classes, N and V."""
 
     def __init__(self, words: DataFrame):
-        top = words.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow()  # bounded
+        # Words above a number of occurrences that at most FREQUENT words reach, in steps of 4%.
+        step = F.floor(F.log2("n") * 16).cast("int")
+        steps = sorted(words.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"])
+        reached = np.cumsum([r["count"] for r in steps])
+        least = [r["step"] for r, c in zip(steps, reached) if c <= FREQUENT]
+        top = words.filter(step >= least[-1]) if least else words.limit(0)
+        top = top.toArrow().sort_by([("n", "descending"), ("word", "ascending")])
         key, n, ending = (top[c].to_numpy() for c in ("word", "n", "ending"))
         key = key.view(np.uint64)
         plain = np.flatnonzero(key != END_KEY)[:OWN]
@@ -103,7 +109,7 @@ class Lexicon:
             self.class_room[r["ending"]] += r["n"] + r["v"]
         for i in plain:
             self.class_room[ending[i]] -= n[i] + 1
-        self.end_n = int(n[key == END_KEY].sum())
+        self.end_n = words.filter(F.col("ending") == END_CLASS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among the frequent words, and whether there is one."""
