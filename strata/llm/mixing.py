@@ -40,7 +40,7 @@ def _key(source: str) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, stop: int = STOP) -> DataFrame:
-    """``source, __source, source_size, target`` from rows of ``source, __source, size``.
+    """``source, __source, source_size, target`` from rows of ``__source, size``.
 
     Shares by weight are capped at ``stop`` times the source's size and the excess is
     shared again. In order of cap per weight the capped sources come first: the level
@@ -51,8 +51,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, stop
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     rising = Window.orderBy(F.col("source_size") / F.col("__weight"), F.col("source").asc_nulls_last())
     before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    sources = sizes.groupBy("__source").agg(
-        F.first("source").alias("source"), F.sum("size").alias("source_size"))
+    name = F.when(F.col("__source") != "", F.substring("__source", 2, 1 << 30))
+    sources = sizes.groupBy("__source").agg(F.sum("size").alias("source_size")).withColumn("source", name)
     weighted = sources.withColumn(
         "__weight",
         F.element_at(F.array(*[F.lit(w) for w in weights]),
@@ -99,14 +99,13 @@ def copies_per_row(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
     Sizes are counted in one pass over the texts and written; all else reads those rows.
     """
     sizes = cut_lineage(docs.select(
-        "doc_id", "source", _key("source").alias("__source"), word_count(F.col("text")).alias("size")),
-        "mix-sizes")
+        "doc_id", _key("source").alias("__source"), word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = source_targets(sizes, **shares)
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     start = offset(F.col("__source"), seed)
     crossed = (F.floor(F.col("__rank") * rate + start)
                - F.floor((F.col("__rank") - 1) * rate + start)).cast("long")
-    return ranked(sizes.drop("source")).join(targets, "__source").select(
+    return ranked(sizes).join(targets, "__source").select(
         "doc_id", "size", "source", "__source", "source_size", "target", crossed.alias("copies"))
 
 
