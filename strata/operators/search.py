@@ -123,12 +123,19 @@ def _nearest_in_group(k: int, vector: str, kept: Sequence[str]):
     return search
 
 
-def _blocked(df: DataFrame, counts: DataFrame, mine: str, its: str, row_id: str) -> DataFrame:
-    """Rows with ``__mine``, their block in the cell, once for every block of the other side."""
-    return df.join(counts, "__cell").withColumns({
-        f"__{mine}": F.pmod(F.xxhash64(row_id), F.col(f"__n_{mine}")),
-        f"__{its}": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"__n_{its}") - 1)),
-    }).drop(f"__n_{mine}", f"__n_{its}")
+def _blocked(df: DataFrame, number: dict[str, dict[int, int]], mine: str, its: str, row_id: str) -> DataFrame:
+    """Rows with ``__mine``, their block in the cell, once for every block of the other side.
+
+    ``number`` has the blocks of both sides by cell; rows of other cells are left out.
+    """
+    def blocks(side: str):
+        return F.create_map(*[F.lit(x) for cell, n in number[side].items() for x in (cell, n)])[F.col("__cell")]
+
+    known = df.filter(F.col("__cell").isin(list(number[mine])))
+    return known.withColumns({
+        f"__{mine}": F.pmod(F.xxhash64(row_id), blocks(mine)),
+        f"__{its}": F.explode(F.sequence(F.lit(0), blocks(its) - 1)),
+    })
 
 
 def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, query_id: str,
@@ -140,19 +147,23 @@ def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, que
     once per block of the other side, so a base is repeated only beyond ``QUERY_BLOCK``
     queries of a cell. Two counts per cell are taken first.
     """
-    def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
-        return df.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
+    def blocks(df: DataFrame, size: int) -> dict[int, int]:
+        return {r["__cell"]: -(-r["count"] // size) for r in df.groupBy("__cell").count().collect()}
 
-    counts = cut_lineage(
-        blocks(base, "__n_b", BASE_BLOCK).join(blocks(queries, "__n_q", QUERY_BLOCK), "__cell"), "blocks")
-    keys = ["__cell", "__b", "__q"]
-    left = _blocked(base.select("__cell", vector, *kept), counts, "b", "q", base_id).groupBy(*keys)
-    # New names throughout, as both sides may be one table.
-    asked = queries.select(F.col("__cell").alias("__cell"), F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
-    right = _blocked(asked, counts, "q", "b", "__query").groupBy(*keys)
     out = StructType(
         [StructField("__query", queries.schema[query_id].dataType), StructField("distance", DoubleType())]
         + [base.schema[c] for c in kept])
+    number = {"q": blocks(queries, QUERY_BLOCK), "b": blocks(base, BASE_BLOCK)}  # a row per cell
+    both = number["q"].keys() & number["b"].keys()
+    if not both:
+        empty = StructType([queries.schema[query_id], StructField("rank", IntegerType()), *out.fields[2:], out["distance"]])
+        return base.sparkSession.createDataFrame([], empty)
+    number = {side: {cell: n[cell] for cell in sorted(both)} for side, n in number.items()}
+    keys = ["__cell", "__b", "__q"]
+    left = _blocked(base.select("__cell", vector, *kept), number, "b", "q", base_id).groupBy(*keys)
+    # New names throughout, as both sides may be one table.
+    asked = queries.select(F.col("__cell").alias("__cell"), F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
+    right = _blocked(asked, number, "q", "b", "__query").groupBy(*keys)
     nearest = left.cogroup(right).applyInArrow(_nearest_in_group(k, vector, kept), out)
     # k rows per query and block are left; Spark limits them again before the shuffle.
     window = Window.partitionBy("__query").orderBy("distance", base_id)
