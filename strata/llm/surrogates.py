@@ -301,8 +301,10 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(
             _matches(F.col("text")), lambda m: parsed(m)["entities"])))).alias("e")).select("doc_id", "e.kind", "e.value"), "mentions")
     again = redrawn(mentions, key)
-    special = mentions.join(again, ["kind", "value"]).groupBy("doc_id").agg(
-        F.collect_set(F.struct("kind", "value", "attempt")).alias("attempts")).withColumnRenamed("doc_id", "__doc")
+    # Written, so that its size is known before the join: few rows are sent to the texts.
+    special = cut_lineage(mentions.join(again, ["kind", "value"]).groupBy("doc_id").agg(
+        F.collect_set(F.struct("kind", "value", "attempt")).alias("attempts")).withColumnRenamed("doc_id", "__doc"),
+        "redrawn")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("__id"))
     rows = rows.join(special, F.col("__id").eqNullSafe(F.col("__doc")), "left")
     text, none = F.col("row.text"), F.array().cast("array<struct<kind:string,value:string,attempt:int>>")
