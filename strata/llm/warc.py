@@ -39,7 +39,7 @@ from strata.session import cut_lineage
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRAWL_DATE = "2026-01-01T00:00:00Z"
-FILE_RECORDS = 30_000
+FILE_RECORDS = 12_000  # 4000 captures: a file stays far below what one row of a reader can hold
 END = "\r\n\r\n"
 RECORDS = (
     "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, "
@@ -69,18 +69,20 @@ def captures_to_store(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         payload.alias("html"), base32_sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"))
-    of_page = Window.partitionBy("page_id").orderBy("digest", "url")
+    # The page's key is never NULL, so that the join below keeps the window's partitions.
+    rows = rows.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    of_page = Window.partitionBy("key").orderBy("digest", "url")
     numbered = rows.withColumn("number", F.row_number().over(of_page))
     narrow = cut_lineage(rows.drop("html").withColumn("number", F.row_number().over(of_page)).drop("url"),
                          "warc-digests")
     first = narrow.filter(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
         F.min(F.struct("page_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = narrow.join(first.filter("n > 1"), ["digest", "bytes"]).filter(
+    later = cut_lineage(narrow.join(first.filter("n > 1"), ["digest", "bytes"]).filter(
         ~F.struct("page_id", "number").eqNullSafe(F.col("first"))).select(
-        F.col("page_id").alias("__page"), F.col("number").alias("__number"), "first")
-    return numbered.join(
-        later, F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("number") == F.col("__number")), "left"
-    ).drop("__page", "__number")
+        F.col("key").alias("__key"), F.col("number").alias("__number"), "first"), "warc-revisits")
+    # Only the key is a join key: payloads stay where the window has put them.
+    same = (F.col("key") == F.col("__key")) & (F.col("number") - F.col("__number") == 0)
+    return numbered.join(later, same, "left").drop("key", "__key", "__number")
 
 
 def _record(kind: str | Column, record_id: Column, fields: dict[str, Column | str], block: Column) -> Column:
