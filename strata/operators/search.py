@@ -133,7 +133,8 @@ def _blocked(df: DataFrame, number: dict[str, dict[int, int]], mine: str, its: s
 
     known = df.filter(F.col("__cell").isin(list(number[mine])))
     return known.withColumns({
-        f"__{mine}": F.pmod(F.xxhash64(row_id), blocks(mine)),
+        # One type on both sides: co-grouping deals out by a hash, in which 0 as int and as long differ.
+        f"__{mine}": F.pmod(F.xxhash64(row_id), blocks(mine)).cast("int"),
         f"__{its}": F.explode(F.sequence(F.lit(0), blocks(its) - 1)),
     })
 

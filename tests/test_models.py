@@ -101,6 +101,36 @@ def test_index_probed_whole_is_exact_and_in_part_mostly(spark, base, folder):
     assert recall >= 0.5
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_index_finds_the_neighbours_of_ordinary_vectors(spark, size):
+    import __spark_entry__ as contract
+
+    found = contract.queries()["vector_topk_indexed_ordinary"](spark, f"/root/testdata/{size}")
+    per_query = found.select("query_vec", "recall").distinct()
+    asked = spark.read.parquet(f"/root/testdata/{size}/embeddings.parquet").filter("vec_id % 50 = 0")
+    assert per_query.count() == asked.count()
+    assert per_query.agg(F.avg("recall")).first()[0] >= 0.9
+
+
+def test_search_over_many_partitions_loses_nothing(spark, base):
+    data, frame = base
+    asked = vectors(9, 8, 2)
+    queries = spark.createDataFrame(asked, "q int, embedding array<double>")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        index = search.cluster_by_centres(frame, np.array([v for _, v in vectors(4, 8, 9)]), "id")
+        for found in (search.nearest_exact(frame, queries, 5, "id", "q"),
+                      search.nearest_indexed(index, queries, 5, "id", "q", probes=4)):
+            got = sorted((r.q, r.rank, r.id) for r in found.collect())
+            assert got == [b[:3] for b in brute(data, asked, 5)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_mean_vectors(spark):
     frame = spark.createDataFrame(
         [(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])], "k int, embedding array<float>")
