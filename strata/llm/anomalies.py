@@ -1,9 +1,8 @@
 """Quality rules judged by an isolation forest over their statistics.
 
 One pass over the texts counts what the rules look at and writes a short row per document.
-Trees of random splits are grown on a bounded sample of those rows (``SAMPLE`` documents
-with the smallest keyed hash of their id, ``TREE_ROWS`` to a tree); a document that few
-splits isolate is anomalous. Its score is ``2 ** (-mean path length / c(TREE_ROWS))``.
+Trees of random splits are grown, each on ``TREE_ROWS`` rows of its own, those of the whole
+table with the smallest hash by the tree's seed; a document that few splits isolate is anomalous. Its score is ``2 ** (-mean path length / c(TREE_ROWS))``.
 The threshold comes from all labelled rows that pass the base rules, as counts per score bin:
 it makes the share of bad documents above it, less ``GOOD_COST`` times the share of good
 ones, largest.
@@ -25,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import tokens
+from strata.operators.ordering import best_per_key
 from strata.session import cut_lineage
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
-SAMPLE = 8192
 TREES, TREE_ROWS, DEPTH = 128, 256, 8
 BINS = 2000
 GOOD_COST = 20.0
@@ -131,15 +130,19 @@ def expected_path(n: float) -> float:
 class Forest:
     """Complete binary trees in arrays: node ``i`` has the children ``2i + 1`` and ``2i + 2``."""
 
-    def __init__(self, rows: np.ndarray, seed: int = 7):
+    def __init__(self, rows: np.ndarray, seed: int = 7, drawn_by: np.ndarray | None = None):
+        """``drawn_by`` has the tree of each row; without it every tree draws from all rows."""
         rng = np.random.default_rng(seed)
         nodes = (1 << (DEPTH + 1)) - 1
         self.feature = np.zeros((TREES, nodes), np.int64)
         self.split = np.full((TREES, nodes), np.inf)
         self.path = np.zeros((TREES, nodes))
-        self.per_tree = min(TREE_ROWS, len(rows))
+        self.per_tree = min(TREE_ROWS, len(rows)) if drawn_by is None else int(np.bincount(drawn_by, minlength=TREES).max())
         for tree in range(TREES):
-            chosen = rows[rng.choice(len(rows), self.per_tree, replace=False)] if len(rows) else rows
+            if drawn_by is not None:
+                chosen = rows[drawn_by == tree]
+            else:
+                chosen = rows[rng.choice(len(rows), self.per_tree, replace=False)] if len(rows) else rows
             self._grow(tree, 0, 0, chosen, rng)
 
     def _grow(self, tree: int, node: int, depth: int, rows: np.ndarray, rng) -> None:
@@ -169,16 +172,21 @@ class Forest:
         return 2.0 ** (-total / TREES / max(expected_path(self.per_tree), 1e-9))
 
 
-def fitted(stats: DataFrame, sample: int = SAMPLE) -> Forest:
-    """A forest on ``sample`` rows, in order of a hash of their id.
+def fitted(stats: DataFrame) -> Forest:
+    """A forest whose trees each draw ``TREE_ROWS`` of all rows, in order of a hash by the tree.
 
-    A bound on other bits of the hash lets twice as many pass, so that no task sorts more.
+    A bound on other bits of the hash lets twice as many pass, so that few rows are shuffled.
     """
-    drawn = F.xxhash64("doc_id", F.lit("forest"))
-    share = min(1.0, 2 * sample / max(1, stats.count()))
-    few = stats.filter(F.pmod(drawn, F.lit(1 << 30)) <= share * (1 << 30))
-    rows = few.orderBy(drawn, *COUNTS).limit(sample).toArrow()
-    return Forest(features({c: rows[c].to_numpy() for c in COUNTS}))
+    share = min(1.0, 2 * TREE_ROWS / max(1, stats.count()))
+    hashed = stats.select(*COUNTS, F.xxhash64("doc_id", *COUNTS).alias("row"))
+    draws = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.struct(
+        tree.alias("tree"), F.xxhash64("row", tree).alias("drawn")))
+    near = F.filter(draws, lambda d: F.pmod(d["drawn"], F.lit(1 << 30)) <= share * (1 << 30))
+    few = hashed.select(*COUNTS, F.explode(near).alias("d")).select(*COUNTS, "d.tree", "d.drawn")
+    order = ["drawn", *COUNTS]
+    rows = best_per_key(few, ["tree"], [F.col(c) for c in order], TREE_ROWS).select("tree", *order).toArrow()
+    rows = rows.sort_by([(c, "ascending") for c in ("tree", *order)])
+    return Forest(features({c: rows[c].to_numpy() for c in COUNTS}), drawn_by=rows["tree"].to_numpy())
 
 
 def scored(stats: DataFrame, forest: Forest) -> DataFrame:

@@ -75,6 +75,16 @@ def test_paths_of_the_forest():
     assert forest.path[0, node] >= 1
 
 
+def test_trees_draw_from_the_whole_table(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(anomalies, "Forest", lambda rows, *args, **more: seen.append((rows, more)))
+    zeros = [f"0L AS {c}" for c in anomalies.COUNTS if c not in ("n_words", "word_chars")]
+    anomalies.fitted(spark.range(40_000).selectExpr("id AS doc_id", "1L AS n_words", "id AS word_chars", *zeros))
+    rows, more = seen[0]
+    assert len(np.unique(rows[:, 0])) > 20_000
+    assert np.bincount(more["drawn_by"]).tolist() == [anomalies.TREE_ROWS] * anomalies.TREES
+
+
 def test_messy_empty_and_unlabelled(spark):
     docs, none = cases.messy(spark), spark.createDataFrame([], LABELS)
     out = anomalies.judged(docs, none).collect()
