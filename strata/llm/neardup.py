@@ -8,13 +8,14 @@ parts' registers, and two documents agree in one with about their similarity.
 1. Documents with equal sets form a class; one row per class goes on.
 2. Bands of four register values are bucket keys. 32 bands miss a pair at 0.8 with
    probability 5e-8 and hardly ever join unlike texts.
-3. Every bucket names a pivot, another one in every band, and each member is compared with
-   it: as many pairs as rows. A pair is estimated by maximum likelihood from the numbers
+3. Every bucket names a pivot, its member with the smallest hash, so that the bands of a
+   group agree on one, and each member is compared with it: about as many pairs as rows,
+   whatever a group's size. A pair is estimated by maximum likelihood from the numbers
    of larger, smaller and equal registers and both set sizes, and what may reach the
    threshold is verified on the full sets.
 4. Members that are not connected to their pivot by then are compared with all of their
    bucket that they are not connected to, each pair in its first common band, in blocks of
-   ``BLOCK`` rows and within the tasks: first on sketches, then those members that may be
+   ``BLOCK`` rows or ``BLOCK_SHINGLES`` shingles and within the tasks: first on sketches, then those members that may be
    linked on their full sets. Only links that join components leave a task. So no link
    found by a band is lost, while a large group of copies costs rows in proportion to its
    size, and pairs never become rows.
@@ -52,6 +53,7 @@ TOP = (1 << 16) - 1  # q + 1: largest register value
 PERCENT = 80
 ESTIMATE_SLACK = 0.15  # more than four standard errors of 128 registers at 0.8
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20  # of a block: some ten megabytes of text
 _FACTORS = np.random.default_rng(20260).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_SALT = tokens.mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
 
@@ -196,14 +198,36 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(one) + len(other) - both)
 
 
+class Forest:
+    """Union-find over node or label numbers."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Connect two nodes; False if they were connected before."""
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose full shingle sets are similar enough. ``texts``: ``node, text``."""
+    """Of the pairs ``a, b`` whose full shingle sets are similar enough as many as connect the
+    same nodes: a spanning forest of each batch. ``texts``: ``node, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            forest = Forest()
             for part in tokens.slices(batch, "one"):
                 sets = zip(shingle_sets(part.column("one"), size), shingle_sets(part.column("other"), size))
-                linked = [similar(x, y, percent) for x, y in sets]
+                linked = [similar(x, y, percent) and forest.join(a, b) for a, b, (x, y) in zip(
+                    part.column("a").to_pylist(), part.column("b").to_pylist(), sets)]
                 yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
@@ -217,7 +241,8 @@ def unsettled_links(
     """Links ``a, b`` between members of a bucket that no link connects yet, as many as join them.
 
     In each bucket the members apart from the pivot's component are compared with all
-    others, block by block; a group holds two blocks at most. Sketches alone tell which
+    others, block by block; a group holds two blocks at most, which are bounded in rows and,
+    by the number of their shingles, in bytes. Sketches alone tell which
     members may be linked; only these meet again, with their texts.
     """
     cut = percent / 100 - ESTIMATE_SLACK
@@ -228,10 +253,13 @@ def unsettled_links(
     placed = cut_lineage(
         placed.join(pivots, F.col("pivot") == F.col("__pivot"), "left").select(
             "key", "node", "n", "label", (F.col("label") != F.coalesce("main", "pivot")).alias("apart")), "placed")
+    sides = {"apart": F.col("apart"), "main": ~F.col("apart")}
     open_buckets = placed.groupBy("key").agg(
-        F.count(F.when(F.col("apart"), 1)).alias("aparts"), F.count(F.when(~F.col("apart"), 1)).alias("mains")
-    ).filter("aparts > 0 AND aparts + mains > 2").select(
-        "key", F.ceil(F.col("aparts") / BLOCK).alias("u"), F.ceil(F.col("mains") / BLOCK).alias("v"))
+        *[F.count(F.when(own, 1)).alias(f"{side}s") for side, own in sides.items()],
+        *[F.sum(F.when(own, F.col("n")).otherwise(0)).alias(f"{side}_n") for side, own in sides.items()]
+    ).filter("aparts > 0 AND aparts + mains > 2").select("key", *[
+        F.greatest(F.ceil(F.col(f"{side}s") / BLOCK), F.ceil(F.col(f"{side}_n") / BLOCK_SHINGLES)).alias(name)
+        for side, name in (("apart", "u"), ("main", "v"))])
     # Blocks of a bucket: 0..u-1 of members apart, u..u+v-1 of the others. A group is a pair
     # of blocks, the first of members apart.
     block = F.pmod(F.xxhash64("node"), F.when(F.col("apart"), F.col("u")).otherwise(F.col("v"))) + F.when(
@@ -261,18 +289,11 @@ def unsettled_links(
         """Links between components: likely pairs first, none within what is already linked."""
         x, y, likely = _candidates(table, cut, percent)
         node, sets = table["node"].to_numpy(), shingle_sets(table["text"].combine_chunks(), size)
-        parent = {label: label for label in table["label"].to_pylist()}
-
-        def root(label):
-            while parent[label] != label:
-                parent[label] = label = parent[parent[label]]
-            return label
-
-        label, found = table["label"].to_numpy(), []
+        forest, label, found = Forest(), table["label"].to_pylist(), []
         for k in np.argsort(-likely, kind="stable"):
-            one, other = root(label[x[k]]), root(label[y[k]])
+            one, other = forest.root(label[x[k]]), forest.root(label[y[k]])
             if one != other and similar(sets[x[k]], sets[y[k]], percent):
-                parent[max(one, other)] = min(one, other)
+                forest.join(one, other)
                 found.append(sorted((node[x[k]], node[y[k]])))
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
@@ -330,7 +351,7 @@ def grouped(docs: DataFrame, size: int, percent: int = PERCENT) -> tuple[DataFra
         rows.select("__id", "n", "sketch").join(by_set.select(F.col("node").alias("__id")), "__id", "left_semi")
         .withColumnRenamed("__id", "node"), "classes")
     banded = cut_lineage(bands(classes), "bands")
-    turn = F.xxhash64("key", "node")
+    turn = F.xxhash64("node")  # of the node alone: the bands of a group choose alike
     buckets = banded.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct(turn.alias("turn"), F.col("node").alias("node"),
                                                         F.col("n").alias("n"))).alias("pivot")
