@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
-    anomalies, decontaminate, hmm, language, mixing, neardup, secrets, sharding, surrogates, warc,
+    anomalies, decontaminate, hmm, language, merkle, mixing, neardup, secrets, sharding, surrogates, warc,
 )
 from strata.session import scratch_path, tune
 
@@ -228,6 +228,66 @@ def op1(spark, sf_dir):
     return surrogates.with_surrogates(docs)
 
 
+def _sql_crc32(value: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    bits = f"flatten([[(ascii(c) >> b) & 1 FOR b IN range(8)] FOR c IN string_split({value}, '')])"
+    return (f"xor(list_reduce([4294967295::BIGINT] || {bits}, lambda crc, bit: xor(crc >> 1, "
+            "CASE WHEN (xor(crc, bit) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)")
+
+
+def _sql_merkle() -> str:
+    """Both trees level by level, then the proofs from the leaves up."""
+    fields = {name: name for name in merkle.FIELDS}
+
+    def leaf(fields):
+        return "sha256(" + " || ".join(
+            f"COALESCE(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')" for x in fields.values()) + ")"
+
+    def levels(name, leaves):
+        return f"""
+{name} AS (
+  SELECT 0 AS level, g, pos, n, digest FROM {leaves}
+  UNION ALL
+  SELECT level + 1, g, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY level, g, pos // 16, n),
+{name}_sides AS MATERIALIZED (
+  SELECT level, g, pos, COALESCE(string_agg(digest, '') OVER before, '') AS l,
+         COALESCE(string_agg(digest, '') OVER after, '') AS r
+  FROM {name} WHERE n > 1
+  WINDOW before AS (PARTITION BY level, g, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (PARTITION BY level, g, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+    def climb(name, tree, start):
+        return f"""
+{name} AS (
+  SELECT doc_id, 0 AS level, g, pos, n, proof, folded FROM {start}
+  UNION ALL
+  SELECT doc_id, {name}.level + 1, g, pos // 16, (n + 15) // 16, proof || l || r, sha256(l || folded || r)
+  FROM {name} JOIN {tree}_sides USING (level, g, pos) WHERE n > 1)"""
+
+    return f"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, {leaf(fields)} AS digest,
+         CASE WHEN {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {leaf(fields | {"text": f"translate(text, '{UPPER}', '{LOWER}')"})} END AS altered,
+         COUNT(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos
+  FROM documents),{levels("tree", "docs")},
+subroots AS MATERIALIZED (SELECT 0 AS g, g AS pos, COUNT(*) OVER () AS n, digest FROM tree WHERE n = 1),{levels("crown", "subroots")},
+low AS (SELECT doc_id, g, pos, n, '' AS proof, COALESCE(altered, digest) AS folded FROM docs),{climb("climbed", "tree", "low")},
+high AS (SELECT doc_id, 0 AS g, g AS pos, (SELECT COUNT(*) FROM subroots) AS n, proof, folded FROM climbed WHERE n = 1),{climb("proven", "crown", "high")}
+SELECT doc_id, d.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(p.proof) AS proof_sha256,
+       p.folded AS folded_root, p.folded = r.digest AS verified
+FROM proven p JOIN docs d USING (doc_id) JOIN subroots s ON s.pos = d.g
+JOIN crown r ON r.n = 1 WHERE p.n = 1"""
+
+
+@register("op13_merkle_manifest", _sql_merkle())
+def op13(spark, sf_dir):
+    changed = F.col("doc_id").isNotNull() & (hmm.remainder(F.col("doc_id"), 5) == 0)
+    return merkle.verified(read(spark, sf_dir, "documents"), changed)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
