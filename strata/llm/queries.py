@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
-    anomalies, decontaminate, hmm, language, merkle, mixing, neardup, secrets, sharding, surrogates, warc,
+    alignment, anomalies, decontaminate, hmm, language, merkle, mixing, neardup, secrets, sharding, surrogates, warc,
 )
 from strata.session import scratch_path, tune
 
@@ -228,6 +228,11 @@ def op1(spark, sf_dir):
     return surrogates.with_surrogates(docs)
 
 
+@register("op11_token_alignment")
+def op11(spark, sf_dir):
+    return alignment.aligned(read(spark, sf_dir, "documents"))
+
+
 def _sql_crc32(value: str) -> str:
     """CRC-32 of ASCII text, bit by bit."""
     bits = f"flatten([[(ascii(c) >> b) & 1 FOR b IN range(8)] FOR c IN string_split({value}, '')])"
