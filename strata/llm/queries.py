@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
-    alignment, anomalies, decontaminate, hmm, language, merkle, mixing, neardup, secrets, sharding, surrogates, warc,
+    alignment, anomalies, decontaminate, hmm, language, merkle, mixing, neardup, secrets, sharding, surrogates, toxicity,
+    warc,
 )
 from strata.session import scratch_path, tune
 
@@ -233,6 +234,12 @@ def op11(spark, sf_dir):
     return alignment.aligned(read(spark, sf_dir, "documents"))
 
 
+@register("op12_toxicity_scores")
+def op12(spark, sf_dir):
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                           lambda doc_id: doc_id.isNotNull() & (hmm.remainder(doc_id, 5) == 0))
+
+
 def _sql_crc32(value: str) -> str:
     """CRC-32 of ASCII text, bit by bit."""
     bits = f"flatten([[(ascii(c) >> b) & 1 FOR b IN range(8)] FOR c IN string_split({value}, '')])"
