@@ -88,6 +88,18 @@ def _unit_vectors(column: pa.ChunkedArray, length: int | None = None) -> np.ndar
     return _unit_rows(flat.reshape(len(column), -1)) if len(column) else np.zeros((0, length or 0))
 
 
+def nearest_columns(distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` smallest finite entries of each row: rows, columns and entries, ties by column."""
+    count = min(k, distance.shape[1])
+    limit = np.partition(distance, count - 1, axis=1)[:, count - 1: count]
+    near = distance < limit
+    # Of the columns tied at the limit as many as are missing, the first ones.
+    tied = (distance == limit) & np.isfinite(distance)
+    near |= tied & (np.cumsum(tied, axis=1) <= count - near.sum(1, keepdims=True))
+    row, column = np.nonzero(near)
+    return row, column, distance[row, column]
+
+
 def _nearest_in_group(k: int, vector: str, kept: Sequence[str]):
     """The ``k`` nearest rows of one group of base rows for each query of the group."""
 
@@ -102,16 +114,10 @@ def _nearest_in_group(k: int, vector: str, kept: Sequence[str]):
             distance = np.round(1.0 - units[at: at + QUERIES_AT_ONCE] @ rows.T, DISTANCE_DIGITS)
             distance = np.clip(distance, 0.0, 2.0) + 0.0  # no negative zero
             distance[np.isnan(distance)] = np.inf
-            count = min(k, distance.shape[1])
-            limit = np.partition(distance, count - 1, axis=1)[:, count - 1: count]
-            near = distance < limit
-            # Of the rows tied at the limit as many as are missing, the first by id.
-            tied = (distance == limit) & np.isfinite(distance)
-            near |= tied & (np.cumsum(tied, axis=1) <= count - near.sum(1, keepdims=True))
-            q, row = np.nonzero(near)
+            q, row, near = nearest_columns(distance, k)
             found_query.append(q + at)
             found_row.append(by_id[row])
-            found_distance.append(distance[q, row])
+            found_distance.append(near)
         if not found_query:
             found_query, found_row, found_distance = ([np.zeros(0, t)] for t in ("int64", "int64", "float64"))
         base_rows = pa.array(np.concatenate(found_row))
@@ -140,8 +146,8 @@ def _blocked(df: DataFrame, number: dict[str, dict[int, int]], mine: str, its: s
 
 
 def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, query_id: str,
-                  vector: str, kept: Sequence[str]) -> DataFrame:
-    """Queries against the base rows of the same ``__cell``.
+                  vector: str, kept: Sequence[str], search: Callable | None = None) -> DataFrame:
+    """Queries against the base rows of the same ``__cell``, compared exactly or by ``search``.
 
     Both sides of a cell are cut into blocks of bounded size by a hash of their id, and
     every pair of blocks is one group: a matrix product in one task. A side is repeated
@@ -165,7 +171,7 @@ def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, que
     # New names throughout, as both sides may be one table.
     asked = queries.select(F.col("__cell").alias("__cell"), F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
     right = _blocked(asked, number, "q", "b", "__query").groupBy(*keys)
-    nearest = left.cogroup(right).applyInArrow(_nearest_in_group(k, vector, kept), out)
+    nearest = left.cogroup(right).applyInArrow(search or _nearest_in_group(k, vector, kept), out)
     # k rows per query and block are left; Spark limits them again before the shuffle.
     window = Window.partitionBy("__query").orderBy("distance", base_id)
     ranked = nearest.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.learning import (
-    EVALUATION_RANGE, LABEL, SCORING_RANGE, TRAIN_RANGE, best_prediction, binary_metrics,
-    in_range, positive_probability, predict, session_features, train,
+    EVALUATION_RANGE, LABEL, SCORING_RANGE, TRAIN_RANGE, LogisticModel, best_prediction,
+    binary_metrics, in_range, positive_probability, predict, session_features, train,
 )
 from strata.operators.quality import Expect, gate
-from strata.session import cut_lineage
 
 METRIC_GATE = {
     "precision": Expect(at_least=0.0, at_most=1.0),
@@ -24,7 +22,7 @@ METRIC_GATE = {
 
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    model: LogisticModel
     judged: DataFrame
     predictions: DataFrame
 
@@ -40,8 +38,7 @@ def run(
 ) -> Trained:
     """Three disjoint date ranges: learn, judge, and predict the best per visitor."""
     features = session_features(sessions)
-    # The optimiser reads its rows again and again: from the shared folder.
-    model = train(cut_lineage(in_range(features, train_range), "training-rows"))
+    model = train(in_range(features, train_range))
     judged = predict(model, in_range(features, evaluation_range)).withColumn(
         "score", positive_probability()
     )

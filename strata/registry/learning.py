@@ -129,11 +129,78 @@ def binary_metrics(spark, sf):
     return metrics.select(*[F.round(c, 6).alias(c) for c in metrics.columns])
 
 
-@query("ml_train_score")
+def sql_model(first: str, last: str) -> str:
+    """CTEs after ``f`` that fit the model to a range of sessions: ``model`` has its ``weights``.
+
+    A Newton step is the two sums over all rows, then elimination column by column.
+    """
+    size = 1 + len(ops.NUMERIC) + ops.HASHED
+    numbers = ", ".join(f"({c} - m_{c}) / d_{c}" for c in ops.NUMERIC)
+    scale = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_samp({c}) > 0 THEN stddev_samp({c}) ELSE 1 END AS d_{c}"
+                      for c in ops.NUMERIC)
+    marks = " + ".join(
+        f"CASE WHEN CAST('0x' || substr(md5('{c}=' || coalesce(nullif({c}, ''), '{ops.NO_CATEGORY}')), 1, 7) AS BIGINT)"
+        f" % {ops.HASHED} = i THEN 1 ELSE 0 END" for c in ops.CATEGORICAL)
+    steps = [f"""
+scale AS MATERIALIZED (
+  SELECT count(*)::DOUBLE AS n, sum({ops.LABEL})::DOUBLE AS ones, {scale} FROM f WHERE suffix BETWEEN '{first}' AND '{last}'),
+vectors AS MATERIALIZED (
+  SELECT visitor_id, suffix, {ops.LABEL}::DOUBLE AS y,
+    CASE WHEN {ops.LABEL} = 1 THEN n / (2 * ones) ELSE n / (2 * (n - ones)) END AS weight,
+    list_concat([1.0::DOUBLE, {numbers}], [({marks})::DOUBLE FOR i IN range({ops.HASHED})]) AS x
+  FROM f, scale),
+b0 AS (SELECT [0.0::DOUBLE FOR i IN range({size})] AS weights)"""]
+    for t in range(1, ops.NEWTON_STEPS + 1):
+        steps.append(f"""
+p{t} AS MATERIALIZED (
+  SELECT x, weight * (y - p) AS e, weight * p * (1 - p) AS h FROM (
+    SELECT x, y, weight, 1 / (1 + exp(-list_inner_product(x, weights))) AS p
+    FROM vectors, b{t - 1} WHERE suffix BETWEEN '{first}' AND '{last}')),
+s{t} AS MATERIALIZED (
+  SELECT i, j, sum(CASE WHEN j > {size} THEN e ELSE h * x[j] END * x[i])
+           + CASE WHEN i > 1 AND i = j THEN {ops.RIDGE} WHEN i > 1 AND j > {size} THEN -{ops.RIDGE} * any_value(b{t - 1}.weights[i]) ELSE 0 END AS v
+  FROM (SELECT x, e, h, i, unnest(generate_series(1, {size + 1})) AS j FROM (
+    SELECT x, e, h, unnest(generate_series(1, {size})) AS i FROM p{t}) WHERE x[i] <> 0), b{t - 1}
+  GROUP BY i, j),
+full{t} AS (
+  SELECT i, j, coalesce(v, CASE WHEN i = j THEN {ops.RIDGE} WHEN j > {size} THEN -{ops.RIDGE} * b{t - 1}.weights[i] ELSE 0 END) AS v
+  FROM (SELECT unnest(generate_series(1, {size})) AS i) CROSS JOIN (SELECT unnest(generate_series(1, {size + 1})) AS j)
+  CROSS JOIN b{t - 1} LEFT JOIN s{t} USING (i, j)),
+e{t} AS (
+  SELECT 1 AS k, list(r ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS r FROM full{t} GROUP BY i)
+  UNION ALL
+  SELECT k + 1, [CASE WHEN i = k THEN [m[k][j] / m[k][k] FOR j IN range(1, {size + 2})]
+                 ELSE [m[i][j] - m[i][k] * m[k][j] / m[k][k] FOR j IN range(1, {size + 2})] END FOR i IN range(1, {size + 1})]
+  FROM e{t} WHERE k <= {size}),
+b{t} AS MATERIALIZED (
+  SELECT [b{t - 1}.weights[i] + m[i][{size + 1}] FOR i IN range(1, {size + 1})] AS weights
+  FROM e{t}, b{t - 1} WHERE k = {size + 1})""")
+    return ",".join(steps) + f", model AS (SELECT weights FROM b{ops.NEWTON_STEPS})"
+
+
+SQL_RECURSIVE_FEATURES = SQL_FEATURES.strip().replace("WITH l AS", "WITH RECURSIVE l AS")
+
+
+@query("ml_train_score", SQL_RECURSIVE_FEATURES + "," + sql_model(*TRAIN) + f"""
+SELECT visitor_id, CAST(max(p) > 0.5 AS INTEGER) AS predicted_transaction, round(max(p), 6) AS transaction_probability
+FROM (SELECT visitor_id, 1 / (1 + exp(-list_inner_product(x, weights))) AS p FROM vectors, model
+      WHERE suffix BETWEEN '{SCORE[0]}' AND '{SCORE[1]}')
+GROUP BY visitor_id""")
 def ml_train_score(spark, sf):
     """Train, evaluate and gate, then the best prediction per visitor."""
     trained = purchases.run(session_table(spark, sf), TRAIN, JUDGE, SCORE)
-    return trained.predictions
+    return trained.predictions.withColumn("transaction_probability", F.round("transaction_probability", 6))
+
+
+@query("ml_coefficients", SQL_RECURSIVE_FEATURES + "," + sql_model(*TRAIN) + """
+SELECT i AS position, round(weights[i + 1], 6) + 0.0 AS weight
+FROM model, (SELECT unnest(generate_series(0, len(weights) - 1)) AS i FROM model)""")
+def ml_coefficients(spark, sf):
+    """The fitted weights: of one, of the scaled numbers, of the category positions."""
+    model = ops.train(ops.in_range(ops.session_features(sessions(spark, sf)), TRAIN))
+    rows = [(i, float(w)) for i, w in enumerate(model.weights)]  # as many as the model has
+    weights = spark.createDataFrame(rows, "position long, weight double")
+    return weights.withColumn("weight", F.round("weight", 6) + F.lit(0.0))
 
 
 @query("ml_scored_visitors", SQL_FEATURES + """

@@ -7,10 +7,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from strata.functions.vectors import cosine_distance, norm
+from strata.operators import quantised
 from strata.operators import search as ops
 from strata.plans import retrieval as plan
 from strata.registry.base import query, table
-from strata.session import scratch_path
+from strata.session import cut_lineage, scratch_path
 
 PATTERN = "(/en/|/fr/|/es/)"
 QUERY = "the quick answer on data that are there and not here"
@@ -131,39 +132,6 @@ def vector_topk_every_query(spark, sf):
     return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
 
 
-@query("vector_topk_indexed", SQL_NEAREST + """
-, cell AS (
-  SELECT vec_id, query_label AS cluster FROM d
-  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, query_label) = 1
-), probe AS (
-  SELECT a.label AS query_label, b.label AS cluster
-  FROM q a, q b
-  QUALIFY row_number() OVER (PARTITION BY a.label ORDER BY
-    round(list_cosine_distance(a.centre, b.centre), 12), b.label) <= 3
-), f AS (
-  SELECT d.query_label, d.vec_id, d.distance,
-         row_number() OVER (PARTITION BY d.query_label ORDER BY d.distance, d.vec_id) AS rank
-  FROM d JOIN cell USING (vec_id) JOIN probe USING (query_label, cluster)
-), hit AS (
-  SELECT r.query_label, avg(CASE WHEN f.vec_id IS NULL THEN 0 ELSE 1 END) AS recall
-  FROM r LEFT JOIN f ON f.query_label = r.query_label AND f.vec_id = r.vec_id AND f.rank <= 5
-  WHERE r.rank <= 5 GROUP BY r.query_label
-)
-SELECT query_label, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) AS distance, recall
-FROM f JOIN hit USING (query_label) WHERE rank <= 5""")
-def vector_topk_indexed(spark, sf):
-    """Clusters around the labels' means, three probed per query, and the recall."""
-    base = table(spark, sf, "embeddings")
-    means = label_queries(spark, sf).orderBy("label").collect()  # a vector per label
-    queries = label_queries(spark, sf).withColumnRenamed("label", "query_label")
-    index = ops.cluster_by_centres(base, np.array([r["embedding"] for r in means]), "vec_id")
-    path = ops.store_index(index, scratch_path(spark, "index"))
-    found = ops.nearest_indexed(ops.load_index(spark, path), queries, 5, "vec_id", "query_label", probes=3)
-    exact = ops.nearest_exact(base, queries, 5, "vec_id", "query_label")
-    recall = ops.recall(found, exact, "query_label", "vec_id")
-    return found.withColumn("distance", F.round("distance", 6)).join(recall, "query_label")
-
-
 PROBES = 8  # of the ten labels' clusters; with fewer the measured recall falls below 0.9
 
 
@@ -207,6 +175,86 @@ def vector_topk_indexed_ordinary(spark, sf):
     return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0)).join(recall, "query_vec")
 
 
+CODE_PROBES, RERANK = 48, 64  # of 64 centres, whose codes are read; full vectors read per query
+
+
+def nth_units(spark, sf, divisor: int, remainder: int, most: int) -> np.ndarray:
+    """The first of the vectors whose id has a remainder, as given centres or code words."""
+    chosen = table(spark, sf, "embeddings").filter(f"vec_id % {divisor} = {remainder}").orderBy("vec_id").limit(most)
+    vectors = np.array([r["embedding"] for r in chosen.collect()], dtype="float64")
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+@query("vector_topk_quantised", f"""
+WITH u AS MATERIALIZED (
+  SELECT vec_id, [x / length FOR x IN v] AS v FROM (
+    SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS length
+    FROM embeddings)),
+centre AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell, v AS c FROM u WHERE vec_id % 7 = 3
+  QUALIFY cell < {quantised.CENTRES}),
+near AS MATERIALIZED (
+  SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY round(1 - list_inner_product(v, c), 12), cell) AS place
+  FROM u, centre),
+rest AS MATERIALIZED (
+  SELECT vec_id, cell, [v[i] - c[i] FOR i IN range(1, len(v) + 1)] AS r
+  FROM u JOIN near USING (vec_id) JOIN centre USING (cell) WHERE place = 1),
+word AS MATERIALIZED (
+  SELECT part, w, r[4 * part + 1 : 4 * part + 4] AS b FROM (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS w, r FROM rest WHERE vec_id % 11 = 5 QUALIFY w < 16),
+    (SELECT unnest(range(16)) AS part)),
+code AS MATERIALIZED (
+  SELECT vec_id, part, b FROM rest, word
+  QUALIFY row_number() OVER (PARTITION BY vec_id, part
+                             ORDER BY round(list_distance(r[4 * part + 1 : 4 * part + 4], b), 12), w) = 1),
+scored AS (
+  SELECT q.vec_id AS query_vec, rest.vec_id,
+         round(1 - (any_value(list_inner_product(q.v, c)) + sum(list_inner_product(q.v[4 * part + 1 : 4 * part + 4], b))), 12) AS coded
+  FROM u q JOIN near probe ON probe.vec_id = q.vec_id AND probe.place <= {CODE_PROBES}
+  JOIN centre USING (cell) JOIN rest ON rest.cell = probe.cell JOIN code ON code.vec_id = rest.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY query_vec ORDER BY coded, vec_id) <= {RERANK}),
+exact AS (
+  SELECT query_vec, best.vec_id, greatest(round(list_cosine_distance(e.embedding::DOUBLE[], a.embedding::DOUBLE[]), 12), 0) AS distance
+  FROM best JOIN embeddings e ON e.vec_id = best.vec_id JOIN embeddings a ON a.vec_id = query_vec),
+f AS (SELECT *, row_number() OVER (PARTITION BY query_vec ORDER BY distance, vec_id) AS rank FROM exact)
+SELECT query_vec, CAST(rank AS INTEGER) AS rank, vec_id, round(distance, 6) + 0.0 AS distance FROM f WHERE rank <= 5""")
+def vector_topk_quantised(spark, sf):
+    """Every fiftieth vector asked of an index on given centres and code words: 64 vectors, and
+    what is left of 16 others."""
+    base = table(spark, sf, "embeddings")
+    centres = nth_units(spark, sf, 7, 3, quantised.CENTRES)
+    words = nth_units(spark, sf, 11, 5, 16)
+    rest = words - centres[np.argmin(np.round(1 - words @ centres.T, ops.DISTANCE_DIGITS), axis=1)]
+    books = rest.reshape(len(rest), quantised.PARTS, -1).transpose(1, 0, 2)
+    index = quantised.build_quantised_index(base, scratch_path(spark, "quantised"), "vec_id", centres=centres, books=books)
+    queries = base.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_vec"), "embedding")
+    found = quantised.nearest_quantised(index, queries, 5, "vec_id", "query_vec", CODE_PROBES, RERANK)
+    return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+
+
+def quantised_search(spark, sf):
+    """Every fiftieth vector asked of a learned index, and the exact result."""
+    base = table(spark, sf, "embeddings")
+    index = quantised.build_quantised_index(base, scratch_path(spark, "quantised"), "vec_id")
+    queries = base.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_vec"), "embedding")
+    found = quantised.nearest_quantised(index, queries, 5, "vec_id", "query_vec", CODE_PROBES, RERANK)
+    return found, ops.nearest_exact(base, queries, 5, "vec_id", "query_vec")
+
+
+@query("vector_quantised_recall", """
+SELECT count(*) AS queries, 5 * count(*) AS results, true AS recall_reached FROM embeddings WHERE vec_id % 50 = 0""")
+def vector_quantised_recall(spark, sf):
+    """How many queries and results a learned index has, and whether its recall is 0.9 or more."""
+    found, exact = quantised_search(spark, sf)
+    found = cut_lineage(found, "found")
+    recall = ops.recall(found, exact, "query_vec", "vec_id").agg(
+        F.count(F.lit(1)).alias("queries"), (F.avg("recall") >= 0.9).alias("recall_reached"))
+    results = found.agg(F.count(F.lit(1))).scalar()
+    return recall.select("queries", results.alias("results"), "recall_reached")
+
+
 @query("vector_search_contract", SQL_NEAREST + """
 , t AS (
   SELECT *, lag(distance) OVER (PARTITION BY query_label ORDER BY rank) AS before FROM r WHERE rank <= 5

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import learning, merge, search
+from strata.operators import learning, merge, quantised, search
 from strata.operators.enrich import store_profiles
 from strata.operators.governance import AccessDenied, GovernedView
 from strata.plans import corpus, governed_files, purchases, retrieval, revenue
@@ -112,6 +112,44 @@ def test_index_finds_the_neighbours_of_ordinary_vectors(spark, size):
     assert per_query.agg(F.avg("recall")).first()[0] >= 0.9
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_quantised_index_finds_neighbours_and_reads_few_vectors(spark, size):
+    from strata.registry import retrieval as queries
+
+    folder = f"/root/testdata/{size}"
+    found, exact = queries.quantised_search(spark, folder)
+    assert search.recall(found, exact, "query_vec", "vec_id").agg(F.avg("recall")).first()[0] >= 0.9
+    vectors_known = spark.read.parquet(f"{folder}/embeddings.parquet").count()
+    assert queries.RERANK * 4 <= vectors_known
+
+
+def test_codes_and_search_equal_brute_force(spark, base, folder):
+    data, frame = base
+    index = quantised.build_quantised_index(frame, f"{folder}/pq", "id", clusters=6, parts=2, words=8)
+    assert index.codes.count() == index.vectors.count() == 600  # the zero vector is not in it
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in data if np.linalg.norm(v)}
+    for r in index.codes.collect():
+        u = units[r.id]
+        cell = int(np.argmin([round(1 - u @ c, 12) for c in index.centres]))
+        rest = (u - index.centres[cell]).reshape(2, -1)
+        words = [int(np.argmin([round(np.linalg.norm(p - w), 12) for w in book])) for p, book in zip(rest, index.books)]
+        assert (r.cluster_id, list(r.code)) == (cell, words)
+    asked = vectors(9, 8, 3)
+    queries = spark.createDataFrame(asked, "q int, embedding array<double>")
+    whole = quantised.nearest_quantised(index, queries, 5, "id", "q", probes=6, rerank=600)
+    assert sorted((r.q, r.rank, r.id) for r in whole.collect()) == [b[:3] for b in brute(data, asked, 5)]
+    few = quantised.nearest_quantised(index, queries, 5, "id", "q", probes=2, rerank=7)
+    for q, v in asked:
+        u = np.array(v) / np.linalg.norm(v)
+        cells = np.argsort([round(1 - u @ c, 12) for c in index.centres], kind="stable")[:2]
+        scores = sorted((round(1 - float(u @ (index.centres[r.cluster_id] + np.concatenate(
+            [book[w] for book, w in zip(index.books, r.code)]))), 12), r.id)
+            for r in index.codes.collect() if r.cluster_id in cells)[:7]
+        best = sorted((round(1 - float(u @ units[i]), 12), i) for _, i in scores)[:5]
+        assert [r.id for r in few.filter(f"q = {q}").orderBy("rank").collect()] == [i for _, i in best]
+    assert quantised.nearest_quantised(index, queries.limit(0), 5, "id", "q", 2, 7).count() == 0
+
+
 def test_search_over_many_partitions_loses_nothing(spark, base):
     data, frame = base
     asked = vectors(9, 8, 2)
@@ -222,6 +260,37 @@ def test_purchase_prediction(spark):
     assert visitors.filter("transaction_probability NOT BETWEEN 0 AND 1").count() == 0
 
 
+def test_newton_steps_equal_a_plain_fit(spark):
+    draw = random.Random(12)
+    data = [(f"v{i}", "20161105", (None, int(draw.gauss(100, 30)), i % 9, 1 if draw.random() < 0.1 + 0.02 * (i % 9) else None),
+             (f"s{i % 5}", None), ("mobile" if i % 2 else "desktop",), (("BR", "DE", "")[i % 3],)) for i in range(400)]
+    features = learning.session_features(spark.createDataFrame(data, SESSIONS))
+    model = learning.train(features, positions=16)
+    rows_ = features.select("*", *[learning.category_position(c, 16).alias(f"p_{c}") for c in learning.CATEGORICAL]).collect()
+    numbers = np.array([[r[c] for c in learning.NUMERIC] for r in rows_], float)
+    spread = numbers.std(0, ddof=1)
+    x = np.zeros((len(rows_), 20))
+    x[:, 0] = 1
+    x[:, 1:4] = (numbers - numbers.mean(0)) / np.where(spread > 0, spread, 1)
+    for i, r in enumerate(rows_):
+        for c in learning.CATEGORICAL:
+            x[i, 4 + r[f"p_{c}"]] += 1
+    y = np.array([r[learning.LABEL] for r in rows_], float)
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    held, beta = np.append(0, np.ones(19)) * learning.RIDGE, np.zeros(20)
+    for _ in range(learning.NEWTON_STEPS):
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta += np.linalg.solve(x.T @ np.diag(weight * p * (1 - p)) @ x + np.diag(held), x.T @ (weight * (y - p)) - held * beta)
+    assert np.allclose(model.weights, beta, atol=1e-8)
+    assert np.abs(x.T @ (weight * (y - 1 / (1 + np.exp(-x @ beta)))) - held * beta).max() < 1e-6  # no way up is left
+    scored = {r.visitor_id: r.probs[0].prob for r in learning.predict(model, features).collect()}
+    for r, p in zip(rows_, 1 / (1 + np.exp(-x @ beta))):
+        assert scored[r.visitor_id] == pytest.approx(p, abs=1e-8)
+    one_class = learning.train(features.filter(f"{learning.LABEL} = 0"), positions=4)
+    assert np.isfinite(one_class.weights).all()
+    assert np.isfinite(learning.train(features.limit(0), positions=4).weights).all()
+
+
 @pytest.mark.parametrize("auc, ok", [(0.73, True), (0.5, False)])
 def test_metric_gate(spark, auc, ok):
     from strata.operators.quality import gate
