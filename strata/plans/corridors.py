@@ -11,6 +11,7 @@ from strata.functions.contracts import (
 )
 from strata.functions.times import since
 from strata.operators.quality import Expect, gate
+from strata.streaming.panes import corridor_panes
 from strata.streaming.tables import append_batch, declare_table, each_batch, read_table, table_rows
 from strata.streaming.windows import (
     LATENESS, WINDOW, corridor_metrics, latest_panes, with_event_time,
@@ -20,6 +21,7 @@ METRICS_SCHEMA = (
     "window_start string, window_end string, corridor string, vehicle_count bigint, "
     "average_speed_kph double, max_speed_kph bigint"
 )
+PANES_SCHEMA = f"{METRICS_SCHEMA}, pane_kind string, pane_number int"
 DEAD_LETTER_SCHEMA = "payload string, error string, failed_at timestamp"
 
 
@@ -44,6 +46,16 @@ def metrics_writer(
     )
 
 
+def panes_writer(
+    messages: DataFrame, folder: str, corridors: tuple[str, ...] = CORRIDORS,
+    window_seconds: int = 60, lateness_seconds: int = 120, early_seconds: int = 20,
+) -> DataStreamWriter:
+    """Early, on-time and late panes with their kind and number; start it within ``keyed_state``."""
+    readings = with_event_time(accepted(check_messages(messages, corridor_contract(corridors))))
+    fired = corridor_panes(readings, window_seconds, lateness_seconds, early_seconds)
+    return each_batch(fired, lambda b, i: append_batch(b, i, f"{folder}/corridor_panes"))
+
+
 def dead_letter_writer(
     messages: DataFrame, folder: str, corridors: tuple[str, ...] = CORRIDORS
 ) -> DataStreamWriter:

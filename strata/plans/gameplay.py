@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -13,9 +12,11 @@ from strata.functions.contracts import (
     accepted, check_messages, dead_letters, gameplay_contract,
 )
 from strata.functions.times import instant
-from strata.operators.enrich import enrich
+from strata.operators.enrich import PROFILE_COLUMNS, UNKNOWN, enrich
 from strata.operators.quality import Expect, gate
 from strata.operators.views import stream_health
+from strata.session import cut_lineage
+from strata.streaming.asof import enrich_as_of
 from strata.streaming.tables import append_batch, declare_table, each_batch, table_rows
 
 EVENT_SCHEMA = (
@@ -37,22 +38,28 @@ def writer(
     """Parse each micro-batch once; enrich the good rows, keep the bad ones.
 
     ``profiles`` is called per micro-batch, so profile changes reach later events. A
-    batch is held while it is written twice: bound it with ``files_per_batch``.
+    batch is written to the shared folder and read twice: bound it with ``files_per_batch``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = check_messages(batch, gameplay_contract())
-        checked.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            timed = accepted(checked).withColumn("event_time", instant(F.col("event_time")))
-            append_batch(enrich(timed, profiles()), batch_id, f"{folder}/enriched_events")
-            append_batch(dead_letters(checked), batch_id, f"{folder}/dead_letter_events")
-        finally:
-            checked.unpersist()
+        checked = cut_lineage(check_messages(batch, gameplay_contract()), "checked")
+        timed = accepted(checked).withColumn("event_time", instant(F.col("event_time")))
+        append_batch(enrich(timed, profiles()), batch_id, f"{folder}/enriched_events")
+        append_batch(dead_letters(checked), batch_id, f"{folder}/dead_letter_events")
 
     return each_batch(messages, handle)
 
 
+def as_of_writer(messages: DataFrame, versions: DataFrame, folder: str, version_time: str = "valid_from") -> DataStreamWriter:
+    """Good messages with the profile version valid at their time, from two streams that share
+    one state; no micro-batch reads the profile table. Start it within ``keyed_state``."""
+    events = accepted(check_messages(messages, gameplay_contract()))
+    timed = events.withColumn("event_time", instant(F.col("event_time")))
+    found = enrich_as_of(timed, versions, "player_id", "event_time", version_time, PROFILE_COLUMNS, UNKNOWN)
+    stamped = found.withColumn("processed_at", F.current_timestamp())
+    return each_batch(stamped, lambda b, i: append_batch(b, i, f"{folder}/enriched_events"))
+
+
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return table_rows(spark, f"{folder}/enriched_events")
 

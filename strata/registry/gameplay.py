@@ -11,6 +11,7 @@ from strata.plans import gameplay
 from strata.registry.base import SQL_K, iso_text, prop_k, query, stream, table
 from strata.session import scratch_path
 from strata.sources.sinks import create_view
+from strata.streaming.panes import keyed_state
 from strata.streaming.tables import drain
 
 
@@ -112,6 +113,48 @@ def stream_enrichment(spark, sf):
     return rows.withColumn("event_time", plain(F.col("event_time")))
 
 
+@query("stream_enrichment_as_of", SQL_EVENTS + f"""
+, v AS (
+  SELECT CAST(user_id * 7 AS VARCHAR) AS player_id, ts, 'name-' || event_id AS display_name,
+    CASE WHEN {SQL_K} % 3 > 0 THEN 'team-' || ({SQL_K} % 10) END AS team, 'region-' || (event_id % 5) AS region,
+    CASE WHEN {SQL_K} % 2 = 0 THEN 'Master' ELSE 'Diamond' END AS rank
+  FROM events WHERE event_type = 'signup'
+  QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY 'name-' || event_id DESC) = 1
+)
+SELECT e.*, coalesce(v.display_name, 'unknown') AS display_name, coalesce(v.team, 'unknown') AS team,
+       coalesce(v.region, 'unknown') AS region, coalesce(v.rank, 'unknown') AS rank
+FROM e ASOF LEFT JOIN v ON e.player_id = v.player_id AND e.event_time >= v.ts
+WHERE epoch_ms(e.event_time) <= (SELECT epoch_ms(max(ts)) - 120000 FROM events)""")
+def stream_enrichment_as_of(spark, sf):
+    """Every signup is a new version of its player's profile; events and versions come in two
+    deliveries, the stream started anew for each. Events beyond the last watermark still wait.
+    """
+    events, folder = table(spark, sf, "events"), scratch_path(spark, "gameplay")
+    gameplay.declare(spark, folder)
+    sources = {name: scratch_path(spark, name) for name in ("matches", "versions")}
+    micros, checkpoint = F.unix_micros(F.col("ts").cast("timestamp")), scratch_path(spark, "checkpoint")
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    for first in (True, False):
+        part = events.filter((micros < (low + high) // 2) == first)
+        matches = match_events(part)
+        body = F.to_json(F.struct(*matches.columns), {"ignoreNullFields": "false"})
+        sent = {"matches": matches.select(F.encode(body, "UTF-8").alias("value")),
+                "versions": part.filter("event_type = 'signup'").select(
+                    (F.col("user_id") * 7).cast("string").alias("player_id"),
+                    F.col("ts").cast("timestamp").alias("valid_from"),
+                    F.concat(F.lit("name-"), "event_id").alias("display_name"),
+                    F.when(prop_k() % 3 > 0, F.concat(F.lit("team-"), (prop_k() % 10).cast("string"))).alias("team"),
+                    F.concat(F.lit("region-"), (F.col("event_id") % 5).cast("string")).alias("region"),
+                    F.when(prop_k() % 2 == 0, "Master").otherwise("Diamond").alias("rank"))}
+        for name, frame in sent.items():
+            frame.write.mode("append").parquet(sources[name])
+        messages, versions = (spark.readStream.schema(sent[n].schema).parquet(sources[n]) for n in sources)
+        with keyed_state(spark):
+            drain(gameplay.as_of_writer(messages, versions, folder), checkpoint)
+    rows = gameplay.enriched(spark, folder).drop("processed_at")
+    return rows.withColumn("event_time", plain(F.col("event_time")))
+
+
 @query("leaderboard", SQL_EVENTS + "SELECT * FROM board")
 def leaderboard(spark, sf):
     board = ops.ordered_leaderboard(ops.leaderboard(enriched(spark, sf), "24 HOURS", now(spark, sf)))

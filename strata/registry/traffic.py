@@ -14,7 +14,8 @@ from strata.registry.ingest import traffic_messages
 from strata.session import scratch_path
 from strata.sources import sinks
 from strata.streaming import windows
-from strata.streaming.tables import drain
+from strata.streaming.panes import EARLY, LATE, ON_TIME, keyed_state
+from strata.streaming.tables import declare_table, drain, table_rows
 
 
 @query("traffic_by_user", f"""
@@ -203,6 +204,50 @@ def late_panes(spark, sf):
         "window_start", "corridor", "vehicle_count", "max_speed_kph", "panes")
 
 
+@query("fired_panes", SQL_ERRORS + """
+, b AS (
+  SELECT *, date_trunc('hour', ts) AS w, epoch_ms(date_trunc('hour', ts)) + 3600000 AS stop,
+    CASE WHEN event_id % 7 = 0 THEN 3 WHEN epoch_us(ts) < (
+      SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events) THEN 1 ELSE 2 END AS delivery
+  FROM m WHERE error IS NULL
+), d AS (
+  SELECT delivery, max(max(epoch_ms(ts))) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+  FROM b GROUP BY delivery
+), c AS (
+  SELECT b.*, CASE WHEN mark IS NULL OR mark < stop THEN 'open' WHEN mark < stop + 7200000 THEN 'late' END AS state
+  FROM b JOIN d USING (delivery)
+)
+SELECT *, early + on_time + late AS last_number FROM (
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start, event_type AS corridor, count(*) AS vehicle_count,
+       CAST(printf('%.2f', sum(k)::DOUBLE / count(*)) AS DOUBLE) AS average_speed_kph, max(k) AS max_speed_kph,
+       count(DISTINCT delivery) FILTER (state = 'open') AS early,
+       CAST(bool_or(state = 'open') AND any_value(stop) <= (SELECT max(epoch_ms(ts)) FROM b) AS BIGINT) AS on_time,
+       count(*) FILTER (state = 'late') AS late
+FROM c WHERE state IS NOT NULL GROUP BY w, event_type)""")
+def fired_panes(spark, sf):
+    """Three deliveries, the stream started anew for each: the earlier half, the later half, and a
+    seventh of the events after both. Panes of every window by kind, and its last totals."""
+    events, folder = table(spark, sf, "events"), scratch_path(spark, "corridors")
+    declare_table(spark, f"{folder}/corridor_panes", corridors.PANES_SCHEMA)
+    source, checkpoint = scratch_path(spark, "deliveries"), scratch_path(spark, "checkpoint")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    last, early = F.pmod("event_id", F.lit(7)) == 0, micros < (low + high) // 2
+    for delivery in (~last & early, ~last & ~early, last):
+        sent = sensor_messages(events.filter(delivery)).select("value")
+        sent.write.mode("append").parquet(source)
+        messages = spark.readStream.schema(sent.schema).parquet(source)
+        with keyed_state(spark):
+            drain(corridors.panes_writer(messages, folder, CORRIDORS, 3600, 7200, 0), checkpoint)
+    fired = table_rows(spark, f"{folder}/corridor_panes")
+    kinds = [F.count_if(F.col("pane_kind") == kind).alias(kind) for kind in (EARLY, ON_TIME, LATE)]
+    totals = ("vehicle_count", "average_speed_kph", "max_speed_kph")
+    newest = F.max_by(F.struct(*totals), "pane_number")
+    return fired.groupBy("window_start", "corridor").agg(
+        newest.alias("newest"), *kinds, F.max("pane_number").cast("long").alias("last_number")).select(
+        "window_start", "corridor", *[f"newest.{c}" for c in totals], EARLY, ON_TIME, LATE, "last_number")
+
+
 def panes(spark, sf):
     """Every event as a pane of its hour and type; later events are later panes."""
     return table(spark, sf, "events").select(

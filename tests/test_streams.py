@@ -11,6 +11,8 @@ from strata.operators import views
 from strata.plans import corridors, gameplay, site_traffic, weather
 from strata.sources import messages, sinks
 from strata.streaming import arrivals, replica, windows
+from strata.streaming.asof import enrich_as_of
+from strata.streaming.panes import keyed_state
 from strata.streaming.tables import (
     append_batch, declare_table, drain, each_batch, every, read_table, table_rows,
 )
@@ -329,3 +331,76 @@ def test_distinct_counts_null_as_a_value(spark):
         "user_id string, path string, bytes_sent bigint")
     assert rows(user_traffic(frame), "user_id", "unique_paths") == [("u", 2), ("v", 1)]
     assert rows(sum_per_key(frame, "user_id", "bytes_sent")) == [("u", 6), ("v", 4)]
+
+
+def fired(spark, folder, early_seconds=0):
+    """Run what has arrived, one file per micro-batch; all panes so far, in order."""
+    source = messages.read_messages(spark, f"{folder}/in", files_per_batch=1)
+    with keyed_state(spark):
+        drain(corridors.panes_writer(source, folder, early_seconds=early_seconds), f"{folder}/cp")
+    panes = table_rows(spark, f"{folder}/corridor_panes").collect()
+    return sorted((r.window_start[-8:], r.corridor, r.pane_number, r.pane_kind, r.vehicle_count,
+                   r.average_speed_kph, r.max_speed_kph) for r in panes)
+
+
+def test_panes_early_on_time_and_late(spark, folder):
+    declare_table(spark, f"{folder}/corridor_panes", corridors.PANES_SCHEMA)
+    arrive(folder, 1, reading(0, "north", 40), reading(59, "north", 60), reading(10, "south", 35), "no message")
+    arrive(folder, 2, reading(30, "north", 20), reading(61, "north", 70))
+    arrive(folder, 3, reading(100, "central", 50))  # by now the watermark is at 61
+    first = fired(spark, folder)
+    assert first == [
+        ("12:00:00", "north", 1, "early", 2, 50.0, 60), ("12:00:00", "north", 2, "early", 3, 40.0, 60),
+        ("12:00:00", "north", 3, "on_time", 3, 40.0, 60),
+        ("12:00:00", "south", 1, "early", 1, 35.0, 35), ("12:00:00", "south", 2, "on_time", 1, 35.0, 35),
+        ("12:01:00", "central", 1, "early", 1, 50.0, 50), ("12:01:00", "north", 1, "early", 1, 70.0, 70),
+    ]
+    # The stream starts anew: state and timers are in its checkpoint.
+    arrive(folder, 4, reading(5, "north", 90), reading(6, "north", 10), reading(50, "east", 30))  # late, a pane each
+    arrive(folder, 5, reading(180, "central", 50))
+    arrive(folder, 6, reading(7, "south", 99), reading(70, "north", 80))  # the first window is forgotten
+    arrive(folder, 7, reading(181, "central", 70))
+    second = fired(spark, folder)
+    assert [p for p in second if p not in first] == [
+        ("12:00:00", "north", 4, "late", 4, 52.5, 90), ("12:00:00", "north", 5, "late", 5, 44.0, 90),
+        ("12:01:00", "central", 2, "on_time", 1, 50.0, 50),
+        ("12:01:00", "north", 2, "on_time", 1, 70.0, 70), ("12:01:00", "north", 3, "late", 2, 75.0, 80),
+        ("12:03:00", "central", 1, "early", 1, 50.0, 50), ("12:03:00", "central", 2, "early", 2, 60.0, 70),
+    ]
+
+
+def test_early_panes_wait_for_their_time(spark, folder):
+    declare_table(spark, f"{folder}/corridor_panes", corridors.PANES_SCHEMA)
+    for second in range(3):
+        arrive(folder, 1 + second, reading(second, "north", 40))
+    assert fired(spark, folder, early_seconds=3600) == []
+    arrive(folder, 5, reading(60, "north", 50))
+    arrive(folder, 6, reading(61, "north", 50))
+    assert fired(spark, folder, early_seconds=3600) == [("12:00:00", "north", 1, "on_time", 3, 40.0, 40)]
+
+
+def test_events_take_the_profile_of_their_time(spark, folder):
+    schemas = {"events": "player_id string, event_time timestamp, n int", "versions": "player_id string, since timestamp, team string"}
+
+    def deliver(name, number, *given):
+        frame = spark.createDataFrame([(p, NOON + datetime.timedelta(seconds=s), v) for p, s, v in given], schemas[name])
+        frame.coalesce(1).write.parquet(f"{folder}/{name}/{number}")
+
+    def run(shares=3):
+        events, versions = (spark.readStream.schema(schemas[n]).parquet(f"{folder}/{n}/*") for n in schemas)
+        found = enrich_as_of(events, versions, "player_id", "event_time", "since", ["team"], lateness_seconds=10, shares=shares)
+        with keyed_state(spark):
+            drain(each_batch(found, lambda b, i: append_batch(b, i, f"{folder}/out")), f"{folder}/cp")
+        return sorted((r.n, r.team) for r in table_rows(spark, f"{folder}/out").collect())
+
+    declare_table(spark, f"{folder}/out", "player_id string, event_time timestamp, n int, team string")
+    deliver("versions", 1, ("a", -5000, "red"), ("a", 20, "blue"), ("b", 30, None))
+    deliver("events", 1, ("a", 19, 1), ("a", 20, 2), ("b", 5, 3), ("b", 31, 4), ("c", 6, 5), ("a", 60, 6))
+    first = run()
+    assert first == [(1, "red"), (2, "blue"), (3, "unknown"), (4, "unknown"), (5, "unknown")]  # 6 waits until 70
+    deliver("versions", 2, ("a", 55, "green"), ("a", 10, "late"), ("c", 1, "gone"))  # late ones change no event that left
+    deliver("events", 2, ("a", 45, 7), ("a", 80, 8), ("c", 90, 9))
+    assert run() == sorted(first + [(6, "green"), (7, "blue"), (8, "green")])
+    deliver("events", 3, ("c", 200, 10))
+    deliver("versions", 3, ("z", 0, "x"))
+    assert run()[-1] == (9, "gone")
