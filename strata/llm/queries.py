@@ -226,7 +226,7 @@ def op2(spark, sf_dir):
 @register("op1_surrogates")
 def op1(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.with_surrogates(docs)
+    return surrogates.with_surrogates(docs, key="key of the registered query")
 
 
 @register("op11_token_alignment")

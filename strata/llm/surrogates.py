@@ -7,26 +7,41 @@ characters and their top-level domain, private network addresses their range, na
 script, their case and the gender of the title before them. A replacement depends on a
 key, the type and the entity's canonical value, so every mention of it, whatever its
 layout, gets the same one; given and family names are entities of their own, so "Mr Ole
-Berg" and "Mr Berg" still agree.
+Berg" and "Mr Berg" still agree, and so does a later "Berg" in the same text.
 
 Distinctness is checked over the whole corpus. Distinct entities form a table; where two of
 a type would get the same surrogate, or a surrogate is itself an entity that occurs, all but
-the first draw again until none is left. Nearly all entities keep their first draw, which is
-computed in place; only redrawn ones are joined to the documents that mention them.
+the first draw again until none is left. This ends however many entities there are. Names and
+mail addresses get longer with every third draw. Numbers and network addresses come from a
+small space and are moved by a keyed permutation of it that leaves nothing in its place: two
+halves are shifted in turn by digests of each other, one is added, and the shifts are undone.
+Where a type is not settled after ``ROUNDS`` draws, because so much of its space occurs, all its
+entities keep the first permutation: distinct still, though some become others that occur.
+Nearly all entities keep their first draw, which is computed in place; only redrawn ones are
+joined to the documents that mention them.
+
+Found are: mail addresses; IPv4 addresses; numbers like 123-45-6789; North American telephone
+numbers and any with a plus sign and 8 to 15 digits in groups; card numbers of 13 to 19 digits;
+names after a title of five languages, with initials, particles and any number of capital
+words, and the bare family name elsewhere in that text. Not found are names without a title
+that no titled mention in the text shares, national numbers of other countries without a plus
+sign, postal addresses, dates of birth, and IPv6 addresses.
 
 Defined cases: a NULL text stays NULL, an empty one empty; repeated rows give equal results;
 NULL ids are ids like any other; an empty table gives an empty result; all other columns
-pass through ``with_surrogates``, and ``n_entities`` replaces a column of that name.
+pass through ``with_surrogates``, and ``n_entities`` replaces a column of that name; an empty
+key is refused.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import cut_lineage
 
-KEY = "surrogate-key"  # a secret of the run
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _LATIN_TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mlle"),
@@ -36,15 +51,17 @@ _LATIN_TITLES = {
 _CYRILLIC_TITLES = {"f": ("госпожа", "г-жа"), "m": ("господин", "г-н")}
 TITLES = {g: (*_LATIN_TITLES[g], *_CYRILLIC_TITLES.get(g, ())) for g in _LATIN_TITLES}
 _TITLE = "(?:" + "|".join(t for group in TITLES.values() for t in group) + ")"
-_NAME = r"\p{Lu}[\p{L}'’-]*"
+_NAME = r"\p{Lu}[\p{L}'’-]+"
+_INITIAL = r"\p{Lu}\."
+_PARTICLE = "(?:van|von|der|den|de|la|del|di|da|dos)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
-             r"|(?<![\w+])\+\d{8,15}(?!\d)",
+             r"|(?<![\w+])\+\d(?:[ .()-]{0,2}\d){7,14}(?!\d)",
     "card": r"(?<![\d-])(?:\d[ -]?){12,18}\d(?![\d-])",
-    "name": rf"(?<!\p{{L}}){_TITLE}\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<!\p{{L}}){_TITLE}\.? (?:{_INITIAL} ?)*(?:{_PARTICLE} )*{_NAME}(?:(?: {_INITIAL})* (?:{_PARTICLE} )*{_NAME})*",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 GIVEN = {
@@ -103,36 +120,106 @@ def _random_digits(stream: Column, count: Column) -> Column:
                                     lambda i: _number(stream, i, 10).cast("string")), "")
 
 
-def _phone(digits: Column, key: str, attempt: Column) -> Column:
-    """Ten digits at most; area and exchange start with 2 to 9."""
+def _shift(key: str, space: Column, i: int, half: Column) -> Column:
+    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), space, F.lit(str(i)), half.cast("string")), 256)
+    return F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("long")
+
+
+def permuted(number: Column, a: Column, b: Column, key: str, space: Column) -> Column:
+    """Another number below ``a * b``: a permutation of them that depends on the key and the
+    space, whose name ends with the draw."""
+
+    def halves(n):
+        return F.struct(F.floor(n / b).alias("l"), F.pmod(n, b).alias("r"))
+
+    def moved(state, i, sign):
+        shift = lambda half: F.lit(sign) * _shift(key, space, i, half)
+        return let(state, lambda s: F.struct(
+            F.pmod(s["l"] + shift(s["r"]), a).alias("l"), s["r"]) if i % 2 == 0 else F.struct(
+            s["l"], F.pmod(s["r"] + shift(s["l"]), b).alias("r")))
+
+    state = halves(number)
+    for i in range(4):
+        state = moved(state, i, 1)
+    state = let(state, lambda s: halves(F.pmod(s["l"] * b + s["r"] + 1, a * b)))
+    for i in range(3, -1, -1):
+        state = moved(state, i, -1)
+    return let(state, lambda s: s["l"] * b + s["r"])
+
+
+def _power(digits: Column) -> Column:
+    return F.rpad(F.lit("1"), digits + 1, F.lit("0")).cast("long")
+
+
+def _digits_moved(digits: Column, key: str, space: Column) -> Column:
+    """Other digits, as many; 18 at most."""
+    n = F.length(digits)
+    low = F.floor(n / 2).cast("int")
+    return F.when(n < 1, digits).otherwise(F.lpad(let(
+        permuted(digits.cast("long"), _power(n - low), _power(low), key, space),
+        lambda x: x.cast("string")), n, F.lit("0")))
+
+
+def _phone(value: Column, key: str, attempt: Column) -> Column:
+    """Country code, a colon and the number. Of ten digits without a code, area and exchange start
+    with 2 to 9 if they did, else with what they did."""
+    country, digits = F.substring_index(value, ":", 1), F.substring_index(value, ":", -1)
+    draws = F.concat(F.lit("/"), attempt.cast("string"))
+
+    def ten(d):
+        part = lambda at, n: F.substr(d, F.lit(at), F.lit(n))
+        usual = d.rlike(r"\A[2-9]\d\d[2-9]\d{6}\z")
+        first = lambda at: F.when(usual, part(at, 1).cast("long") - 2).otherwise(0)
+        a, b = F.when(usual, 800).otherwise(100).cast("long"), F.when(usual, 8_000_000).otherwise(1_000_000).cast("long")
+        number = (first(1) * 100 + part(2, 2).cast("long")) * b + first(4) * 1_000_000 + part(5, 6).cast("long")
+        kept = F.concat(F.when(usual, "usual").otherwise(F.concat(F.lit("phone"), part(1, 1), part(4, 1))), draws)
 
-    def ten(s):
-        return F.concat((_number(s, 20, 8) + 2).cast("string"), _random_digits(s, F.lit(2)),
-                        (_number(s, 21, 8) + 2).cast("string"), F.substr(_random_digits(s, F.lit(8)), F.lit(3), F.lit(6)))
+        def laid(x):
+            l, r = F.floor(x / b), F.pmod(x, b)  # noqa: E741
+            lead = lambda at, own: F.when(usual, (own + 2).cast("string")).otherwise(part(at, 1))
+            return F.concat(lead(1, F.floor(l / 100)), F.lpad(F.pmod(l, F.lit(100)).cast("string"), 2, "0"),
+                            lead(4, F.floor(r / 1_000_000)), F.lpad(F.pmod(r, F.lit(1_000_000)).cast("string"), 6, "0"))
 
-    return F.substr(let(_stream(key, "phone", digits, attempt), ten), F.lit(1), F.length(digits))
+        return let(permuted(number, a, b, key, kept), laid)
+
+    abroad = F.concat(country, F.lit(":"), _digits_moved(digits, key, F.concat(F.lit("phone:"), country, F.length(digits).cast("string"), draws)))
+    return F.when(country == "", F.concat(F.lit(":"), ten(digits))).otherwise(abroad)
 
 
 def _card(digits: Column, key: str, attempt: Column) -> Column:
-    body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), let(
-        _stream(key, "card", digits, attempt), lambda s: _random_digits(s, F.length(digits) - 2)))
+    first, n = F.substr(digits, F.lit(1), F.lit(1)), F.length(digits)
+    space = F.concat_ws("/", F.lit("card"), first, n.cast("string"), attempt.cast("string"))
+    body = F.concat(first, _digits_moved(F.substr(digits, F.lit(2), n - 2), key, space))
     return let(body, lambda x: F.concat(
         x, F.pmod(_luhn(digits) - _luhn(F.concat(x, F.lit("0"))), F.lit(10)).cast("string")))
 
 
 def _ssn(digits: Column, key: str, attempt: Column) -> Column:
-    return let(_stream(key, "ssn", digits, attempt), lambda s: _random_digits(s, F.lit(9)))
+    return _digits_moved(digits, key, F.concat(F.lit("ssn/"), attempt.cast("string")))
 
 
 def _ip(value: Column, key: str, attempt: Column) -> Column:
-    def address(s):
-        host = [(_number(s, i, 254) + 1).cast("string") for i in range(3)]
-        first = _number(s, 3, 212) + 12  # 12 to 223, outside the private ranges kept below
-        return F.when(value.startswith("10."), F.concat_ws(".", F.lit("10"), *host)).when(
-            value.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *host[:2])).otherwise(
-            F.concat_ws(".", F.when(first == 127, 11).otherwise(first).cast("string"), *host))
+    """Another address of the same private range, or of none."""
+    parts = F.transform(F.split(value, r"\."), lambda p: p.cast("long"))
+
+    def text(n, octets):
+        return F.concat_ws(".", *[F.pmod(F.shiftright(n, 8 * i), F.lit(256)).cast("string") for i in range(octets - 1, -1, -1)])
 
-    return let(_stream(key, "ip", value, attempt), address)
+    def address(p):
+        low = lambda k: F.aggregate(F.slice(p, 5 - k, k), F.lit(0).cast("long"), lambda n, o: n * 256 + o)
+        long = lambda x: F.lit(x).cast("long")
+        space = lambda name: F.concat(F.lit(f"{name}/"), attempt.cast("string"))
+        public = lambda n: (F.shiftright(n, 24) != 10) & (F.shiftright(n, 16) != 192 * 256 + 168)
+        move = lambda n: permuted(n, long(65536), long(65536), key, space("ip"))
+        # A few of a thousand addresses are private: on from there until one is not.
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(32)), move(low(4)), lambda n, i: F.when(public(n), n).otherwise(move(n)))
+        return F.when(value.startswith("10."), F.concat(F.lit("10."), let(
+            permuted(low(3), long(256), long(65536), key, space("ip10")), lambda n: text(n, 3)))).when(
+            value.startswith("192.168."), F.concat(F.lit("192.168."), let(
+                permuted(low(2), long(256), long(256), key, space("ip192")), lambda n: text(n, 2)))).otherwise(
+            let(walked, lambda n: text(n, 4)))
+
+    return let(parts, address)
 
 
 def _same_classes(text: Column, stream: Column) -> Column:
@@ -150,7 +237,7 @@ def _email(value: Column, key: str, attempt: Column) -> Column:
         top = F.substring_index(domain, ".", -1)
         inner = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
         # Short addresses have few surrogates of their length, so later draws are longer.
-        more = F.when(attempt < 4, "").otherwise(F.substr(_stream(key, "more", value, attempt), F.lit(1), F.lit(8)))
+        more = F.substr(_stream(key, "more", value, attempt), F.lit(1), F.floor(attempt / 3).cast("int") * 4)
         return F.concat(let(_stream(key, "email", value, attempt), lambda s: _same_classes(local, s)), more, F.lit("@"),
                         let(_stream(key, "domain", domain, F.lit(0)), lambda s: _same_classes(inner, s)), F.lit("."), top)
 
@@ -162,10 +249,13 @@ def _script(token: Column) -> Column:
     return F.when(token.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
 
-def _coined(stream: Column, script: str) -> Column:
-    """A pronounceable name: four syllables and an ending."""
-    parts = [_pick(SYLLABLES[script], _number(stream, i, len(SYLLABLES[script]))) for i in range(1, 5)]
-    return F.initcap(F.concat(*parts, _pick(ENDINGS[script], _number(stream, 5, len(ENDINGS[script])))))
+def _coined(stream: Column, script: str, attempt: Column) -> Column:
+    """A pronounceable name: four syllables and an ending, after every third draw two more."""
+    syllables = SYLLABLES[script]
+    parts = [_pick(syllables, _number(stream, i, len(syllables))) for i in range(1, 5)]
+    more = F.transform(F.sequence(F.lit(0), F.floor(attempt / 3).cast("int") * 2),
+                       lambda i: F.when(i > 0, _pick(syllables, _number(stream, i + 5, len(syllables)))).otherwise(""))
+    return F.initcap(F.concat(*parts, F.array_join(more, ""), _pick(ENDINGS[script], _number(stream, 5, len(ENDINGS[script])))))
 
 
 def _given(value: Column, key: str, attempt: Column) -> Column:
@@ -177,7 +267,7 @@ def _given(value: Column, key: str, attempt: Column) -> Column:
             for gender in ("f", "m", "u"):
                 pool = genders.get(gender) or genders["m"] + genders["f"]
                 one = _pick(pool, _number(s, 0, len(pool)))
-                full = F.when(attempt < 2, one).otherwise(F.concat_ws("-", one, _coined(s, script)))
+                full = F.when(attempt < 2, one).otherwise(F.concat_ws("-", one, _coined(s, script, attempt)))
                 drawn = F.when(value.startswith(f"{script}:{gender}:"), full).otherwise(drawn)
         return drawn
 
@@ -186,10 +276,21 @@ def _given(value: Column, key: str, attempt: Column) -> Column:
 
 def _family(value: Column, key: str, attempt: Column) -> Column:
     return let(_stream(key, "family", value, attempt), lambda s: F.when(
-        value.startswith("cyrillic:"), _coined(s, "cyrillic")).otherwise(_coined(s, "latin")))
+        value.startswith("cyrillic:"), _coined(s, "cyrillic", attempt)).otherwise(_coined(s, "latin", attempt)))
+
 
+def _initial(value: Column, key: str, attempt: Column) -> Column:
+    """Another letter of the script; initials need not be distinct."""
+    letters = {"latin": "ABCDEFGHIJKLMNOPRSTUVWYZ", "cyrillic": "АБВГДЕЗИКЛМНОПРСТУФЮЯ"}
+    return let(_stream(key, "initial", value, F.lit(0)), lambda s: F.concat(F.when(
+        value.startswith("cyrillic:"), _pick(tuple(letters["cyrillic"]), _number(s, 0, 21))).otherwise(
+        _pick(tuple(letters["latin"]), _number(s, 0, 24))), F.lit(".")))
 
-DRAW = {"email": _email, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card, "given": _given, "family": _family}
+
+DRAW = {"email": _email, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card, "given": _given, "family": _family,
+        "initial": _initial}
+LENGTHENED, MOVED = ("email", "given", "family"), ("ip", "ssn", "phone", "card")
+ROUNDS = 8
 
 
 def draw(kind: Column, value: Column, key: str, attempt: Column) -> Column:
@@ -201,31 +302,47 @@ def draw(kind: Column, value: Column, key: str, attempt: Column) -> Column:
 
 
 def parsed(m: Column) -> Column:
-    """What a match is: ``kind``, for names ``title, given, family``, and the ``entities`` it
-    mentions, one or the parts of a name, as ``kind`` and canonical ``value``."""
+    """What a match is: ``kind``, for names ``title`` and its ``words``, and the ``entities`` it
+    mentions, one or the words of a name, as ``kind`` and canonical ``value`` (NULL for particles)."""
     entity = lambda k, v: F.struct(F.lit(k).alias("kind") if isinstance(k, str) else k.alias("kind"), v.alias("value"))
-    no_name = F.lit(None).cast("string")
+    no_words = F.lit(None).cast("array<string>")
+
+    def phone(digits):
+        north = (~m.startswith("+") & (F.length(digits) <= 13)) | (F.length(digits) == 11) & digits.startswith("1")
+        grouped = F.regexp_extract(m, r"\A\+(\d{1,3})[ .()-]", 1)
+        code = F.when(grouped != "", grouped).otherwise(
+            F.substr(digits, F.lit(1), F.when(digits.rlike(r"\A[17]"), 1).otherwise(2)))
+        return F.when(north, F.concat(F.lit(":"), F.substring(digits, -10, 10))).otherwise(
+            let(code, lambda c: F.concat(c, F.lit(":"), F.substr(digits, F.length(c) + 1, F.length(digits)))))
 
     def plain(kind):
         digits = F.regexp_replace(m, r"\D", "")
-        value = F.when(kind == "phone", F.substring(digits, -10, 10)).when(
+        value = F.when(kind == "phone", let(digits, phone)).when(
             kind.isin("ssn", "card"), digits).otherwise(F.lower(m))
-        return F.struct(kind.alias("kind"), no_name.alias("title"), no_name.alias("given"), no_name.alias("family"),
+        return F.struct(kind.alias("kind"), F.lit(None).cast("string").alias("title"), no_words.alias("words"),
                         F.array(entity(kind, value)).alias("entities"))
 
     def person(title):
         rest = F.substr(m, F.length(title) + 1, F.length(m))
-        word = F.regexp_replace(title, r"\.? \z", "")
-        gender = F.when(word.isin(*TITLES["f"]), "f").when(word.isin(*TITLES["m"]), "m").otherwise("u")
-        family = F.substring_index(rest, " ", -1)
-        given = F.when(F.contains(rest, F.lit(" ")), F.substring_index(rest, " ", 1))
-        last = entity("family", F.concat_ws(":", _script(family), F.lower(family)))
-        first = entity("given", F.concat_ws(":", _script(given), gender, F.lower(given)))
-        return F.struct(F.lit("name").alias("kind"), title.alias("title"), given.alias("given"), family.alias("family"),
-                        F.when(given.isNull(), F.array(last)).otherwise(F.array(first, last)).alias("entities"))
+        gender_word = F.regexp_replace(title, r"\.? ?\z", "")
+        gender = F.when(gender_word.isin(*TITLES["f"]), "f").when(gender_word.isin(*TITLES["m"]), "m").otherwise("u")
+        # An initial that runs into the next word is a word of its own.
+        words = F.split(F.regexp_replace(rest, r"(\p{Lu}\.)(?=\p{Lu})", "$1 "), " ")
+
+        def entities(w):
+            def one(word, i):
+                named = F.concat_ws(":", _script(word), F.lower(word))
+                return F.when(i == F.size(w) - 1, entity("family", named)).when(
+                    word.rlike(rf"\A{_INITIAL}\z"), entity("initial", named)).when(
+                    word.rlike(rf"\A{_PARTICLE}\z"), entity("particle", F.lit(None).cast("string"))).otherwise(
+                    entity("given", F.concat_ws(":", _script(word), gender, F.lower(word))))
+
+            return F.struct(F.lit("name").alias("kind"), title.alias("title"), w.alias("words"), F.transform(w, one).alias("entities"))
+
+        return let(words, entities)
 
     return let(_type(m), lambda kind: F.when(
-        kind == "name", let(F.regexp_extract(m, rf"\A({_TITLE}\.? )", 1), person)).otherwise(plain(kind)))
+        kind == "name", let(F.regexp_extract(m, rf"\A({_TITLE}\.? |)", 1), person)).otherwise(plain(kind)))
 
 
 def _laid_out(m: Column, digits: Column) -> Column:
@@ -250,13 +367,15 @@ def replacement(m: Column, key: str, attempts: Column) -> Column:
         return let(F.coalesce(F.get(tries, F.lit(0)), F.lit(0)), lambda n: draw(e["kind"], e["value"], key, n))
 
     def rendered(what, new):
-        first, last = F.get(new, F.lit(0)), F.element_at(new, -1)
-        name = F.when(what["given"].isNull(), F.concat(what["title"], _cased(what["family"], first))).otherwise(
-            F.concat(what["title"], _cased(what["given"], first), F.lit(" "), _cased(what["family"], last)))
+        name = F.concat(what["title"], F.array_join(F.zip_with(
+            what["words"], new, lambda word, drawn: F.coalesce(_cased(word, drawn), word)), " "))
+        first = F.get(new, F.lit(0))
+        country, number = F.substring_index(first, ":", 1), F.substring_index(first, ":", -1)
         digits = F.regexp_replace(m, r"\D", "")
-        country = F.substr(digits, F.lit(1), F.greatest(F.length(digits) - 10, F.lit(0)))
+        before = F.when(country != "", country).otherwise(
+            F.substr(digits, F.lit(1), F.greatest(F.length(digits) - 10, F.lit(0))))
         return F.when(what["kind"] == "name", name).when(
-            what["kind"] == "phone", _laid_out(m, F.concat(country, first))).when(
+            what["kind"] == "phone", _laid_out(m, F.concat(before, number))).when(
             what["kind"].isin("ssn", "card"), _laid_out(m, first)).otherwise(first)
 
     return let(parsed(m), lambda what: let(
@@ -265,23 +384,34 @@ def replacement(m: Column, key: str, attempts: Column) -> Column:
 
 def _gate(text: Column) -> Column:
     """Cheap test that every text with a match passes."""
-    return F.contains(text, F.lit("@")) | text.rlike(r"\d[\d.() -]{5,}\d") | text.rlike(rf"{_TITLE}\.? \p{{Lu}}")
+    return F.contains(text, F.lit("@")) | text.rlike(r"\d[\d.() -]{5,}\d") | text.rlike(
+        rf"{_TITLE}\.? (?:\p{{Lu}}|{_PARTICLE} )")
+
 
+def _pattern(text: Column) -> Column:
+    """All patterns, and the family names that the text mentions with a title, wherever they stand."""
+    titled = F.regexp_extract_all(text, F.lit(PATTERNS["name"]), F.lit(0))
+    families = F.array_distinct(F.transform(titled, lambda m: F.substring_index(m, " ", -1)))
+    bare = F.concat(F.lit(ANY + r"|(?<![\p{L}'’-])(?:"), F.array_join(families, "|"), F.lit(r")(?![\p{L}'’-])"))
+    named = text.rlike(rf"{_TITLE}\.? (?:\p{{Lu}}|{_PARTICLE} )")  # cheap, and passes every text with a titled name
+    return F.when(named & (F.size(titled) > 0), bare).otherwise(F.lit(ANY))
 
-def _matches(text: Column) -> Column:
-    return F.when(_gate(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
 
+def _matches(text: Column, pattern: Column) -> Column:
+    return F.when(_gate(text), F.regexp_extract_all(text, pattern, F.lit(0)))
 
-def redrawn(mentions: DataFrame, key: str = KEY) -> DataFrame:
+
+def redrawn(mentions: DataFrame, key: str) -> DataFrame:
     """Entities (``kind, value``) that need another draw than the first, and which: ``attempt``.
 
     Of entities with one surrogate the one with the fewest draws wins, then the smallest.
     """
-    table = cut_lineage(mentions.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), "entities")
+    known = mentions.filter(F.col("kind").isin(*LENGTHENED, *MOVED)).select("kind", "value").distinct()
+    table = cut_lineage(known.withColumn("attempt", F.lit(0)), "entities")
     originals = table.select("kind", F.when(
         F.col("kind").isin("given", "family"), F.substring_index("value", ":", -1)).otherwise(F.col("value")).alias("taken")).distinct()
     # A given name comes from a short list, so several may share one: family names tell apart.
-    while True:
+    for round_ in itertools.count(1):
         tried = table.withColumn("taken", F.lower(draw(F.col("kind"), F.col("value"), key, F.col("attempt"))))
         tried = cut_lineage(tried, "draws")
         winner = tried.groupBy("kind", "taken").agg(F.min(F.struct("attempt", "value")).alias("winner"))
@@ -290,29 +420,41 @@ def redrawn(mentions: DataFrame, key: str = KEY) -> DataFrame:
         again = (F.col("winner.value") != F.col("value")) | F.col("real").isNotNull()
         table = cut_lineage(judged.select(
             "kind", "value", (F.col("attempt") + again.cast("int")).alias("attempt"), again.alias("again")), "entities")
-        if table.filter("again").isEmpty():
-            return table.filter("attempt > 0").select("kind", "value", "attempt")
+        open_kinds = [r["kind"] for r in table.filter("again").select("kind").distinct().collect()]  # of seven
+        if not open_kinds:
+            break
+        if round_ >= ROUNDS:
+            # All of these keep the first permutation, by which no two meet.
+            table = table.filter(~F.col("kind").isin([k for k in open_kinds if k in MOVED]))
         table = table.drop("again")
+    return table.filter("attempt > 0").select("kind", "value", "attempt")
+
 
+def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with surrogates in ``text``, and ``n_entities``, the number of mentions replaced.
 
-def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with surrogates in ``text``, and ``n_entities``, the number of mentions replaced."""
+    ``key`` is a secret of the run: who knows it can repeat the replacements.
+    """
+    if not key:
+        raise ValueError("surrogates need a key")
     mentions = cut_lineage(
         docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(
-            _matches(F.col("text")), lambda m: parsed(m)["entities"])))).alias("e")).select("doc_id", "e.kind", "e.value"), "mentions")
+            _matches(F.col("text"), _pattern(F.col("text"))), lambda m: parsed(m)["entities"])))).alias("e")).select(
+            "doc_id", "e.kind", "e.value"), "mentions")
     again = redrawn(mentions, key)
     # Written, so that its size is known before the join: few rows are sent to the texts.
     special = cut_lineage(mentions.join(again, ["kind", "value"]).groupBy("doc_id").agg(
         F.collect_set(F.struct("kind", "value", "attempt")).alias("attempts")).withColumnRenamed("doc_id", "__doc"),
         "redrawn")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("__id"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("__id"), _pattern(F.col("text")).alias("__pattern"))
     rows = rows.join(special, F.col("__id").eqNullSafe(F.col("__doc")), "left")
     text, none = F.col("row.text"), F.array().cast("array<struct<kind:string,value:string,attempt:int>>")
     attempts = F.coalesce("attempts", none)
-    found = _matches(text)
+    pattern = F.col("__pattern")
+    found = _matches(text, pattern)
     swapped = F.transform(found, lambda m: replacement(m, key, attempts))
     whole = F.array_join(F.zip_with(
-        F.split(text, ANY, -1), swapped, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+        F.split(text, pattern, -1), swapped, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
     kept = [c for c in docs.columns if c not in ("text", "n_entities")]
     return rows.select(
         *[F.col(f"row.`{c}`").alias(c) for c in kept],
