@@ -9,13 +9,17 @@ the candidate search loses nothing, however long the document is; a candidate wh
 document has fewer shingles than the item needs is dropped by size. Every candidate is
 verified on the full shingle sets.
 
+An item with fewer words than a shingle is one shingle, its whole sequence; a long document
+holds it where these words stand in it one after the other. For blocks with such items runs of
+their lengths are looked up too.
+
 Documents are read once per block of items and never shuffled. Sketches and sets of one
 block travel to all tasks; a block holds about ``BLOCK_SHINGLES`` shingles (16 MB), and
 more items make more blocks.
 
-Defined cases: words are lower-cased in A-Z; shingles have five words; an item or
-document with fewer words is one shingle, its whole sequence; NULL and empty texts have
-none and match nothing; repeated rows are separate documents or items; an empty table on
+Defined cases: words are lower-cased in A-Z; shingles have five words; an item with fewer
+words matches every document that holds its whole sequence, a document with fewer words only
+such items; NULL and empty texts have none and match nothing; repeated rows are separate documents or items; an empty table on
 either side gives no match; other columns are kept by ``drop_contaminated``.
 """
 
@@ -50,7 +54,8 @@ def sketch_length(n: int, percent: int = PERCENT) -> int:
 
 
 def item_sets(items: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``item_id, shingles``: the distinct fingerprints of each item with a word, ascending."""
+    """``item_id, shingles, run``: the distinct fingerprints of each item with a word, ascending,
+    and how many words a shingle has, fewer than ``size`` only where the item has no more."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,21 +64,31 @@ def item_sets(items: DataFrame, size: int = SHINGLE) -> DataFrame:
                 values, at = tokens.shingles(found.fingerprints(lower=True), found.at, size)
                 own = [np.unique(values[at[d]: at[d + 1]]).view(np.int64) for d in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("item_id"), pa.array(own, pa.list_(pa.int64()))], ["item_id", "shingles"])
+                    [part.column("item_id"), pa.array(own, pa.list_(pa.int64())),
+                     pa.array(np.minimum(found.counts, size), pa.int32())], ["item_id", "shingles", "run"])
 
     narrow = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return narrow.mapInArrow(sets, "item_id long, shingles array<long>").filter(F.size("shingles") > 0)
+    return narrow.mapInArrow(sets, "item_id long, shingles array<long>, run int").filter(F.size("shingles") > 0)
 
 
 class Block:
     """Sketches and full sets of some items, with a bit table in front of the sketches."""
 
-    def __init__(self, rows: list, percent: int = PERCENT):
+    def __init__(self, rows: list, size: int = SHINGLE, percent: int = PERCENT):
+        self.size = size
         self.ids = [r["item_id"] for r in rows]
         self.sets = [np.array(r["shingles"], np.int64).view(np.uint64) for r in rows]
         self.percent = percent
-        sketches = [np.sort(s)[: sketch_length(len(s), percent)] for s in self.sets]
-        value = np.concatenate([*sketches, np.zeros(0, np.uint64)])
+        runs = np.array([r["run"] for r in rows], np.int64)
+        none = np.zeros(0, np.uint64)
+        sketches = [np.sort(s)[: sketch_length(len(s), percent)] if run == size else none
+                    for s, run in zip(self.sets, runs)]
+        self.short = {}  # by length: the one shingle of short items, ascending, and whose it is
+        for run in np.unique(runs[runs < size]).tolist():
+            items = np.flatnonzero(runs == run)
+            only = np.array([self.sets[i][0] for i in items], np.uint64)
+            self.short[run] = np.sort(only), items[np.argsort(only, kind="stable")]
+        value = np.concatenate([*sketches, none])
         owner = np.repeat(np.arange(len(rows)), [len(s) for s in sketches])
         order = np.argsort(value, kind="stable")
         self.value, self.owner = value[order], owner[order]
@@ -84,10 +99,24 @@ class Block:
     def _slot(values: np.ndarray) -> np.ndarray:
         return (values >> np.uint64(64 - GATE_BITS)).astype(np.int64)
 
-    def matches(self, texts: pa.Array, size: int) -> Iterator[tuple[int, int, int]]:
+    def _short_matches(self, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        for run, (only, items) in self.short.items():
+            values = tokens.sequence_hash(h, run)
+            inside = np.flatnonzero(doc[: len(values)] == doc[run - 1: run - 1 + len(values)])  # of one text
+            low = np.searchsorted(only, values[inside], "left")
+            high = np.searchsorted(only, values[inside], "right")
+            hit = high > low
+            pairs = {(int(d), int(i)) for d, a, b in zip(doc[inside[hit]], low[hit], high[hit]) for i in items[a:b]}
+            for d, item in sorted(pairs):
+                yield d, item, 1
+
+    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int]]:
         """Document row, item and number of its shingles found, for all that reach the threshold."""
         found = tokens.words(texts)
-        values, at = tokens.shingles(found.fingerprints(lower=True), found.at, size)
+        h = found.fingerprints(lower=True)
+        yield from self._short_matches(h, found.at)
+        values, at = tokens.shingles(h, found.at, self.size)
         maybe = np.flatnonzero(self.gate[self._slot(values)])
         low = np.searchsorted(self.value, values[maybe], "left")
         high = np.searchsorted(self.value, values[maybe], "right")
@@ -115,7 +144,7 @@ def _blocks(docs: DataFrame, items: DataFrame, size: int, percent: int):
     number = max(1, math.ceil(2 * total / BLOCK_SHINGLES))
     for b in range(number):
         rows = sets.filter(F.pmod(F.xxhash64("item_id"), F.lit(number)) == b).collect()  # bounded by the block
-        yield docs.sparkSession.sparkContext.broadcast(Block(rows, percent))
+        yield docs.sparkSession.sparkContext.broadcast(Block(rows, size, percent))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -126,7 +155,7 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in tokens.slices(batch):
-                    rows = list(block.value.matches(part.column("text"), size))
+                    rows = list(block.value.matches(part.column("text")))
                     yield pa.RecordBatch.from_arrays([
                         part.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64())),
                         pa.array([block.value.ids[r[1]] for r in rows], pa.int64()),
@@ -148,7 +177,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, pe
     def clean(block):
         def keep(part: pa.RecordBatch) -> np.ndarray:
             out = np.ones(part.num_rows, dtype=bool)
-            out[[m[0] for m in block.value.matches(part.column("text"), size)]] = False
+            out[[m[0] for m in block.value.matches(part.column("text"))]] = False
             return out
         return keep
 

@@ -83,7 +83,12 @@ def sql_shingles(table: str, key: str, size: int) -> str:
 
 @register("op3_benchmark_matches", f"""
 WITH items AS ({sql_shingles('benchmark', 'item_id', 5)}),
-docs AS ({sql_shingles('documents', 'doc_id', 5)}),
+docs AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + run - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, run, unnest(generate_series(1, len(w) - run + 1)) AS i
+        FROM (SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w FROM documents),
+          (SELECT DISTINCT least(5, len(regexp_extract_all(text, '{SQL_WORD}'))) AS run FROM benchmark)
+        WHERE run > 0 AND len(w) >= run)),
 sizes AS (SELECT item_id, COUNT(*) AS n_shingles FROM items GROUP BY item_id),
 found AS (SELECT doc_id, item_id, COUNT(*) AS n_found FROM docs JOIN items USING (shingle) GROUP BY ALL)
 SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment

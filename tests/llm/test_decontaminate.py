@@ -30,9 +30,11 @@ def test_matches_equal_all_pairs(spark, monkeypatch):
     docs, items = planted()
     want = set()
     for d, text in docs:
-        have = cases.shingles(text, 5)
+        words = cases.words(text.translate(cases.UPPER))
         for i, item in items:
             wanted = cases.shingles(item, 5)
+            run = min(5, len(cases.words(item)))
+            have = {tuple(words[k: k + run]) for k in range(len(words) - run + 1)}
             found = len(have & wanted)
             if wanted and 100 * found >= 80 * len(wanted):
                 want.add((d, i, len(wanted), found))
@@ -47,6 +49,17 @@ def test_matches_equal_all_pairs(spark, monkeypatch):
     assert {r["doc_id"] for r in left.collect()} == {d for d, _ in docs} - {w[0] for w in want}
 
 
+def test_short_items_inside_long_documents(spark):
+    rest = " ".join(f"word{i}" for i in range(3000))
+    docs = spark.createDataFrame([
+        cases.document(1, f"{rest} Alpha beta gamma delta {rest}"), cases.document(2, f"{rest} gamma"),
+        cases.document(3, "delta"), cases.document(4, rest)], cases.SCHEMA).coalesce(1)
+    items = spark.createDataFrame(
+        [(1, "gamma delta", "x"), (2, "alpha beta gamma", "x"), (3, "gamma", "x"), (4, "gamma beta", "x")], ITEMS)
+    got = sorted(tuple(r)[:4] for r in decontaminate.contaminated(docs, items).collect())
+    assert got == [(1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 1, 1), (2, 3, 1, 1)]  # not "gamma | delta" of two texts
+
+
 def test_sketches_cannot_miss():
     for n in range(1, 3000):
         assert decontaminate.sketch_length(n) > n - decontaminate.needed(n)
