@@ -1,6 +1,7 @@
 """Language identification by a linear-chain conditional random field over words.
 
-Every word has a label, its language. Hashed features (the word, prefixes, suffixes, byte
+Every word has a label, its language; words of more than twenty bytes are cut into pieces, each
+with a label of its own. Hashed features (the word, prefixes, suffixes, byte
 n-grams, membership in a language's lexicon) score the labels of one word, a learned
 matrix scores neighbouring labels, and forward-backward gives each word the probability of
 every label in its context, so that words within a switch of language are labelled apart
@@ -22,6 +23,7 @@ is an input of a prediction. Memory grows with the longest document (some 40 byt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +41,11 @@ UNKNOWN = "und"
 SAMPLE_ROWS, STRETCHES, LENGTH = 600, 4, 24
 SHARDS = 4
 BUCKETS = 1 << 16
-REACH = 20  # bytes of a word that give n-grams; suffixes see its end
+REACH, PIECE = 20, 16  # a word of more bytes is cut into pieces, which are tokens of their own
 LEXICON_LEAST, LEXICON_SHARE = 4, 0.9  # a word enters a lexicon if so often, so surely
 EPOCHS, BATCH, RATE, DECAY = 3, 64, 0.3, 1e-5
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[65:91] += 32
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -61,14 +64,32 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return small
 
 
+def pieces(found: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, long ones cut before a character every ``PIECE`` bytes, and
+    where each text's begin. Scripts without blanks have sentences as words."""
+    size = found.end - found.start
+    many = np.where(size > REACH, -(-size // PIECE), 1)
+    first = np.concatenate([[0], np.cumsum(many)])
+    start = np.repeat(found.start, many) + PIECE * (np.arange(first[-1]) - np.repeat(first[:-1], many))
+    inner = np.ones(len(start), dtype=bool)
+    inner[first[:-1]] = False
+    last = max(len(found.data) - 1, 0)
+    for _ in range(3):  # on to the next character
+        start += inner & ((found.data[np.minimum(start, last)] & 0xC0) == 0x80)
+    end = np.append(start[1:], 0)
+    end[first[1:] - 1] = found.end
+    full = end > start
+    kept = np.concatenate([[0], np.cumsum(full)])
+    return start[full], end[full], kept[first[found.at]]
+
+
 class WordTable:
     """The distinct words of some texts and their feature numbers."""
 
     def __init__(self, texts: pa.Array):
         found = tokens.words(texts)
-        self.at = found.at
+        begin, end, self.at = pieces(found)
         data = lowered(found.data)
-        begin, end = found.start.copy(), found.end.copy()
         for _ in range(3):  # marks around a word
             begin += (end - begin > 1) & _MARK[data[np.minimum(begin, len(data) - 1)]]
             end -= (end - begin > 1) & _MARK[data[end - 1]]
@@ -249,7 +270,7 @@ def _stretches(rows: DataFrame) -> DataFrame:
         for batch in batches:
             labels, texts = [], []
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-                words = text.split()
+                words = _WORD.findall(text)
                 rng = np.random.default_rng(len(words))
                 for at in sorted(rng.integers(0, max(1, len(words) - LENGTH + 1), STRETCHES if len(words) > LENGTH else 1)):
                     labels.append(label)

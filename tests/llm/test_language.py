@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from strata.llm import language
+from strata.llm import language, tokens
 from tests.llm import cases
 
 POOLS = {
@@ -104,3 +104,17 @@ def test_letters_beyond_latin(spark, field):
 def test_nothing_to_learn_from(spark):
     field = language.fitted(spark.createDataFrame([], "label string, text string"))
     assert {r["lang_pred"] for r in language.identified(cases.messy(spark), field).collect()} == {"und"}
+
+
+def test_long_words_are_cut_into_pieces():
+    texts = pa.array(["short " + "日本語の文" * 40 + " end", None, "x" * 20 + " " + "y" * 21, "é" * 30])
+    found = tokens.words(texts)
+    start, end, at = language.pieces(found)
+    for d, text in enumerate(texts.to_pylist()):
+        own = [bytes(found.data[s:e]) for s, e in zip(start[at[d]: at[d + 1]], end[at[d]: at[d + 1]])]
+        assert b"".join(own).decode() == "".join((text or "").split())
+        assert all(piece.decode() and len(piece) <= language.REACH for piece in own)
+    assert np.diff(at)[2] == 3  # twenty bytes stay whole
+    # All of a sentence without blanks counts, not its beginning alone.
+    table = language.WordTable(pa.array(["ab" * 500 + "zq" * 500]))
+    assert len(table.which) > 100 and len(np.unique(table.which)) >= 2
