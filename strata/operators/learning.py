@@ -19,7 +19,7 @@ NUMERIC = ("bounces", "time_on_site", "pageviews")
 CATEGORICAL = ("traffic_source", "traffic_medium", "device_category", "country")
 NO_CATEGORY = "(none)"
 HASHED = 32  # positions for category values; a Newton step adds up that many columns squared
-NEWTON_STEPS, RIDGE = 8, 1.0
+NEWTON_STEPS, RIDGE, SETTLED = 8, 1.0, 1e-9
 LABEL = "will_buy_on_return_visit"
 MONTH = "month"  # partition column of session tables kept by month
 TRAIN_RANGE = ("20160801", "20170430")
@@ -144,7 +144,7 @@ def newton_sums(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
 def train(
     features: DataFrame, label: str = LABEL, positions: int = HASHED, steps: int = NEWTON_STEPS, ridge: float = RIDGE
 ) -> LogisticModel:
-    """Logistic regression with class weights, by a fixed number of Newton steps.
+    """Logistic regression with class weights, by ``steps`` Newton steps or until they settle.
 
     Numbers are scaled to mean 0 and deviation 1; each category value marks one of
     ``positions`` by its digest, so the model's size does not depend on how many values
@@ -173,7 +173,10 @@ def train(
         sums = newton_sums(rows, weights)
         curve = sums[:-1] + np.diag(held)
         curve[0, 0] += 1e-12  # no rows: nothing to learn
-        weights = weights + np.linalg.solve(curve, sums[-1] - held * weights)
+        change = np.linalg.solve(curve, sums[-1] - held * weights)
+        weights = weights + change
+        if np.abs(change).max() < SETTLED:
+            break  # the next step would change nothing that a double shows
     return LogisticModel(weights, means, deviations, positions)
 
 
