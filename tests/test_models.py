@@ -314,11 +314,11 @@ def test_upserts(spark):
 
 def test_profiles_keep_the_newest_version(spark, folder):
     versions = spark.createDataFrame(
-        [("p-1", "Nova", 1), ("p-1", "Nova II", 2), ("p-2", "Kite", 1)],
+        [("u-71", "Pebble", 1), ("u-71", "Pebble two", 2), ("u-72", "Heron", 1)],
         "player_id string, display_name string, version int")
     assert store_profiles(versions, "player_id", "version", f"{folder}/profiles") == 2
     stored = spark.read.parquet(f"{folder}/profiles")
-    assert rows(stored) == [("p-1", "Nova II"), ("p-2", "Kite")]
+    assert rows(stored) == [("u-71", "Pebble two"), ("u-72", "Heron")]
 
 
 # --- SQL workflow ------------------------------------------------------------------
@@ -365,7 +365,7 @@ def test_region_revenue(spark):
 
 
 def test_column_policy(spark):
-    row = (1, "Ada", "Lovelace", None, "1 St", "London", None, "UK", "N1", "123", None, "a@b.c", 3)
+    row = (1, "Rika", "Oduya", None, "1 St", "London", None, "UK", "N1", "123", None, "a@b.c", 3)
     frame = spark.createDataFrame([row], governed_files.CUSTOMER_SCHEMA)
     denied = governed_files.customers(frame)
     with pytest.raises(AccessDenied, match="phone"):
