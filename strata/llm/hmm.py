@@ -9,9 +9,12 @@ words' shares.
 
 * Counting: every task adds up its words, one shuffle adds up the tasks. The vocabulary
   stays a table.
-* Baum-Welch: every pass runs forward-backward over all training sequences, cut into
-  stretches of ``STRETCH`` tokens; a task emits one row of expected counts and Spark adds
-  the rows up.
+* Baum-Welch: every pass runs forward-backward over all training texts, whole; a task
+  emits one row of expected counts and Spark adds the rows up. Within a task, texts are
+  worked on in stretches of ``STRETCH`` tokens side by side: the matrix of each stretch
+  carries the forward vector to the next one and the backward vector back, so counts and
+  likelihood are those of uncut texts, and a text of millions of tokens takes no longer
+  than as many short ones.
 * Scoring: up to ``FREQUENT`` most frequent words (two megabytes) travel to the tasks; all
   other words of a document, each once with its number, meet the vocabulary in a join.
 
@@ -172,23 +175,21 @@ def read_tokens(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 class Model:
-    """Start, transition and emission probabilities, and the mean state occupancy."""
+    """Start, transition and emission probabilities."""
 
     def __init__(self, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.start = np.full(STATES, 1 / STATES)
-        self.occupancy = self.start.copy()
         self.move = 0.5 * np.eye(STATES) + 0.5 * rng.dirichlet(np.full(STATES, 5.0), STATES)
         self.emit = rng.dirichlet(np.full(CLASSES, 5.0), STATES)
 
-    SIZES = (STATES, STATES, STATES * STATES, STATES * CLASSES, 1)  # of the expected counts
+    SIZES = (STATES, STATES * STATES, STATES * CLASSES, 1)  # of the expected counts
 
     @staticmethod
     def updated(counts: np.ndarray) -> "Model":
-        start, occupancy, move, emit, _ = np.split(counts, np.cumsum(Model.SIZES)[:-1])
+        start, move, emit, _ = np.split(counts, np.cumsum(Model.SIZES)[:-1])
         new = Model.__new__(Model)
         new.start = (start + PSEUDO) / (start + PSEUDO).sum()
-        new.occupancy = (occupancy + PSEUDO) / (occupancy + PSEUDO).sum()
         move, emit = move.reshape(STATES, STATES) + PSEUDO, emit.reshape(STATES, CLASSES) + PSEUDO
         new.move, new.emit = move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True)
         return new
@@ -204,63 +205,149 @@ def sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _longest_first(begin: np.ndarray, length: np.ndarray):
     """Rows by descending length, and for every step how many are that long."""
     order = np.argsort(-length, kind="stable")
+    if len(length) == 0:
+        return begin, order, order
     active = len(length) - np.searchsorted(np.sort(length), np.arange(1, length.max() + 1), "left")
     return begin[order], order, active
 
 
+class Stretches:
+    """Consecutive texts cut into stretches of ``STRETCH`` tokens, and what passes between these.
+
+    ``begin`` and ``length`` place a stretch in ``data``, ``first`` and ``last`` mark those that
+    begin or end a text. Going through a stretch multiplies the state vector by a matrix, so the
+    matrices of all stretches are found side by side, and the vectors of a long text then pass
+    from stretch to stretch: no step follows a text token by token, and none is left out.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, length = data, np.diff(offsets)
+        self.pieces = -(-length // STRETCH)
+        self.at = np.cumsum(self.pieces) - self.pieces  # a text's first stretch
+        text = np.repeat(np.arange(len(length)), self.pieces)
+        self.number = np.arange(len(text)) - self.at[text]
+        self.begin = offsets[:-1][text] + self.number * STRETCH
+        self.length = np.minimum(STRETCH, offsets[1:][text] - self.begin)
+        self.first, self.last = self.number == 0, self.number == self.pieces[text] - 1
+
+    def through(self, model: Model, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per stretch the matrix from the vector before its first token to that at its last,
+        its entries adding up to one, and the logarithm of the factor taken out."""
+        begin, order, active = _longest_first(self.begin[which], self.length[which])
+        emit = np.ascontiguousarray(model.emit.T)
+        matrix = np.repeat(np.eye(STATES)[None], len(begin), axis=0)
+        logs = np.zeros(len(begin))
+        for t, n in enumerate(active):
+            step = matrix[:n] if t == 0 else (matrix[:n].reshape(-1, STATES) @ model.move).reshape(n, STATES, STATES)
+            step = step * emit[self.data[begin[:n] + t]][:, None, :]
+            scale = step.sum((1, 2))
+            matrix[:n] = step / scale[:, None, None]
+            logs[:n] += np.log(scale)
+        back = np.argsort(order, kind="stable")
+        return matrix[back], logs[back]
+
+    def carried(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per stretch the state vector before it (that at the last token of the one before, or
+        zero), the vector expected at its first token, and the backward vector at its last;
+        per text the log likelihood of all its stretches but the last."""
+        n = len(self.begin)
+        before, prior, after = np.zeros((n, STATES)), np.tile(model.start, (n, 1)), np.ones((n, STATES))
+        passed = np.zeros(len(self.pieces))
+        inner = np.flatnonzero(~(self.first & self.last))
+        if len(inner) == 0:
+            return before, prior, after, passed
+        place = np.zeros(n, np.int64)
+        place[inner] = np.arange(len(inner))
+        matrix, logs = self.through(model, inner)
+        long = np.flatnonzero(self.pieces > 1)
+        long = long[np.argsort(-self.pieces[long], kind="stable")]
+        count = self.pieces[long]
+        for j in range(count[0] - 1):  # forward, all long texts at once
+            texts = long[: np.searchsorted(-count, -(j + 1), "left")]
+            here = self.at[texts] + j
+            state = np.einsum("ni,nij->nj", prior[here], matrix[place[here]])
+            scale = state.sum(1)
+            passed[texts] += np.log(scale) + logs[place[here]]
+            before[here + 1] = state / scale[:, None]
+            prior[here + 1] = before[here + 1] @ model.move
+        for j in range(count[0] - 1, 0, -1):  # backward
+            texts = long[: np.searchsorted(-count, -j, "left")]
+            here = self.at[texts] + j
+            value = np.einsum("nij,nj->ni", matrix[place[here]], after[here]) @ model.move.T
+            after[here - 1] = value / value.sum(1, keepdims=True)
+        return before, prior, after, passed
+
+
 def log_likelihood(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """log10 probability of every sequence by the scaled forward recursion."""
     out = np.zeros(len(offsets) - 1)
-    if len(out) == 0:
+    cut = Stretches(data, offsets)
+    if len(cut.begin) == 0:
         return out
-    begin, order, active = _longest_first(offsets[:-1], np.diff(offsets))
-    emit = np.ascontiguousarray(model.emit.T)
-    total = np.zeros(len(out))
+    _, prior, _, out = cut.carried(model)
+    last = np.flatnonzero(cut.last)
+    begin, order, active = _longest_first(cut.begin[last], cut.length[last])
+    prior, emit = prior[last][order], np.ascontiguousarray(model.emit.T)
+    total = np.zeros(len(last))
     state = None
     for t, n in enumerate(active):
-        seen = emit[data[begin[:n] + t]]
-        state = (model.start if t == 0 else state[:n] @ model.move) * seen
+        state = (prior if t == 0 else state[:n] @ model.move) * emit[data[begin[:n] + t]]
         scale = state.sum(1)
         state = state / scale[:, None]
-        total[:n] += np.log10(scale)
-    out[order] = total
-    return out
-
-
-def expected_counts(model: Model, data: np.ndarray, begin: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Baum-Welch counts of some stretches; ``first`` marks those that begin a text."""
+        total[:n] += np.log(scale)
+    out[np.flatnonzero(cut.pieces)[order]] += total
+    return out / math.log(10)
+
+
+def expected_counts(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Baum-Welch counts of whole texts, and their log likelihood."""
+    cut = Stretches(data, offsets)
+    before, prior, after, passed = cut.carried(model)
+    total = np.zeros(sum(Model.SIZES))
+    total[-1] = passed.sum()
+    step = max(1, TOKENS_AT_ONCE // STRETCH)
+    for i in range(0, len(cut.begin), step):
+        some = slice(i, i + step)
+        total += _inside(model, data, cut.begin[some], cut.length[some], cut.first[some], cut.last[some],
+                         before[some], prior[some], after[some])
+    return total
+
+
+def _inside(model: Model, data: np.ndarray, begin: np.ndarray, length: np.ndarray, first: np.ndarray,
+            last: np.ndarray, before: np.ndarray, prior: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Counts of some stretches, transitions into their first tokens included."""
     begin, order, active = _longest_first(begin, length)
-    first = first[order]
+    first, last, before, prior, after = first[order], last[order], before[order], prior[order], after[order]
     emit = np.ascontiguousarray(model.emit.T)
     forward, scales, seen = [], [], []
     for t, n in enumerate(active):
         e = emit[data[begin[:n] + t]]
-        prior = np.where(first[:, None], model.start, model.occupancy) if t == 0 else forward[-1][:n] @ model.move
-        state = prior * e
+        state = (prior if t == 0 else forward[-1][:n] @ model.move) * e
         scale = state.sum(1)
         forward.append(state / scale[:, None])
         scales.append(scale)
         seen.append(e)
-    start, move = np.zeros(STATES), np.zeros((STATES, STATES))
-    occupancy, emitted = np.zeros(STATES), np.zeros((STATES, CLASSES))
-    back = np.ones((0, STATES))
+    start, move, emitted = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
+    back, likelihood = np.ones((0, STATES)), 0.0
     for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        whole = np.ones((n, STATES))
-        if len(back):
+        n, m = active[t], len(back)
+        whole = after[:n].copy()
+        # Where a stretch ends, forward and backward vector together are one.
+        whole[m:] /= (forward[t][m:] * whole[m:]).sum(1, keepdims=True)
+        if m:
             later = back * seen[t + 1] / scales[t + 1][:, None]
-            whole[: len(back)] = later @ model.move.T
-            move += forward[t][: len(back)].T @ later
+            whole[:m] = later @ model.move.T
+            move += forward[t][:m].T @ later
         back = whole
         share = forward[t] * back
         what = data[begin[:n] + t]
         for k in range(STATES):
             emitted[k] += np.bincount(what, share[:, k], CLASSES)
-        if t == 0:
-            start = share[first].sum(0)
-    occupancy = emitted.sum(1)
-    total = sum(np.log(s).sum() for s in scales)
-    return np.concatenate([start, occupancy, (move * model.move).ravel(), emitted.ravel(), [total]])
+        likelihood += np.log(scales[t][last[:n]]).sum()
+    if len(back):
+        start = (forward[0] * back)[first].sum(0)
+        move += before.T @ (back * seen[0] / scales[0][:, None])  # zero before a text
+    return np.concatenate([start, (move * model.move).ravel(), emitted.ravel(), [likelihood]])
 
 
 def trained(rows: DataFrame, passes: int = PASSES) -> Model:
@@ -275,16 +362,8 @@ def trained(rows: DataFrame, passes: int = PASSES) -> Model:
             total, any_row = np.zeros(sum(Model.SIZES)), False
             for batch in batches:
                 data, offsets = sequences(batch.column("classes"))
-                length = np.diff(offsets)
-                pieces = -(-length // STRETCH)
-                which = np.repeat(np.arange(len(length)), pieces)
-                number = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                begin = offsets[:-1][which] + number * STRETCH
-                size = np.minimum(STRETCH, offsets[1:][which] - begin)
-                step = max(1, TOKENS_AT_ONCE // STRETCH)
-                for i in range(0, len(begin), step):
-                    cut = slice(i, i + step)
-                    total += expected_counts(shared.value, data, begin[cut], size[cut], number[cut] == 0)
+                if len(data):
+                    total += expected_counts(shared.value, data, offsets)
                     any_row = True
             if any_row:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["counts"])

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import hmm
@@ -29,35 +30,73 @@ def test_likelihood_sums_over_all_paths(monkeypatch):
         assert math.isclose(value, math.log10(total), abs_tol=1e-9)
 
 
-def test_expected_counts_equal_all_paths(monkeypatch):
-    monkeypatch.setattr(hmm, "STATES", 2)
-    monkeypatch.setattr(hmm.Model, "SIZES", (2, 2, 4, 2 * hmm.CLASSES, 1))
-    model = hmm.Model(seed=4)
-    model.occupancy = np.array([0.3, 0.7])
-    pieces = [(bytes([5, 9, 5]), True), (bytes([9]), False), (bytes([8, 8, 9, 5]), False)]
-    data = np.frombuffer(b"".join(p for p, _ in pieces), np.uint8)
-    length = np.array([len(p) for p, _ in pieces])
-    begin = np.cumsum(length) - length
-    start, occupancy, move, emit, total = np.split(
-        hmm.expected_counts(model, data, begin, length, np.array([f for _, f in pieces])), np.cumsum(hmm.Model.SIZES)[:-1])
-    w_start, w_move, w_emit, w_total = np.zeros(2), np.zeros((2, 2)), np.zeros((2, hmm.CLASSES)), 0.0
-    for text, first in pieces:
+def paths_of(model, texts, states):
+    """Counts and log likelihood summed over all state paths of every text."""
+    start, move, emit, total = np.zeros(states), np.zeros((states, states)), np.zeros((states, hmm.CLASSES)), 0.0
+    for text in texts:
         weights = {}
-        for path in itertools.product(range(2), repeat=len(text)):
-            p = (model.start if first else model.occupancy)[path[0]] * model.emit[path[0], text[0]]
+        for path in itertools.product(range(states), repeat=len(text)):
+            p = model.start[path[0]] * model.emit[path[0], text[0]]
             for t in range(1, len(text)):
                 p *= model.move[path[t - 1], path[t]] * model.emit[path[t], text[t]]
             weights[path] = p
         z = sum(weights.values())
-        w_total += math.log(z)
+        total += math.log(z)
         for path, p in weights.items():
-            w_start[path[0]] += first * p / z
+            start[path[0]] += p / z
             for t, state in enumerate(path):
-                w_emit[state, text[t]] += p / z
+                emit[state, text[t]] += p / z
                 if t:
-                    w_move[path[t - 1], state] += p / z
+                    move[path[t - 1], state] += p / z
+    return start, move, emit, total
+
+
+def joined(texts):
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 3, 4, 256])
+def test_expected_counts_equal_all_paths(monkeypatch, stretch):
+    monkeypatch.setattr(hmm, "STATES", 2)
+    monkeypatch.setattr(hmm, "STRETCH", stretch)
+    monkeypatch.setattr(hmm, "TOKENS_AT_ONCE", 7)
+    monkeypatch.setattr(hmm.Model, "SIZES", (2, 4, 2 * hmm.CLASSES, 1))
+    model = hmm.Model(seed=4)
+    model.start = np.array([0.3, 0.7])
+    texts = [bytes([5, 9, 5]), bytes([9]), bytes([8, 8, 9, 5]), bytes([5, 5, 8, 9, 9, 9, 8, 5, 255]), bytes([8, 255])]
+    data, offsets = joined(texts)
+    start, move, emit, total = np.split(hmm.expected_counts(model, data, offsets), np.cumsum(hmm.Model.SIZES)[:-1])
+    w_start, w_move, w_emit, w_total = paths_of(model, texts, 2)
     assert np.allclose(start, w_start) and np.allclose(move.reshape(2, 2), w_move)
-    assert np.allclose(emit.reshape(2, -1), w_emit) and np.allclose(occupancy, w_emit.sum(1)) and np.allclose(total, w_total)
+    assert np.allclose(emit.reshape(2, -1), w_emit) and np.allclose(total, w_total)
+    assert np.allclose(hmm.log_likelihood(model, data, offsets).sum() * math.log(10), w_total)
+
+
+def test_long_texts_are_not_cut():
+    """600 and 5000 tokens against a plain recursion over the whole text."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(0, 256, n).astype(np.uint8)) for n in (600, 5000, 256, 257, 3)]
+    model = hmm.Model(seed=5)
+    data, offsets = joined([b"", *texts])
+    want, total = np.zeros((hmm.STATES, hmm.STATES)), []
+    for text in texts:
+        seen = model.emit.T[np.frombuffer(text, np.uint8)]
+        forward, scale = [], []
+        for t, e in enumerate(seen):
+            state = (model.start if t == 0 else forward[-1] @ model.move) * e
+            scale.append(state.sum())
+            forward.append(state / state.sum())
+        back = np.ones(hmm.STATES)
+        for t in range(len(seen) - 1, 0, -1):
+            later = back * seen[t] / scale[t]
+            want += np.outer(forward[t - 1], later) * model.move
+            back = model.move @ later
+        total.append(np.log10(scale).sum())
+    got = hmm.expected_counts(model, data, offsets)
+    at = hmm.STATES
+    assert np.allclose(got[at: at + hmm.STATES ** 2].reshape(want.shape), want)
+    assert math.isclose(got[at: at + hmm.STATES ** 2].sum(), sum(len(t) - 1 for t in texts), rel_tol=1e-9)
+    assert np.allclose(hmm.log_likelihood(model, data, offsets), [0.0, *total])
 
 
 def check_base(docs, rows):
