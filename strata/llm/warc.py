@@ -12,7 +12,8 @@ holds one record beside the compressed file. Digests are computed again from the
 Assembly: request, response and metadata records are joined through their concurrent-to
 identifiers, whichever side states them, and give one nested row per capture; revisits
 then meet the response they refer to. Payload texts take one shuffle on the way to the
-archive and none after it.
+archive and none after it. A prefix sum of bytes deals captures into files of ``FILE_BYTES``,
+so a file never outgrows what one row of a reader can hold.
 
 Defined cases: a NULL payload is empty; rows that repeat a page id are captures of their
 own, numbered by payload digest and address, the first of them the smallest; control
@@ -39,7 +40,8 @@ from strata.session import cut_lineage
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRAWL_DATE = "2026-01-01T00:00:00Z"
-FILE_RECORDS = 12_000  # 4000 captures: a file stays far below what one row of a reader can hold
+FILE_BYTES = 128 << 20  # of records in a file before compression, plus at most one capture
+HEAD_BYTES = 2000  # allowed for the heads of a capture's three records, addresses not counted
 END = "\r\n\r\n"
 RECORDS = (
     "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, "
@@ -62,27 +64,63 @@ def _record_id(kind: str, page: Column, number: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def captures_to_store(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages with ``digest, bytes, number`` and, for revisits, the id and number of the response."""
+def captures_to_store(pages: DataFrame, least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Pages with ``digest, bytes, number``, for revisits the id and number of the response, and
+    the ``file`` they belong to.
+
+    All of this is found on rows without payloads. Payloads then meet these rows by page id,
+    digest and address, so pages that share an id, or have none, are spread like others, and of
+    rows that are equal in all three one payload travels.
+    """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        payload.alias("html"), base32_sha1(payload).alias("digest"),
-        F.octet_length(payload).cast("long").alias("bytes"))
-    # The page's key is never NULL, so that the join below keeps the window's partitions.
-    rows = rows.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    of_page = Window.partitionBy("key").orderBy("digest", "url")
-    numbered = rows.withColumn("number", F.row_number().over(of_page))
-    narrow = cut_lineage(rows.drop("html").withColumn("number", F.row_number().over(of_page)).drop("url"),
-                         "warc-digests")
+    digest = base32_sha1(payload)
+    page, url = F.col("page_id").cast("long"), F.col("url").cast("string")
+    unit = F.md5(F.concat(F.coalesce(page.cast("string"), F.lit("")), F.lit("/"), digest, F.lit("/"),
+                          F.coalesce(F.concat(F.lit("="), url), F.lit(""))))
+    narrow = cut_lineage(pages.select(
+        page.alias("page_id"), url.alias("url"), digest.alias("digest"),
+        F.octet_length(payload).cast("long").alias("bytes"), unit.alias("unit")), "warc-digests")
+    numbered = narrow.withColumn("number", F.row_number().over(Window.partitionBy("page_id").orderBy("digest", "url")))
     first = narrow.filter(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
-        F.min(F.struct("page_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = cut_lineage(narrow.join(first.filter("n > 1"), ["digest", "bytes"]).filter(
-        ~F.struct("page_id", "number").eqNullSafe(F.col("first"))).select(
-        F.col("key").alias("__key"), F.col("number").alias("__number"), "first"), "warc-revisits")
-    # Only the key is a join key: payloads stay where the window has put them.
-    same = (F.col("key") == F.col("__key")) & (F.col("number") - F.col("__number") == 0)
-    return numbered.join(later, same, "left").drop("key", "__key", "__number")
+        F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n"), F.count("page_id").alias("ids"))
+    # NULL is smaller than every id. Rows of one page and digest are numbered by address, so
+    # the response is the one with the least number.
+    shared = first.filter("n > 1").select("digest", "bytes", F.when(F.col("ids") == F.col("n"), F.col("least")).alias("owner"),
+                                          F.lit(True).alias("shared"))
+    linked = numbered.join(shared, ["digest", "bytes"], "left")
+    at_owner = F.col("shared") & F.col("page_id").eqNullSafe(F.col("owner"))
+    owners = linked.filter(at_owner).groupBy("digest", "bytes").agg(F.min("number").alias("owner_number"))
+    linked = linked.join(owners, ["digest", "bytes"], "left")
+    revisit = F.coalesce("shared", F.lit(False)) & ~(
+        F.col("page_id").eqNullSafe(F.col("owner")) & (F.col("number") == F.col("owner_number")))
+    linked = cut_lineage(linked.select(
+        "unit", "page_id", "url", "digest", "bytes", "number",
+        F.when(revisit, F.struct(F.col("owner").alias("page_id"), F.col("owner_number").alias("number"))).alias("first")),
+        "warc-captures")
+    placed = _into_files(linked, file_bytes)
+    copies = Window.partitionBy("unit").orderBy("bytes")
+    payloads = pages.select(unit.alias("unit"), payload.alias("html"), F.octet_length(payload).alias("bytes"))
+    payloads = payloads.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").select("unit", "html")
+    return placed.join(payloads, "unit").drop("unit")
+
+
+def _into_files(captures: DataFrame, file_bytes: int) -> DataFrame:
+    """Captures with the ``file`` that a prefix sum of their bytes gives.
+
+    Sums run within the shuffle partitions that the payloads will have, in the order in which
+    they will be there, and start with the bytes of the partitions before.
+    """
+    own = F.when(F.col("first").isNull(), F.col("bytes")).otherwise(0)
+    size = own + HEAD_BYTES + 3 * F.octet_length(F.coalesce("url", F.lit("")))
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = captures.withColumn("__size", size).withColumn("__task", F.pmod(F.hash("unit"), F.lit(tasks)))
+    totals = sized.groupBy("__task").agg(F.sum("__size").alias("__total"))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    shift = totals.select("__task", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
+    so_far = Window.partitionBy("__task").orderBy("unit", "number").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.sum("__size").over(so_far), F.lit(0)) + F.col("__before")
+    return sized.join(F.broadcast(shift), "__task").withColumn(
+        "file", F.floor(reached / F.lit(file_bytes)).cast("long")).drop("__task", "__size", "__before")
 
 
 def _record(kind: str | Column, record_id: Column, fields: dict[str, Column | str], block: Column) -> Column:
@@ -94,9 +132,10 @@ def _record(kind: str | Column, record_id: Column, fields: dict[str, Column | st
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
 
 
-def write_archive(pages: DataFrame, path: str, least_bytes: int = 0, date: str = CRAWL_DATE) -> None:
+def write_archive(pages: DataFrame, path: str, least_bytes: int = 0, date: str = CRAWL_DATE,
+                  file_bytes: int = FILE_BYTES) -> None:
     """Write the three records of every page; see the module's text."""
-    stored = captures_to_store(pages, least_bytes)
+    stored = captures_to_store(pages, least_bytes, file_bytes)
     page, number, first = F.col("page_id"), F.col("number"), F.col("first")
     revisit = first.isNotNull()
     encoded = F.col("url")
@@ -124,9 +163,9 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0, date: str =
     notes = F.concat(F.lit("page-id: "), F.coalesce(page.cast("string"), F.lit("")), F.lit("\r\n"))
     metadata = _record("metadata", _record_id("metadata", page, number),
                        same | {"WARC-Concurrent-To": response_id, "Content-Type": "application/warc-fields"}, notes)
-    records = stored.select(F.explode(F.array(request, response, metadata)).alias("value"))
+    records = stored.select("file", F.explode(F.array(request, response, metadata)).alias("value"))
     (records.write.mode("errorifexists").option("lineSep", END).option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
+     .partitionBy("file").text(path))
 
 
 def parse(stream: io.BufferedIOBase, payloads: bool) -> Iterator[tuple]:
@@ -179,7 +218,8 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORDS)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("content").mapInArrow(run, RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:

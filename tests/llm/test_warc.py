@@ -67,6 +67,34 @@ def test_empty_table(spark):
     assert warc.page_index(spark, path).collect() == []
 
 
+def test_files_are_bounded_by_bytes(spark):
+    rows = [(i, f"u{i}", f"{i} " + "x" * (i % 7) * 1000, "c", "c") for i in range(300)] + [(999, "u", "y" * 50_000, "c", "c")]
+    path = scratch_path(spark, "warc-test")
+    warc.write_archive(spark.createDataFrame(rows, PAGES), path, file_bytes=40_000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()
+    sizes = [len(gzip.decompress(bytes(f["content"]))) for f in files]
+    total = sum(2000 + 3 * len(r[1]) + len(r[2]) for r in rows)
+    assert max(sizes) < 40_000 + 52_003 and sum(s > 46_000 for s in sizes) <= 1
+    # The long capture jumps a number.
+    assert total // 40_000 - 1 <= len(sizes) <= total / 40_000 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    got = sorted(tuple(r)[:2] for r in warc.page_index(spark, path).collect())
+    assert got == sorted((r[0], len(r[2])) for r in rows)
+
+
+def test_many_rows_of_one_page_id(spark):
+    """Copies, NULL ids and repeated ids against a plain count, on both sides of the least size."""
+    rows = [(k, u, h, "c", "c") for k in (None, 1, 2) for u in (None, "", "v") for h in (None, "a", "bb") for _ in range(3)]
+    for least in (0, 2):
+        path = scratch_path(spark, "warc-test")
+        warc.write_archive(spark.createDataFrame(rows, PAGES), path, least_bytes=least)
+        got = [(r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.page_index(spark, path).collect()]
+        assert len(got) == len(rows)
+        stored = [g for g in got if g[1] >= least]
+        assert sum(g[2] == "response" for g in stored) == len({g[1] for g in stored})
+        assert all(g[0] is None for g in stored if g[2] == "response")
+        assert all(g[2] == "response" for g in got if g[1] < least)
+
+
 def test_assembly_joins_both_directions(spark):
     def record(name, kind, concurrent=None, refers=None):
         return (name, kind, concurrent, refers, "u", "d", None, "D" + name, 3, None)
