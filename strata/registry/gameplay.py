@@ -11,6 +11,7 @@ from strata.plans import gameplay
 from strata.registry.base import SQL_K, iso_text, prop_k, query, stream, table
 from strata.session import scratch_path
 from strata.sources.sinks import create_view
+from strata.streaming import rollups
 from strata.streaming.panes import keyed_state
 from strata.streaming.tables import drain
 
@@ -161,6 +162,18 @@ def leaderboard(spark, sf):
     return board.withColumn("last_event", plain(F.col("last_event")))
 
 
+@query("leaderboard_kept", SQL_EVENTS + "SELECT * FROM board")
+def leaderboard_kept(spark, sf):
+    """Partial aggregates of several batches, merged for the last 24 hours."""
+    source, events = scratch_path(spark, "enriched"), enriched(spark, sf)
+    events.repartition(3).write.parquet(source)
+    path = rollups.declare(spark, rollups.leaderboard_rollup(), scratch_path(spark, "rollup"), events.schema)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    drain(rollups.keep(arriving, rollups.leaderboard_rollup(), path), scratch_path(spark, "checkpoint"))
+    board = rollups.leaderboard(spark, path, 24 * 3600)
+    return board.withColumn("last_event", plain(F.col("last_event")))
+
+
 @query("recent_messages", SQL_EVENTS + "SELECT * FROM chat")
 def recent_messages(spark, sf):
     messages = ops.recent_messages(ops.chat_messages(enriched(spark, sf), "24 HOURS", now(spark, sf)))

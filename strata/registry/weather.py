@@ -10,8 +10,11 @@ from strata.plans import weather as plan
 from strata.registry.base import prop_k, query, stream, table
 from strata.session import scratch_path
 from strata.sources.messages import normalise_observations
+from strata.streaming import rollups
 from strata.streaming.tables import drain
 
+DAY = 86400  # seconds
+
 
 def observations(events):
     return events.select(
@@ -47,12 +50,15 @@ def latest_per_key(spark, sf):
     return latest.withColumn("observed_at", plain(F.col("observed_at")))
 
 
-@query("minute_trends", SQL_OBSERVED + """
+SQL_TRENDS = SQL_OBSERVED + """
 SELECT date_trunc('minute', observed_at) AS observation_minute, city, any_value(country) AS country,
        round(avg(temperature_c), 9) AS avg_temperature_c,
        round(avg(relative_humidity), 9) AS avg_relative_humidity,
        round(avg(wind_speed_kmh), 9) AS avg_wind_speed_kmh
-FROM w WHERE observed_at >= (SELECT max(observed_at) FROM w) - INTERVAL 7 DAY GROUP BY 1, 2""")
+FROM w WHERE observed_at >= (SELECT max(observed_at) FROM w) - INTERVAL 7 DAY GROUP BY 1, 2"""
+
+
+@query("minute_trends", SQL_TRENDS)
 def minute_trends(spark, sf):
     trends = ops.observation_trends(observations(table(spark, sf, "events")), "7 DAYS")
     rounded = trends.withColumns(
@@ -61,6 +67,19 @@ def minute_trends(spark, sf):
     return rounded.withColumn("observation_minute", plain(F.col("observation_minute")))
 
 
+@query("minute_trends_kept", SQL_TRENDS)
+def minute_trends_kept(spark, sf):
+    """Partial aggregates of several batches, merged for the last seven days."""
+    source, observed = scratch_path(spark, "observed"), observations(table(spark, sf, "events"))
+    observed.repartition(3).write.parquet(source)
+    path = rollups.declare(spark, rollups.trends_rollup(DAY), scratch_path(spark, "rollup"), observed.schema)
+    arriving = spark.readStream.schema(observed.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    drain(rollups.keep(arriving, rollups.trends_rollup(DAY), path), scratch_path(spark, "checkpoint"))
+    trends = rollups.observation_trends(spark, path, 7 * DAY, width=DAY)
+    rounded = trends.withColumns({c: F.round(c, 9) for c in trends.columns if c.startswith("avg_")})
+    return rounded.withColumn("observation_minute", plain(F.col("observation_minute")))
+
+
 SQL_PROGRESS = SQL_OBSERVED + """
 SELECT city, count(*) AS event_count, max(observed_at) AS latest FROM w GROUP BY city"""
 
