@@ -15,6 +15,8 @@ from strata.streaming import rollups
 from strata.streaming.panes import keyed_state
 from strata.streaming.tables import drain
 
+DAY = 86400  # seconds
+
 
 def match_events(events, event_time=None):
     """Signups are chat messages, purchases kills, clicks assists. Not every player, seven
@@ -167,10 +169,10 @@ def leaderboard_kept(spark, sf):
     """Partial aggregates of several batches, merged for the last 24 hours."""
     source, events = scratch_path(spark, "enriched"), enriched(spark, sf)
     events.repartition(3).write.parquet(source)
-    path = rollups.declare(spark, rollups.leaderboard_rollup(), scratch_path(spark, "rollup"), events.schema)
+    path = rollups.declare(spark, rollups.leaderboard_rollup(DAY), scratch_path(spark, "rollup"), events.schema)
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    drain(rollups.keep(arriving, rollups.leaderboard_rollup(), path), scratch_path(spark, "checkpoint"))
-    board = rollups.leaderboard(spark, path, 24 * 3600)
+    drain(rollups.keep(arriving, rollups.leaderboard_rollup(DAY), path), scratch_path(spark, "checkpoint"))
+    board = rollups.leaderboard(spark, path, DAY, width=DAY)
     return board.withColumn("last_event", plain(F.col("last_event")))
 
 
