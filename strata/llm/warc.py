@@ -75,8 +75,9 @@ def captures_to_store(pages: DataFrame, least_bytes: int = 0, file_bytes: int =
     payload = F.coalesce(F.col("html"), F.lit(""))
     digest = base32_sha1(payload)
     page, url = F.col("page_id").cast("long"), F.col("url").cast("string")
-    unit = F.md5(F.concat(F.coalesce(page.cast("string"), F.lit("")), F.lit("/"), digest, F.lit("/"),
-                          F.coalesce(F.concat(F.lit("="), url), F.lit(""))))
+    # Hexadecimal digits: one call of the hash for every row, on both sides.
+    unit = F.concat(F.coalesce(page.cast("string"), F.lit("")), F.lit("/"), F.sha1(payload.cast("binary")), F.lit("/"),
+                    F.coalesce(F.concat(F.lit("="), url), F.lit("")))
     narrow = cut_lineage(pages.select(
         page.alias("page_id"), url.alias("url"), digest.alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"), unit.alias("unit")), "warc-digests")
