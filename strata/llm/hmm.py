@@ -44,7 +44,7 @@ ENDINGS = CLASSES - OWN - 1
 END_CLASS = CLASSES - 1
 END_KEY = np.uint64(0x5E7D)
 FREQUENT = 1 << 17
-STRETCH = 256
+STRETCH = 2048
 PASSES = 5
 PSEUDO = 0.01
 TOKENS_AT_ONCE = 400_000
@@ -305,11 +305,13 @@ def expected_counts(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.n
     before, prior, after, passed = cut.carried(model)
     total = np.zeros(sum(Model.SIZES))
     total[-1] = passed.sum()
-    step = max(1, TOKENS_AT_ONCE // STRETCH)
-    for i in range(0, len(cut.begin), step):
-        some = slice(i, i + step)
-        total += _inside(model, data, cut.begin[some], cut.length[some], cut.first[some], cut.last[some],
-                         before[some], prior[some], after[some])
+    # Stretches of like length together, so that few steps serve few rows.
+    by_length = np.argsort(cut.length, kind="stable")
+    group = np.cumsum(cut.length[by_length]) // TOKENS_AT_ONCE
+    for some in np.split(by_length, np.flatnonzero(np.diff(group)) + 1):
+        if len(some):
+            total += _inside(model, data, cut.begin[some], cut.length[some], cut.first[some], cut.last[some],
+                             before[some], prior[some], after[some])
     return total
 
 

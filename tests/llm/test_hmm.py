@@ -72,8 +72,10 @@ def test_expected_counts_equal_all_paths(monkeypatch, stretch):
     assert np.allclose(hmm.log_likelihood(model, data, offsets).sum() * math.log(10), w_total)
 
 
-def test_long_texts_are_not_cut():
+@pytest.mark.parametrize("stretch", [256, hmm.STRETCH])
+def test_long_texts_are_not_cut(monkeypatch, stretch):
     """600 and 5000 tokens against a plain recursion over the whole text."""
+    monkeypatch.setattr(hmm, "STRETCH", stretch)
     rng = np.random.default_rng(3)
     texts = [bytes(rng.integers(0, 256, n).astype(np.uint8)) for n in (600, 5000, 256, 257, 3)]
     model = hmm.Model(seed=5)
