@@ -31,7 +31,7 @@ from strata.session import remove_scratch, tune  # noqa: E402
 from strata.sources.external import jdbc_options, read_federated  # noqa: E402
 from strata.sources.messages import read_messages  # noqa: E402
 from strata.sources.sinks import overwrite  # noqa: E402
-from strata.streaming import arrivals, replica  # noqa: E402
+from strata.streaming import arrivals, bucketed, replica  # noqa: E402
 from strata.streaming.tables import drain, every  # noqa: E402
 
 Options = argparse.Namespace
@@ -160,6 +160,11 @@ def run_arrivals(spark: SparkSession, o: Options) -> DataFrame:
 
 def run_replica(spark: SparkSession, o: Options) -> DataFrame:
     _declared(spark, o, orders_replica.declare)
+    if o.store:
+        store = (bucketed.create(spark, spark.read.parquet(o.snapshot), orders_replica.KEYS, o.store, int(o.buckets))
+                 if o.snapshot else bucketed.open_store(spark, o.store))
+        store = orders_replica.run_stored(spark, store, o.input, o.output, f"{o.checkpoint}/changes", o.files_per_batch)
+        return bucketed.rows(spark, store)
     snapshot = (replica.open_snapshot(spark, o.from_compacted) if o.from_compacted
                 else replica.Snapshot(spark.read.parquet(o.snapshot)))
     checkpoint = f"{o.checkpoint}/changes"
@@ -191,7 +196,8 @@ STREAMS = {
     "gameplay": (run_gameplay, {"--profiles": None}),
     "weather": (run_weather, {}),
     "arrivals": (run_arrivals, {"--schema": None}),
-    "replica": (run_replica, {"--snapshot": "", "--from-compacted": "", "--compacted": ""}),
+    "replica": (run_replica, {"--snapshot": "", "--from-compacted": "", "--compacted": "", "--store": "",
+                              "--buckets": "256"}),
 }
 
 

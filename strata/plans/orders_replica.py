@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.quality import Expect, gate
 from strata.sources.messages import read_messages
-from strata.streaming import replica
+from strata.streaming import bucketed, replica
 from strata.streaming.tables import declare_table, drain
 
 # Columns of the source table; change rows add operation and sequence.
@@ -32,6 +32,14 @@ def run(spark: SparkSession, snapshot: replica.Snapshot, source: str, folder: st
     return replica.replica(spark, snapshot, f"{folder}/changes", KEYS)
 
 
+def run_stored(spark: SparkSession, store: bucketed.Store, source: str, folder: str,
+               checkpoint: str, files_per_batch: int | None = None) -> bucketed.Store:
+    """Collect the change messages that arrived and rewrite the buckets they changed."""
+    log = read_messages(spark, source, fmt="json", schema=CHANGE_SCHEMA, files_per_batch=files_per_batch)
+    drain(replica.collect_changes(log, KEYS, f"{folder}/changes"), checkpoint)
+    return bucketed.compact(spark, store, f"{folder}/changes")
+
+
 def lookup(orders: DataFrame, order_id: int) -> DataFrame:
     """One order by its key; the filter reaches the scan."""
     return orders.filter(F.col("order_id") == F.lit(order_id)).limit(1)

@@ -8,7 +8,7 @@ from strata.operators import merge as ops
 from strata.plans import orders_replica
 from strata.registry.base import query, table
 from strata.session import scratch_path
-from strata.streaming import replica
+from strata.streaming import bucketed, replica
 from strata.streaming.tables import declare_table, drain
 
 CHANGE_SCHEMA = (
@@ -62,8 +62,27 @@ def cdc_apply(spark, sf):
     return ops.apply_changes(snapshot(spark, sf), changes(table(spark, sf, "events")), KEYS)
 
 
+def arrive(spark, log, source, path, checkpoint):
+    """Change rows come as two more files, a micro-batch each, and are collected."""
+    log.repartition(2).write.mode("append").parquet(source)
+    files = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    drain(replica.collect_changes(files, KEYS, path), checkpoint)
+
+
 @query("cdc_replica_stream", SQL_REPLICA)
 def cdc_replica_stream(spark, sf):
+    """Changes collected by a stream and applied when the replica is read."""
+    path = declare_table(spark, scratch_path(spark, "changes"), CHANGE_SCHEMA)
+    source, checkpoint = scratch_path(spark, "change-log"), scratch_path(spark, "checkpoint")
+    arrive(spark, changes(table(spark, sf, "events")), source, path, checkpoint)
+    return replica.replica(spark, replica.Snapshot(snapshot(spark, sf)), path, KEYS)
+
+
+ARRIVALS = ("pmod(seq, 3) = 1", "pmod(seq, 3) <> 1")
+
+
+@query("cdc_replica_compacted", SQL_REPLICA)
+def cdc_replica_compacted(spark, sf):
     """Changes collected in several batches, out of order, and compacted in between: the
     second snapshot is the first one and the batches after it.
     """
@@ -71,14 +90,28 @@ def cdc_replica_stream(spark, sf):
     source, checkpoint = scratch_path(spark, "change-log"), scratch_path(spark, "checkpoint")
     log = changes(table(spark, sf, "events"))
     current = replica.Snapshot(snapshot(spark, sf))
-    for arrived in (F.pmod("seq", F.lit(3)) == 1, F.pmod("seq", F.lit(3)) != 1):
-        log.filter(arrived).repartition(2).write.mode("append").parquet(source)
-        files = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        drain(replica.collect_changes(files, KEYS, path), checkpoint)
+    for arrived in ARRIVALS:
+        arrive(spark, log.filter(arrived), source, path, checkpoint)
         current = replica.compact(spark, current, path, KEYS, scratch_path(spark, "replica"))
     return current.rows
 
 
+@query("cdc_replica_bucketed", SQL_REPLICA)
+def cdc_replica_bucketed(spark, sf):
+    """The same over a replica stored by buckets: a compaction after the first arrivals, which
+    rewrites the buckets that changed, later changes applied when it is read.
+    """
+    path = declare_table(spark, scratch_path(spark, "changes"), CHANGE_SCHEMA)
+    source, checkpoint = scratch_path(spark, "change-log"), scratch_path(spark, "checkpoint")
+    log = changes(table(spark, sf, "events"))
+    store = bucketed.create(spark, snapshot(spark, sf), KEYS, scratch_path(spark, "replica"), buckets=16)
+    first, second = ARRIVALS
+    arrive(spark, log.filter(first), source, path, checkpoint)
+    store = bucketed.compact(spark, store, path)
+    arrive(spark, log.filter(second), source, path, checkpoint)
+    return bucketed.rows(spark, store, path)
+
+
 @query("replica_verify", SQL_CHANGES + """
 , r AS (SELECT * FROM l WHERE status <> 'error' UNION ALL SELECT * FROM s WHERE order_id NOT IN (SELECT order_id FROM l)),
 f AS (SELECT * FROM r WHERE order_id = (SELECT max(order_id) FROM l WHERE status = 'click'))

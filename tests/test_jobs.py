@@ -66,6 +66,19 @@ def test_replica_job(spark, folder):
     assert not any(r.ok for r in orders_replica.verify(current, 9, "paid").collect())
 
 
+def test_replica_job_with_a_store(spark, folder):
+    spark.createDataFrame([(1, "Ann", "paid", None, None), (2, "Ben", "paid", None, None)],
+                          orders_replica.ORDER_SCHEMA).write.parquet(f"{folder}/snapshot")
+    common = ["replica", "--input", f"{folder}/log", "--store", f"{folder}/store", "--output", f"{folder}/out",
+              "--checkpoint", f"{folder}/cp"]
+    put(f"{folder}/log/1.json", json.dumps({"order_id": 2, "op": "D", "seq": 4}) + "\n")
+    first = jobs.main([*common, "--declare", "--snapshot", f"{folder}/snapshot", "--buckets", "4"])
+    assert rows(first, "order_id") == [(1,)]
+    put(f"{folder}/log/2.json", json.dumps({"order_id": 2, "op": "U", "status": "paid", "seq": 3}) + "\n" + json.dumps(
+        {"order_id": 1, "customer_name": "Ann", "status": "shipped", "op": "U", "seq": 5}) + "\n")
+    assert rows(jobs.main(common), "order_id", "status") == [(1, "shipped")]
+
+
 def test_unknown_job_and_missing_option():
     with pytest.raises(SystemExit):
         jobs.main(["nothing"])
