@@ -1,4 +1,6 @@
+import collections
 import decimal
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +84,43 @@ def test_assertions(spark):
     ops.demand_clean(ops.assertion_report("m", frame.limit(0), rules))
 
 
+def test_many_unique_keys_in_one_pass(spark):
+    draw = random.Random(3)
+    made = [(draw.choice([None, *range(30)]), draw.choice([None, "", "a", "b", "ab"]), draw.choice([0.0, -0.0, 1.5, None]),
+             draw.choice([None, [None, 1], [1, None], [1]]), i if i % 50 else None) for i in range(200)]
+    frame = spark.createDataFrame(made, "n long, word string, x double, list array<int>, id int")
+    keys = [("n",), ("word", "n"), ("n", "word"), ("list",), ("x", "word"), ("id",)]
+    conditions = tuple(f"n > {i}" for i in range(70))  # two masks
+    rules = ops.Assertions((), (), conditions, tuple(keys))
+    report = ops.assertion_report("m", frame, rules)
+    got = {r.assertion: r.violations for r in report.collect()}
+    for key in keys:
+        at = ["n word x list id".split().index(c) for c in key]
+        # Zeros of both signs are one value, lists are compared whole.
+        counts = collections.Counter(repr([0.0 if m[i] == 0 and i == 2 else m[i] for i in at]) for m in made)
+        assert got[f"unique_key: {', '.join(key)}"] == sum(c > 1 for c in counts.values()), key
+    for i in range(70):
+        assert got[f"row_condition: n > {i}"] == sum(m[0] is None or m[0] <= i for m in made)
+
+    uniques = [ops.Rule(c, c, "unique", "UNIQUENESS", ignore_null=c == "id") for c in ("n", "word", "x", "list", "id")]
+    scanned = ops.scan(frame, [*uniques, ops.Rule("set", "word", "in_set", "VALIDITY", values=("a",))])
+    known = [m[4] for m in made if m[4] is not None]
+    result = {r.rule: (r.evaluated, r.passed) for r in scanned.collect()}
+    assert result["id"] == (len(known), len(known)) and result["word"] == (200, 0) and result["set"][0] == 200
+    with pytest.raises(ValueError):
+        ops.assertion_report("m", frame, ops.Assertions())
+
+
+def test_unique_rules_scan_once_and_shuffle_once(spark, folder):
+    path = f"{folder}/t"
+    spark.range(1000).selectExpr("id AS a", "id % 7 AS b", "id AS c", "string(id) AS d", "id % 3 AS e").write.parquet(path)
+    uniques = [ops.Rule(c, c, "unique", "UNIQUENESS") for c in "abcde"]
+    scanned = ops.scan(spark.read.parquet(path), [*uniques, ops.Rule("set", "b", "in_set", "VALIDITY", values=(1,))])
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("hashpartitioning") == 1 and "SortAggregate" not in plan
+    assert {r.rule: r.passed for r in scanned.collect()} == {"a": 1000, "b": 0, "c": 1000, "d": 1000, "e": 0, "set": 143}
+
+
 def test_scan_rule_kinds(spark):
     frame = spark.createDataFrame(
         [(1, "A", 0.0, "a@b.c"), (1, "B", 1.0, "a@b"), (2, None, 5.0, None), (None, "A", None, "@")],
