@@ -10,7 +10,7 @@ from strata.plans import governed_files, revenue, tips
 from strata.registry.base import SQL_ISO, SQL_K, iso_text, prop_k, query, table
 from strata.session import scratch_path
 from strata.sources.external import drop_external_table
-from strata.sources import files, sinks
+from strata.sources import files, layout, sinks
 from strata.streaming import arrivals
 from strata.streaming.tables import drain
 
@@ -228,6 +228,37 @@ def clustered_table(spark, sf):
     )
 
 
+@query("curve_clustered_table", """
+WITH v AS (SELECT l_partkey AS p, l_suppkey AS s FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1)
+SELECT 'l_partkey' AS "column", count(*) AS matching_rows, true AS under_half FROM lineitem, v WHERE l_partkey = p
+UNION ALL SELECT 'l_suppkey', count(*), true FROM lineitem, v WHERE l_suppkey = s""")
+def curve_clustered_table(spark, sf):
+    """Lines on a curve over two columns: a filter on either needs less than half of the files."""
+    lines = table(spark, sf, "lineitem")
+    wanted = lines.orderBy("l_orderkey", "l_linenumber").select("l_partkey", "l_suppkey").first().asDict()
+    path = layout.overwrite_on_curve(
+        lines, scratch_path(spark, "curve"), list(wanted), rows_per_file=max(1, lines.count() // 64))
+    stored = spark.read.parquet(path)
+    read = layout.files_to_read(layout.file_ranges(stored, list(wanted)), wanted)
+    matching = stored.agg(*[F.count_if(F.col(c) == v).alias(c) for c, v in wanted.items()])
+    matching = matching.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("matching_rows")) for c in wanted])))
+    return matching.join(read, "column").select(
+        "column", "matching_rows", (2 * F.col("files_read") < F.col("files")).alias("under_half"))
+
+
+@query("point_lookup_stored", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = (SELECT max(o_custkey) FROM orders)""")
+def point_lookup_stored(spark, sf):
+    """Orders of one customer in a table that is not sorted by customer: row groups without
+    the customer are skipped by their Bloom filters.
+    """
+    orders = table(spark, sf, "orders")
+    customer = orders.agg(F.max("o_custkey")).first()[0]
+    path = layout.overwrite_for_lookups(orders, scratch_path(spark, "lookups"), ["o_orderkey", "o_custkey"])
+    return spark.read.parquet(path).filter(F.col("o_custkey") == customer).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("append_table", """
 SELECT c_mktsegment, 2 * count(*) AS customers FROM customer GROUP BY c_mktsegment""")
 def append_table(spark, sf):
