@@ -193,11 +193,10 @@ def accepted(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col(ERROR).isNull()).drop(PAYLOAD, ERROR)
 
 
-def dead_letters(checked: DataFrame) -> DataFrame:
-    """Refused messages: payload, reason and time of refusal."""
-    return checked.filter(F.col(ERROR).isNotNull()).select(
-        PAYLOAD, ERROR, F.current_timestamp().alias("failed_at")
-    )
+def dead_letters(checked: DataFrame, failed_at: Column | None = None) -> DataFrame:
+    """Refused messages: payload, reason and time of refusal. A replay gives the time it stands for."""
+    time = F.current_timestamp() if failed_at is None else failed_at
+    return checked.filter(F.col(ERROR).isNotNull()).select(PAYLOAD, ERROR, time.alias("failed_at"))
 
 
 def demand_accepted(checked: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from strata.functions.texts import document_content
 from strata.functions.vectors import cosine_distance, norm
 from strata.operators import quantised
 from strata.operators import search as ops
@@ -38,6 +39,14 @@ def top_documents(spark, sf):
     return ops.top_documents(posts(spark, sf), PATTERN)
 
 
+@query("capped_contents", """
+SELECT page_id, url || chr(10) || left(regexp_replace(html, '<[^>]+>', ' ', 'g'), 200) AS content FROM pages""")
+def capped_contents(spark, sf):
+    """The option that shortens bodies, here to 200 characters; it is off unless asked for."""
+    return table(spark, sf, "pages").select(
+        "page_id", document_content(F.col("url"), F.col("html"), max_chars=200).alias("content"))
+
+
 def label_queries(spark, sf):
     """One query vector per label: the mean of its vectors."""
     return ops.mean_vectors(table(spark, sf, "embeddings"), "label")

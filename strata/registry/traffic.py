@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.contracts import (
-    check_messages, corridor_contract, encode, traffic_contract,
+    check_messages, corridor_contract, dead_letters, encode, traffic_contract,
 )
 from strata.operators import traffic as ops
 from strata.plans import corridors, site_traffic
@@ -15,7 +15,7 @@ from strata.session import scratch_path
 from strata.sources import sinks
 from strata.streaming import windows
 from strata.streaming.panes import EARLY, LATE, ON_TIME, keyed_state
-from strata.streaming.tables import declare_table, drain, table_rows
+from strata.streaming.tables import declare_table, drain, every, table_rows
 
 
 @query("traffic_by_user", f"""
@@ -141,6 +141,47 @@ def dead_letters_batch(spark, sf):
     )
 
 
+@query("stamped_dead_letters", SQL_ERRORS + """
+SELECT error, (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events) AS failed_at, count(*) AS messages
+FROM m WHERE error IS NOT NULL GROUP BY error""")
+def stamped_dead_letters(spark, sf):
+    """A replay: refusals carry the time of the newest event instead of today's."""
+    events = table(spark, sf, "events")
+    checked = check_messages(sensor_messages(events), corridor_contract(CORRIDORS))
+    newest = F.lit(events.agg(F.max(F.col("ts").cast("timestamp"))).first()[0])
+    letters = dead_letters(checked, newest)
+    return letters.groupBy("error", F.date_format("failed_at", "yyyy-MM-dd HH:mm:ss").alias("failed_at")).agg(
+        F.count(F.lit(1)).alias("messages"))
+
+
+@query("undecodable_messages", SQL_ERRORS + """
+SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'payload is not valid UTF-8' ELSE error END AS error,
+       event_id % 10 = 3 AS replaced FROM m WHERE event_id % 10 = 3 OR error IS NOT NULL""")
+def undecodable_messages(spark, sf):
+    """Every tenth message begins with a byte that no text has; its payload is kept with a mark for it."""
+    messages = sensor_messages(table(spark, sf, "events"))
+    body = F.col("value").cast("binary")
+    spoilt = F.when(F.col("source_id") % 10 == 3, F.concat(F.unhex(F.lit("FF")), body)).otherwise(body)
+    checked = check_messages(messages.withColumn("value", spoilt), corridor_contract(CORRIDORS))
+    return checked.filter(F.col("error").isNotNull()).select(
+        F.col("source_id").alias("event_id"), "error", F.col("payload").startswith("\ufffd").alias("replaced"))
+
+
+@query("corridor_windows_triggered", SQL_ERRORS + SQL_WINDOWS.format(
+    width="'60' SECOND", source="(SELECT * FROM m WHERE error IS NULL)"))
+def corridor_windows_triggered(spark, sf):
+    """The same windows by a stream that keeps running and fires panes every second."""
+    folder = scratch_path(spark, "corridors")
+    corridors.declare(spark, folder)
+    messages = sensor_messages(stream(spark, sf, "events"))
+    running = every(corridors.metrics_writer(messages, folder, CORRIDORS), scratch_path(spark, "checkpoint"), seconds=1)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return corridors.final_metrics(spark, folder)
+
+
 @query("dead_letters_stream", SQL_ERRORS + """
 SELECT error, count(*) AS messages FROM m WHERE error IS NOT NULL GROUP BY error""")
 def dead_letters_stream(spark, sf):
