@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, StructField, StructType
 
 from strata.functions.texts import document_content, is_blank, words
 from strata.functions.vectors import dot
@@ -27,6 +27,7 @@ OK_STATUS = ""
 BASE_BLOCK = 1 << 16
 QUERY_BLOCK = 1 << 14
 QUERIES_AT_ONCE = 256  # of a matrix product
+FEW_QUERIES, FEW_BYTES = 1 << 10, 16 << 20  # up to these the queries are sent to the base's tasks
 DISTANCE_DIGITS = 12
 
 
@@ -172,12 +173,39 @@ def _search_cells(base: DataFrame, queries: DataFrame, k: int, base_id: str, que
     asked = queries.select(F.col("__cell").alias("__cell"), F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
     right = _blocked(asked, number, "q", "b", "__query").groupBy(*keys)
     nearest = left.cogroup(right).applyInArrow(search or _nearest_in_group(k, vector, kept), out)
+    return _ranked(nearest, k, base_id, query_id, kept)
+
+
+def _ranked(nearest: DataFrame, k: int, base_id: str, query_id: str, kept: Sequence[str]) -> DataFrame:
     # k rows per query and block are left; Spark limits them again before the shuffle.
     window = Window.partitionBy("__query").orderBy("distance", base_id)
     ranked = nearest.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
     return ranked.select(F.col("__query").alias(query_id), "rank", *kept, "distance")
 
 
+def _few(queries: DataFrame, query_id: str, vector: str) -> pa.Table | None:
+    """The queries as one table, where they are few and small; else nothing."""
+    asked = queries.select(F.col(query_id).alias("__query"), F.col(vector).alias("__vector"))
+    found = asked.limit(FEW_QUERIES + 1).toArrow()
+    return found if found.num_rows <= FEW_QUERIES and found.nbytes <= FEW_BYTES else None
+
+
+def _nearest_to_few(base: DataFrame, asked: pa.Table, k: int, base_id: str, query_id: str, query_type: DataType,
+                    vector: str, kept: Sequence[str]) -> DataFrame:
+    """The base stays where it lies: ``k`` rows per query and batch leave a task's scan, ``k`` per
+    query its shuffle."""
+    search = _nearest_in_group(k, vector, kept)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and asked.num_rows:
+                yield from search(pa.Table.from_batches([batch]), asked).to_batches()
+
+    out = StructType([StructField("__query", query_type), StructField("distance", DoubleType()),
+                      *[base.schema[c] for c in kept]])
+    return _ranked(base.select(vector, *kept).mapInArrow(nearest, out), k, base_id, query_id, kept)
+
+
 def nearest_exact(
     base: DataFrame,
     queries: DataFrame,
@@ -189,12 +217,17 @@ def nearest_exact(
 ) -> DataFrame:
     """Per query the ``k`` base rows of smallest cosine distance, ranked, ties by id.
 
-    Pairs never become rows, and neither side passes through the driver. Vectors of
+    Pairs never become rows. Up to ``FEW_QUERIES`` queries are sent to the tasks of the base,
+    which is not shuffled; more are cut into blocks, and neither side passes the driver. Vectors of
     length zero and NULL vectors match nothing; vectors with unequal numbers of elements
     raise an error. Ids are unique.
     """
     kept = [base_id, *[c for c in columns if c != base_id]]
     one = F.lit(0).alias("__cell")
+    asked = _few(queries.filter(F.col(vector).isNotNull()), query_id, vector)
+    if asked is not None:
+        present = base.filter(F.col(vector).isNotNull())
+        return _nearest_to_few(present, asked, k, base_id, query_id, queries.schema[query_id].dataType, vector, kept)
     return _search_cells(
         base.filter(F.col(vector).isNotNull()).select(one, vector, *kept),
         queries.filter(F.col(vector).isNotNull()).select(one, query_id, vector),

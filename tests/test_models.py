@@ -42,10 +42,11 @@ def base(spark):
     return data, spark.createDataFrame(data, "id bigint, embedding array<float>").repartition(6)
 
 
-@pytest.mark.parametrize("blocks", [(1 << 16, 1 << 14), (70, 3)])
+@pytest.mark.parametrize("blocks", [(1 << 16, 1 << 14, 0), (70, 3, 0), (70, 3, 1 << 10)])
 def test_exact_search_equals_brute_force(spark, base, blocks, monkeypatch):
     monkeypatch.setattr(search, "BASE_BLOCK", blocks[0])
     monkeypatch.setattr(search, "QUERY_BLOCK", blocks[1])
+    monkeypatch.setattr(search, "FEW_QUERIES", blocks[2])  # 0: none are few
     data, frame = base
     asked = vectors(9, 8, 2) + [(9, [2.0] * 8)]
     queries = spark.createDataFrame(asked, "q int, embedding array<double>")
@@ -53,6 +54,8 @@ def test_exact_search_equals_brute_force(spark, base, blocks, monkeypatch):
     got = sorted((r.q, r.rank, r.id, round(r.distance, 9)) for r in found.collect())
     assert [g[:3] for g in got] == [b[:3] for b in brute(data, asked, 5)]
     assert max(abs(g[3] - b[3]) for g, b in zip(got, brute(data, asked, 5))) < 1e-6
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("MapInArrow" in plan) == bool(blocks[2]) == ("CoGroup" not in plan)
     contract = search.search_contract(found, "q").first()
     assert tuple(contract) == (50, 0, 0)
     assert search.nearest_exact(frame, queries.limit(0), 5, "id", "q").count() == 0
