@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,7 +27,7 @@ OK_STATUS = ""
 # Rows of a group: some ten megabytes of vectors from each side.
 BASE_BLOCK = 1 << 16
 QUERY_BLOCK = 1 << 14
-QUERIES_AT_ONCE = 256  # of a matrix product
+QUERIES_AT_ONCE, ROWS_AT_ONCE = 256, 4096  # of a matrix product: eight megabytes
 FEW_QUERIES, FEW_BYTES = 1 << 10, 16 << 20  # up to these the queries are sent to the base's tasks
 DISTANCE_DIGITS = 12
 
@@ -79,12 +80,17 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
 
 
+def _one_length(column: pa.ChunkedArray, length: int | None = None) -> None:
+    """Raise an error unless all vectors have one length, that of the other side if given."""
+    sizes = np.unique(pc.list_value_length(column).to_numpy())
+    if len(sizes) > 1 or (length is not None and len(sizes) and sizes[0] != length):
+        raise ValueError(f"vectors of different lengths: {sizes.tolist()} and {length or sizes[0]}")
+
+
 def _unit_vectors(column: pa.ChunkedArray, length: int | None = None) -> np.ndarray:
     """Unit vectors as rows; all must have one length, that of the other side if given."""
+    _one_length(column, length)
     column = column.combine_chunks()
-    sizes = np.unique(column.value_lengths().to_numpy(zero_copy_only=False))
-    if len(sizes) > 1 or (length is not None and len(sizes) and sizes[0] != length):
-        raise ValueError(f"vectors of different lengths: {sizes.tolist()} and {length or sizes[0]}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
     return _unit_rows(flat.reshape(len(column), -1)) if len(column) else np.zeros((0, length or 0))
 
@@ -101,30 +107,73 @@ def nearest_columns(distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
     return row, column, distance[row, column]
 
 
+def nearest_by_tiles(
+    similar: Callable[[int, int], Iterator[tuple[slice, np.ndarray]]], queries: int, rows: int, k: int,
+    least: float = 0.0, most: float = 2.0,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` nearest rows of each query: queries, rows and distances, ties by row.
+
+    ``similar`` gives, for a range of rows, one range of queries after the other with their
+    similarities, NaN for no match. Only one such tile and ``k`` rows per query are held. Rows come in
+    order, so that a later one counts only where it is nearer than the ``k``-th found before it.
+    """
+    near, place = np.full((queries, k), np.inf), np.zeros((queries, k), np.int64)
+
+    def distances(similarity: np.ndarray) -> np.ndarray:
+        return np.clip(np.round(1.0 - similarity, DISTANCE_DIGITS), least, most) + 0.0  # no negative zero
+
+    def put(query: np.ndarray, row: np.ndarray, distance: np.ndarray) -> None:
+        """Pairs in order of query, at most ``k`` of each."""
+        column = np.arange(len(query)) - np.searchsorted(query, query)
+        near[query, column], place[query, column] = distance, row
+
+    step = 0.1 * 10.0**-DISTANCE_DIGITS  # less than half of what rounding can hide
+    for first in range(0, rows, ROWS_AT_ONCE):
+        for some, similarity in similar(first, min(rows, first + ROWS_AT_ONCE)):
+            if not first:
+                distance = distances(similarity)
+                distance[np.isnan(distance)] = np.inf
+                query, row, found = nearest_columns(distance, k)
+                put(query + some.start, row, found)
+                continue
+            worst = near[some].max(axis=1)
+            query, row = np.nonzero(similarity > (1.0 - worst + step)[:, None])
+            distance = distances(similarity[query, row])
+            nearer = distance < worst[query]
+            if not nearer.any():
+                continue
+            query, row, distance = query[nearer] + some.start, row[nearer] + first, distance[nearer]
+            again = np.unique(query)
+            known = np.isfinite(near[again])
+            query = np.concatenate([np.repeat(again, known.sum(1)), query])
+            row, distance = np.concatenate([place[again][known], row]), np.concatenate([near[again][known], distance])
+            order = np.lexsort((row, distance, query))
+            query, row, distance = query[order], row[order], distance[order]
+            kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+            put(query[kept], row[kept], distance[kept])
+    known = np.isfinite(near)
+    return np.nonzero(known)[0], place[known], near[known]
+
+
 def _nearest_in_group(k: int, vector: str, kept: Sequence[str]):
     """The ``k`` nearest rows of one group of base rows for each query of the group."""
 
     def search(base: pa.Table, queries: pa.Table) -> pa.Table:
         units = _unit_vectors(queries["__vector"])
-        rows = _unit_vectors(base[vector], units.shape[1] if len(units) else None)
-        # Ids in order, so that a stable sort by distance breaks ties by id.
+        _one_length(base[vector], units.shape[1] if len(units) else None)
+        # Ids in order, so that ties are broken by id.
         by_id = np.argsort(base[kept[0]].to_numpy(), kind="stable")
-        rows = rows[by_id]
-        found_query, found_row, found_distance = [], [], []
-        for at in range(0, len(units) if len(rows) else 0, QUERIES_AT_ONCE):
-            distance = np.round(1.0 - units[at: at + QUERIES_AT_ONCE] @ rows.T, DISTANCE_DIGITS)
-            distance = np.clip(distance, 0.0, 2.0) + 0.0  # no negative zero
-            distance[np.isnan(distance)] = np.inf
-            q, row, near = nearest_columns(distance, k)
-            found_query.append(q + at)
-            found_row.append(by_id[row])
-            found_distance.append(near)
-        if not found_query:
-            found_query, found_row, found_distance = ([np.zeros(0, t)] for t in ("int64", "int64", "float64"))
-        base_rows = pa.array(np.concatenate(found_row))
+
+        def similar(first: int, last: int) -> Iterator[tuple[slice, np.ndarray]]:
+            rows = _unit_vectors(base[vector].take(pa.array(by_id[first: last])))
+            for at in range(0, len(units), QUERIES_AT_ONCE):
+                yield slice(at, at + QUERIES_AT_ONCE), units[at: at + QUERIES_AT_ONCE] @ rows.T
+
+        query, row, distance = nearest_by_tiles(similar, len(units), len(by_id) if len(units) else 0, k)
+        base_rows = pa.array(by_id[row])
         return pa.Table.from_arrays(
-            [queries["__query"].take(pa.array(np.concatenate(found_query))),
-             pa.array(np.concatenate(found_distance)), *[base[c].take(base_rows) for c in kept]],
+            [queries["__query"].take(pa.array(query)),
+             pa.array(distance), *[base[c].take(base_rows) for c in kept]],
             names=["__query", "distance", *kept])
 
     return search
