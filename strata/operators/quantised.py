@@ -24,7 +24,7 @@ from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 from strata.functions.vectors import cosine_distance
 from strata.operators.search import (
     DISTANCE_DIGITS, QUERIES_AT_ONCE, _search_cells, _unit_rows, _unit_vectors, build_cluster_index,
-    nearest_columns, probed_clusters,
+    nearest_by_tiles, probed_clusters,
 )
 from strata.session import cut_lineage
 from strata.sources.sinks import overwrite, overwrite_partitioned
@@ -179,17 +179,19 @@ def _best_codes(k: int, base_id: str, centres: np.ndarray, books: np.ndarray):
         units = _unit_vectors(queries["__vector"])
         by_id = np.argsort(base[base_id].to_numpy(), kind="stable")
         codes = np.frombuffer(b"".join(base["code"].to_pylist()), np.uint8).reshape(-1, len(books))[by_id]
-        found = []
-        for at in range(0, len(units) if len(codes) else 0, QUERIES_AT_ONCE):
-            some = units[at: at + QUERIES_AT_ONCE]
-            score = np.repeat((some @ centres[base["__cell"][0].as_py()])[:, None], len(codes), 1)
-            own = _parts(some, len(books))
-            for j, book in enumerate(books):
-                score += (own[:, j] @ book.T)[:, codes[:, j]]
-            q, row, distance = nearest_columns(np.round(1.0 - score, DISTANCE_DIGITS), k)
-            found.append((q + at, by_id[row], distance))
-        q, row, distance = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (
-            zip(*found) if found else ((), (), ())))
+
+        def similar(first: int, last: int) -> Iterator[tuple[slice, np.ndarray]]:
+            for at in range(0, len(units), QUERIES_AT_ONCE):
+                some = units[at: at + QUERIES_AT_ONCE]
+                score = np.repeat((some @ centres[base["__cell"][0].as_py()])[:, None], last - first, 1)
+                own = _parts(some, len(books))
+                for j, book in enumerate(books):
+                    score += (own[:, j] @ book.T)[:, codes[first: last, j]]
+                yield slice(at, at + QUERIES_AT_ONCE), score
+
+        q, row, distance = nearest_by_tiles(
+            similar, len(units), len(codes) if len(units) else 0, k, least=-np.inf, most=np.inf)
+        row = by_id[row]
         return pa.Table.from_arrays(
             [queries["__query"].take(pa.array(q)), pa.array(distance, pa.float64()), base[base_id].take(pa.array(row)),
              base["__cell"].take(pa.array(row))], names=["__query", "distance", base_id, "cluster_id"])
