@@ -80,15 +80,16 @@ def dim_products(staged: DataFrame, channels: Sequence[str] = CHANNELS) -> DataF
     channels, so one scan it is.
     """
     sold = unnest(staged.filter(F.col("channel").isin(*channels)), "items")
-    newest = F.max(F.struct("order_date", "order_id", F.col("item.unit_price"), "item"))
+    # Each member once: these rows are sorted and shuffled.
+    newest = F.max(F.struct("order_date", "order_id", "item.unit_price", "item.product_name", "item.category"))
     return (
         sold.groupBy(F.col("item.product_id").alias("product_id"))
         .agg(newest.alias("__n"))
         .select(
             "product_id",
-            F.col("__n.item.product_name").alias("product_name"),
-            F.col("__n.item.category").alias("category"),
-            F.col("__n.item.unit_price").alias("current_unit_price"),
+            F.col("__n.product_name").alias("product_name"),
+            F.col("__n.category").alias("category"),
+            F.col("__n.unit_price").alias("current_unit_price"),
         )
     )
 

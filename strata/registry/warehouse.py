@@ -206,7 +206,7 @@ SELECT (SELECT count(*) FROM c) AS customer_count, (SELECT count(*) FROM p) AS p
 def warehouse_verification(spark, sf):
     """The whole job: nested JSON lines in, written tables out, counts verified."""
     source = scratch_path(spark, "raw-orders")
-    raw_orders(spark, sf).write.json(source)
+    raw_orders(spark, sf).write.json(source, compression="gzip")
     target = scratch_path(spark, "warehouse")
     house = plan.build_from_ndjson(spark, source, target, "month", plan.RAW_SCHEMA)
     return plan.verification(house)
