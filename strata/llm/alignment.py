@@ -29,8 +29,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,12 @@ BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WORK = 1 << 15  # ends merged by one piece
 TEXT_BYTES = 1 << 20  # of documents tokenised together
 CUT_CHARS = 1 << 18
+KEPT_CHARS = 1 << 22  # of words whose tokens are kept
 FREQUENT = 1 << 17  # pairs looked up without a join
 PAIR_BITS = 16  # of the B id in a pair's number
 CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 BLANK = "▁"
+WORD_CUT = re.compile(f"(?<=[^\\s\u180e{BLANK}]) (?=[^\\s\u180e{BLANK}])")  # U+180E was white space once
 
 
 def _byte_characters() -> dict[str, int]:
@@ -67,6 +71,10 @@ def _texts(ids: int, inside: str, closing: str) -> np.ndarray:
     return out
 
 
+def _starts(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+
 class Tokenizers:
     """Both vocabularies with the bytes of every id."""
 
@@ -90,6 +98,47 @@ class Tokenizers:
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         self.a_text = _texts(len(self.a_bytes), ",", "|")
         self.b_text = _texts(len(self.b_bytes), ",", ";")
+        self.forget()
+
+    def forget(self) -> None:
+        """Keep no word's tokens."""
+        self.number = defaultdict()  # of every word kept
+        self.number.default_factory = self.number.__len__
+        self.kept_chars = 0
+        self.kept = [(np.zeros(0, np.int32), np.zeros(1, np.int64))] * 2  # ids of A and B, where each word's begin
+        self.same = np.zeros(0, dtype=bool)  # whether the tokens of both give a word back
+
+    def learn(self, words: list[str]) -> None:
+        """Keep the tokens of words that have just been numbered."""
+        spaced = [" " + w for w in words]
+        sides = ([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)],
+                 self.b.encode(words, num_threads=1))
+        same = np.ones(len(words), dtype=bool)
+        for side, (found, known) in enumerate(zip(sides, (self.a_bytes, self.b_bytes))):
+            same &= [b"".join(map(known.__getitem__, own)) == w.encode() for own, w in zip(found, spaced)]
+            ids, starts = self.kept[side]
+            many = np.fromiter(map(len, found), np.int64, len(found))
+            more = np.fromiter(chain.from_iterable(found), np.int32, int(many.sum()))
+            self.kept[side] = np.concatenate([ids, more]), np.concatenate([starts, starts[-1] + np.cumsum(many)])
+        self.kept_chars += sum(map(len, words))
+        self.same = np.concatenate([self.same, same])
+
+    def tokenised(self, parts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of A and B for every part, and whether all its words come back from them."""
+        if self.kept_chars > KEPT_CHARS or len(self.same) < len(self.number):  # the latter after an error
+            self.forget()
+        words = [WORD_CUT.split(p) if self.cuttable else [p] for p in parts]
+        at = _starts([len(w) for w in words])
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(words)), np.int64, at[-1])
+        if new := len(self.number) - len(self.same):
+            self.learn([*islice(reversed(self.number), new)][::-1])
+        sides = []
+        for ids, starts in self.kept:
+            begin, many = starts[number], starts[number + 1] - starts[number]
+            to = _starts(many)
+            place = np.arange(to[-1]) + np.repeat(begin - to[:-1], many)
+            sides.append(np.split(ids[place].astype(np.int64), to[at[1:-1]]))
+        return sides, np.diff(_starts(~self.same[number])[at]) == 0
 
     def parts(self, text: str) -> list[str]:
         """A long text cut at blanks that both vocabularies begin a token with."""
@@ -107,16 +156,22 @@ class Tokenizers:
         out = []
         cut = [self.parts(t) if t else [] for t in texts]
         flat = [p for parts in cut for p in parts]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1) if flat else []
+        sides, same = ([], []), []
+        slab = np.cumsum([len(p) for p in flat]) // TEXT_BYTES
+        for _, some in groupby(range(len(flat)), slab.__getitem__):
+            found, its = self.tokenised([flat[k] for k in some])
+            for side, own in zip(sides, found):
+                side.extend(own)
+            same.extend(its)
         at, none = 0, np.zeros(0, np.int64)
         for text, parts in zip(texts, cut):
-            ids = [[i for part in side[at: at + len(parts)] for i in part] for side in (a, b)]
+            own = slice(at, at + len(parts))
             at += len(parts)
-            whole = (" " + text).encode() if text else None
-            same = whole is not None and all(
-                b"".join(map(known.__getitem__, own)) == whole for known, own in zip((self.a_bytes, self.b_bytes), ids))
-            out.append(tuple(np.array(own, np.int64) for own in ids) if same else (none, none))
+            ids = tuple(np.concatenate([none, *side[own]]) for side in sides)
+            whole = (" " + text).encode() if text and not all(same[own]) else None
+            back = bool(text) if whole is None else all(
+                b"".join(map(known.__getitem__, i.tolist())) == whole for known, i in zip((self.a_bytes, self.b_bytes), ids))
+            out.append(ids if back else (none, none))
         return out
 
 
@@ -175,10 +230,6 @@ def merged(a: np.ndarray, b: np.ndarray, work: int = WORK):
     return np.concatenate([*link_a, none]), np.concatenate([*link_b, none]), a_shared, b_shared
 
 
-def _starts(counts: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(counts)])
-
-
 class Aligned:
     """The tokens of some texts with their links and groups."""
 

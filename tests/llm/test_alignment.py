@@ -98,6 +98,60 @@ def test_long_texts_are_cut_where_no_token_crosses(monkeypatch):
     assert KNOWN.cuttable and all((x == y).all() for x, y in zip(whole, cut)) and len(whole[0])
 
 
+class Counting:
+    """A tokenizer that notes how many characters it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.seen = inner, 0
+
+    def encode(self, texts, **options):
+        self.seen += sum(map(len, texts))
+        return self.inner.encode(texts, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_a_word_is_tokenised_once(monkeypatch):
+    KNOWN.forget()
+    text = " ".join(f"word{i % 10} Äpfel" for i in range(5000))
+    a, b = Counting(KNOWN.a), Counting(KNOWN.b)
+    monkeypatch.setattr(KNOWN, "a", a)
+    monkeypatch.setattr(KNOWN, "b", b)
+    first, other = KNOWN.encoded([text, text[::-1]]), KNOWN.encoded([text])
+    assert a.seen < 500 and b.seen < 500
+    assert (first[0][0] == other[0][0]).all() and (first[0][1] == other[0][1]).all()
+
+
+@pytest.mark.parametrize("kept, slab", [(alignment.KEPT_CHARS, alignment.TEXT_BYTES), (30, 1), (0, 100)])
+def test_tokens_of_words_are_those_of_the_text(monkeypatch, kept, slab):
+    monkeypatch.setattr(alignment, "KEPT_CHARS", kept)
+    monkeypatch.setattr(alignment, "TEXT_BYTES", slab)
+    rng = random.Random(kept)
+    pieces = ["a", "Z9", "Ä", "日本", "'s", "n't", "12", ".", "|", "▁", "x▁y", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2009", "\x85",
+              "\x1c", "\u180e", "\u200b", "\u0301", "\U0001f600", "\x00", "<s>", "<|endoftext|>"]
+    texts = ["", None, *["".join(rng.choice(pieces) + " " * rng.choice([0, 1, 1, 1, 2]) for _ in range(rng.randrange(1, 30)))
+                         for _ in range(400)]]
+    given = 0
+    for text, (got_a, got_b) in zip(texts, KNOWN.encoded(texts)):
+        a, b, _, _ = walk(text or "")
+        assert (got_a.tolist(), got_b.tolist()) == (a, b)
+        given += len(a) > 0
+    assert 20 < given < 400
+
+
+def test_an_error_leaves_no_half_learned_words(monkeypatch):
+    KNOWN.forget()
+    KNOWN.encoded(["first words"])
+    with monkeypatch.context() as broken:
+        broken.setattr(KNOWN, "b", None)
+        with pytest.raises(AttributeError):
+            KNOWN.encoded(["words that fail"])
+    a, b, _, _ = walk("that fail first")
+    assert [x.tolist() for x in KNOWN.encoded(["that fail first"])[0]] == [a, b]
+
+
 def test_messy_and_empty(spark):
     got = {r["doc_id"]: r for r in alignment.aligned(cases.messy(spark)).collect()}
     assert got[1]["n_a"] == got[2]["n_b"] == 0 and got[1]["groups_sha256"] == ""
