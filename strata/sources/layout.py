@@ -54,8 +54,14 @@ def range_number(df: DataFrame, column: str, boundaries: Sequence) -> Column:
     return F.when(F.col(column).isNull(), 0).otherwise(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), narrowed))
 
 
+def spread(number: Column, ranges: int, bits: int) -> Column:
+    """The numbers of ``ranges`` ranges, in their order, dealt evenly over ``bits`` bits. A column
+    of few values otherwise leaves its high bits empty, and the others alone say where a row lies."""
+    return F.floor(number.cast("double") * (1 << bits) / ranges)
+
+
 def interleaved(ranges: Sequence[Column], bits: int) -> Column:
-    """The bits of several range numbers in turn, highest first: near numbers are near in all."""
+    """The bits of several numbers in turn, highest first: near numbers are near in all."""
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
         for place, number in enumerate(ranges):
@@ -80,7 +86,8 @@ def overwrite_on_curve(
     if {"__curve", "__tie", *numbers} & set(df.columns):
         raise ValueError(f"columns __curve, __tie and {numbers} are used by the writer")
     cuts = range_boundaries(df, columns, bits)
-    numbered = df.withColumns({n: range_number(df, c, cuts[c]) for n, c in zip(numbers, columns)})
+    numbered = df.withColumns({
+        n: spread(range_number(df, c, cuts[c]), len(cuts[c]) + 1, bits) for n, c in zip(numbers, columns)})
     keyed = numbered.withColumn("__curve", interleaved([F.col(n) for n in numbers], bits))
     (
         keyed.withColumn("__tie", F.rand(13))

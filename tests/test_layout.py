@@ -61,6 +61,21 @@ def test_a_filter_on_either_column_skips_row_groups(spark, folder):
     assert rows(stored) == rows(frame)
 
 
+def test_a_column_of_few_values_takes_part_in_the_curve(spark, folder):
+    frame = spark.range(6000).selectExpr("id", "pmod(hash(id), 200) AS a", "pmod(hash(id, 1), 10) AS b", "1 AS c")
+    path = layout.overwrite_on_curve(frame, f"{folder}/few", ["a", "b", "c"], rows_per_file=93)
+    for column, value in (("a", 123), ("b", 4)):
+        groups, read = groups_to_read(path, column, value)
+        assert groups >= 64 and 2 * read < groups
+    assert rows(spark.read.parquet(path)) == rows(frame)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 3, 10, 201, 255, 256])
+def test_spread_numbers_ascend_and_keep_apart(spark, ranges):
+    got = [r.n for r in spark.range(ranges).select(layout.spread(F.col("id"), ranges, 8).alias("n")).orderBy("id").collect()]
+    assert got == [i * 256 // ranges for i in range(ranges)]
+
+
 def test_curve_with_a_hot_value_nulls_and_no_rows(spark, folder):
     frame = spark.range(8000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 2 = 0 THEN string(id) END AS a",
                                          "CAST(NULL AS double) AS b")
