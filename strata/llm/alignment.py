@@ -32,7 +32,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, groupby, islice
+from itertools import chain, compress, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +48,13 @@ WORK = 1 << 15  # ends merged by one piece
 TEXT_BYTES = 1 << 20  # of documents tokenised together
 CUT_CHARS = 1 << 18
 KEPT_CHARS = 1 << 22  # of words whose tokens are kept
+RUN_CHARS = 1 << 12  # of new words tokenised as one text
 FREQUENT = 1 << 17  # pairs looked up without a join
 PAIR_BITS = 16  # of the B id in a pair's number
 CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 BLANK = "▁"
 WORD_CUT = re.compile(f"(?<=[^\\s\u180e{BLANK}]) (?=[^\\s\u180e{BLANK}])")  # U+180E was white space once
+PLAIN = re.compile(f"[^\\s\u180e{BLANK}]([^{BLANK}]*[^\\s\u180e{BLANK}])?")  # may stand between two such blanks
 
 
 def _byte_characters() -> dict[str, int]:
@@ -105,21 +107,53 @@ class Tokenizers:
         self.number = defaultdict()  # of every word kept
         self.number.default_factory = self.number.__len__
         self.kept_chars = 0
-        self.kept = [(np.zeros(0, np.int32), np.zeros(1, np.int64))] * 2  # ids of A and B, where each word's begin
+        # Ids of A and B, where each word's begin, and how many they are.
+        self.kept = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))] * 2
         self.same = np.zeros(0, dtype=bool)  # whether the tokens of both give a word back
 
+    def together(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Per side the ids of words that neither begin nor end with white space, tokenised in
+        runs, and how many each word has; None where a run does not come back from them."""
+        run = np.cumsum([len(w) for w in words]) // RUN_CHARS
+        runs = [" ".join(words[k] for k in some) for _, some in groupby(range(len(words)), run.__getitem__)]
+        spaced = [" " + r for r in runs]
+        whole, ends = "".join(spaced).encode(), np.cumsum([len(w.encode()) + 1 for w in words])
+        out = []
+        for found, known, length in (
+                ([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.a_bytes, self.a_length),
+                (self.b.encode(runs, num_threads=1), self.b_bytes, self.b_length)):
+            ids = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+            stops = np.cumsum(length[ids])
+            if not length[ids].all() or b"".join(map(known.__getitem__, ids.tolist())) != whole:
+                return None
+            last = np.searchsorted(stops, ends)
+            if (stops[last] != ends).any():
+                return None
+            out.append((ids, np.diff(last, prepend=-1)))
+        return out
+
     def learn(self, words: list[str]) -> None:
         """Keep the tokens of words that have just been numbered."""
-        spaced = [" " + w for w in words]
-        sides = ([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)],
-                 self.b.encode(words, num_threads=1))
-        same = np.ones(len(words), dtype=bool)
+        plain = np.array([self.cuttable and PLAIN.fullmatch(w) is not None for w in words], dtype=bool)
+        runs = self.together([*compress(words, plain)]) if plain.any() else None
+        if runs is None:
+            plain[:] = False
+            runs = [(np.zeros(0, np.int32), np.zeros(0, np.int64))] * 2
+        single = [*compress(words, ~plain)]
+        spaced = [" " + w for w in single]
+        sides = ([], []) if not single else (
+            [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.b.encode(single, num_threads=1))
+        same, order = np.ones(len(words), dtype=bool), np.argsort(~plain, kind="stable")
         for side, (found, known) in enumerate(zip(sides, (self.a_bytes, self.b_bytes))):
-            same &= [b"".join(map(known.__getitem__, own)) == w.encode() for own, w in zip(found, spaced)]
-            ids, starts = self.kept[side]
-            many = np.fromiter(map(len, found), np.int64, len(found))
-            more = np.fromiter(chain.from_iterable(found), np.int32, int(many.sum()))
-            self.kept[side] = np.concatenate([ids, more]), np.concatenate([starts, starts[-1] + np.cumsum(many)])
+            same[~plain] &= np.array(
+                [b"".join(map(known.__getitem__, own)) == w.encode() for own, w in zip(found, spaced)], dtype=bool)
+            own = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+            counts = np.concatenate([runs[side][1], np.fromiter(map(len, found), np.int64, len(found))])
+            ids, begin, many = self.kept[side]
+            its_begin, its_many = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+            its_begin[order], its_many[order] = len(ids) + _starts(counts)[:-1], counts
+            self.kept[side] = tuple(map(np.concatenate, (
+                (ids, runs[side][0], own), (begin, its_begin), (many, its_many))))
         self.kept_chars += sum(map(len, words))
         self.same = np.concatenate([self.same, same])
 
@@ -133,10 +167,9 @@ class Tokenizers:
         if new := len(self.number) - len(self.same):
             self.learn([*islice(reversed(self.number), new)][::-1])
         sides = []
-        for ids, starts in self.kept:
-            begin, many = starts[number], starts[number + 1] - starts[number]
-            to = _starts(many)
-            place = np.arange(to[-1]) + np.repeat(begin - to[:-1], many)
+        for ids, begin, many in self.kept:
+            to = _starts(many[number])
+            place = np.arange(to[-1]) + np.repeat(begin[number] - to[:-1], many[number])
             sides.append(np.split(ids[place].astype(np.int64), to[at[1:-1]]))
         return sides, np.diff(_starts(~self.same[number])[at]) == 0
 
